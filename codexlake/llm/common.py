@@ -9,9 +9,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from codexlake.session import ship
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One input table; only Spark opens the path, so any store will do."""
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -34,6 +37,7 @@ def cut(df: DataFrame, label: str) -> DataFrame:
     that made the rows.  ``release`` removes the files of a session.
     """
     spark = df.sparkSession
+    ship(spark)
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from codexlake.llm.common import texts_of
+from codexlake.session import ship
 
 #: Kinds in the order that breaks ties at one start.
 KINDS = ("assign", "access", "hex", "literal")
@@ -177,6 +178,8 @@ def redact_secrets(df: DataFrame, text_col: str = "text", threshold: float = 0.4
     A null text stays null.
     """
 
+    ship(df.sparkSession)
+
     @F.pandas_udf("string")
     def clean(texts: pd.Series) -> pd.Series:
         return texts.map(lambda t: None if t is None else redact(t, base_spans(t) + literal_spans(t, threshold)))

@@ -116,15 +116,20 @@ class ToxicityModel:
 
 
 def _training(docs: DataFrame, labelled: DataFrame, id_col: str, text_col: str, max_train: int) -> DataFrame:
-    """(text, label, part): at most ``max_train`` labelled texts, the same each time."""
+    """(text, label, part): at most ``max_train`` labelled texts, the same each time.
+
+    Copies count once: what only many copies of one text hold is no sign of anything.
+    """
     few = labelled.where("id is not null and label is not null").groupBy("id").agg(F.max("label").alias("label")).orderBy(F.xxhash64("id"), "id").limit(max_train)
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(few), "id").select("text", "label", F.pmod(F.xxhash64("id", F.lit(7)), F.lit(10)).alias("part"))
+    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(few), "id").groupBy("text").agg(F.max("label").alias("label")).withColumn("part", F.pmod(F.xxhash64("text"), F.lit(10)))
 
 
-def train(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_train: int = 20_000, max_lexicon: int = 50_000, prior: float = 500.0, min_z: float = 4.0) -> ToxicityModel:
+def train(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_train: int = 20_000, max_lexicon: int = 50_000, prior: float = 0.05, min_z: float = 3.5) -> ToxicityModel:
     """Fit on ``labelled`` (id, label); 7 of 10 texts make the lexicon, 3 the calibration.
 
     ``max_train`` bounds the labelled texts, ``max_lexicon`` what reaches the driver.
+    ``prior`` is the weight of the pooled frequencies, as a part of all counts; it
+    has to carry a word that no clean text holds, whose own count says nothing.
     """
     texts = _training(docs, labelled, id_col, text_col, max_train)
 
@@ -154,7 +159,7 @@ def train(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col
         return ToxicityModel({})
     total = counts.where("token != ''").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).first()
     n0, n1 = float(total["clean"] or 0), float(total["toxic"] or 0)
-    a = F.lit(prior) * (F.col("clean") + F.col("toxic")) / (n0 + n1)
+    a, prior = prior * (F.col("clean") + F.col("toxic")), prior * (n0 + n1)
     y0, y1 = F.col("clean") + a, F.col("toxic") + a
     odds = F.log(y1 / (n1 + prior - y1)) - F.log(y0 / (n0 + prior - y0))
     best = (
