@@ -42,15 +42,6 @@ _ODD_SPACE = re.compile(r"[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u202
 _CHUNK = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
 
 
-class _Known(dict):
-    """Encoded chunks; ``fresh`` holds those of the batch that found no room."""
-
-    fresh: dict[str, bytes] = {}
-
-    def __missing__(self, chunk: str) -> bytes:
-        return self.fresh[chunk]
-
-
 class ChunkEncoder:
     """Token ids as little-endian uint32 bytes, with a bounded memory of chunks.
 
@@ -59,25 +50,47 @@ class ChunkEncoder:
     Only texts without other white space are cut; the rest are encoded whole.
     """
 
-    def __init__(self, path: str, memory: int = 400_000):
+    def __init__(self, path: str, memory: int = 1_200_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.memory, self.known = memory, _Known()
+        self.memory, self.known = memory, {}
+        self.marks = {m: self._encode([m])[0] for m in ",."}
+
+    def _encode(self, parts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch(parts, add_special_tokens=False)]
+
+    def _learn(self, missing: list[str]) -> dict[str, bytes]:
+        """Ids of unknown chunks; ``word,`` is ``word`` and ``,`` to the pre-tokenizer."""
+        stems = {c: c[:-1] for c in missing if c[-1] in self.marks and c[-2:-1].isalpha()}
+        bare = list({s for c in missing if (s := stems.get(c, c)) not in self.known})
+        ids = dict(zip(bare, self._encode(bare), strict=True))
+        room = max(0, self.memory - len(self.known))
+        self.known.update(zip(bare[:room], ids.values(), strict=False))
+        for c, s in stems.items():
+            ids[c] = (ids.get(s) or self.known[s]) + self.marks[c[-1]]
+        room = max(0, self.memory - len(self.known))
+        self.known.update((c, ids[c]) for c in list(stems)[:room])
+        return {c: ids.get(c) or self.known[c] for c in missing}
 
     def encode(self, texts: list[str]) -> list[bytes]:
         chunks = [None if _ODD_SPACE.search(t) else _CHUNK.findall(t) for t in texts]
-        known = self.known
-        missing = list({c for own in chunks if own for c in own if c not in known})
-        whole = [t for t, own in zip(texts, chunks, strict=True) if own is None]
-        encoded = [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch(missing + whole, add_special_tokens=False)]
-        room = max(0, self.memory - len(known))
-        known.update(zip(missing[:room], encoded, strict=False))
-        known.fresh = dict(zip(missing[room:], encoded[room:], strict=False))
-        rest = iter(encoded[len(missing) :])
-        return [next(rest) if own is None else b"".join(map(known.__getitem__, own)) for own in chunks]
+        found = [None if own is None else list(map(self.known.get, own)) for own in chunks]
+        missing = {c: None for own, got in zip(chunks, found, strict=True) if got and None in got for c, ids in zip(own, got, strict=True) if ids is None}
+        fresh = self._learn(list(missing)) if missing else {}
+        out = []
+        for text, own, got in zip(texts, chunks, found, strict=True):
+            if got is None:
+                out += self._encode([text])
+            else:
+                out.append(b"".join([fresh[c] if ids is None else ids for c, ids in zip(own, got, strict=True)] if None in got else got))
+        return out
+
+
+#: Of this worker process: what one task has learnt serves the next.
+_ENCODERS: dict[str, ChunkEncoder] = {}
 
 
 @dataclass
@@ -174,7 +187,7 @@ def pack(
     """
 
     def tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = ChunkEncoder(tokenizer_path)
+        encoder = _ENCODERS.get(tokenizer_path) or _ENCODERS.setdefault(tokenizer_path, ChunkEncoder(tokenizer_path))
         part, ranks, end = TaskContext.get().partitionId(), defaultdict(int), np.array([end_id], "<u4").tobytes()
         for batch in batches:
             rows: list[tuple] = []
