@@ -29,6 +29,8 @@ from pyspark.sql import functions as F
 
 _HOST, _PATH = re.compile(r"[^/?#]*"), re.compile(r"[^?#]*")
 _MAGIC = b"CXURLIX1"
+#: Digest files that an application's file service has already.
+_SENT: set[tuple[str, str]] = set()
 
 
 def split_url(url: str | None) -> tuple[str, str]:
@@ -132,10 +134,13 @@ def filter_urls(df: DataFrame, rules: Sequence[tuple[str, str, str]], id_col: st
     if len(data) > max_index_bytes:
         raise ValueError(f"the digest index has {len(data)} bytes, more than {max_index_bytes}; use filter_urls_joined")
     name = f"url-rules-{hashlib.sha256(data).hexdigest()[:24]}.idx"
-    local = os.path.join(tempfile.mkdtemp(prefix="codexlake-"), name)
-    with open(local, "wb") as out:
-        out.write(data)
-    df.sparkSession.sparkContext.addFile(local)
+    context = df.sparkSession.sparkContext
+    if (context.applicationId, name) not in _SENT:
+        local = os.path.join(tempfile.mkdtemp(prefix="codexlake-"), name)
+        with open(local, "wb") as out:
+            out.write(data)
+        context.addFile(local)
+        _SENT.add((context.applicationId, name))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = DigestIndex(SparkFiles.get(name))
