@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codexlake.llm import media, packing, quality, secrets, simhash, topk, toxicity, url_filter
+from codexlake.llm import language_model, media, packing, quality, secrets, simhash, topk, toxicity, url_filter
 from codexlake.llm.common import held_out, table
 
 URL_RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/")]
@@ -48,6 +48,12 @@ def op7_url_digest_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op8_gru_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = language_model.score_documents(docs, docs.where(~held_out("doc_id", 10, 0)))
+    return scored.withColumn("held_out", held_out("doc_id", 10, 0))
+
+
 def op9_media_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.text_media(table(spark, sf_dir, "documents"))
 
