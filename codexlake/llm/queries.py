@@ -8,17 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codexlake.llm import language_model, media, packing, quality, secrets, simhash, topk, toxicity, url_filter
+from codexlake.llm import language_model, media, packing, pieces, quality, secrets, simhash, topk, toxicity, url_filter
 from codexlake.llm.common import held_out, table
 
 URL_RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/")]
-BYTE_BPE = "byte_bpe_50k.json"
+BYTE_BPE, PIECE_BPE = "byte_bpe_50k.json", "piece_bpe_32k.model"
 
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE))
 
 
+def op2_sentencepiece_nbest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.digest(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECE_BPE), n=3)
+
+
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan_secrets(table(spark, sf_dir, "documents")).drop("span_list")
 
