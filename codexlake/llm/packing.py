@@ -93,6 +93,13 @@ class ChunkEncoder:
 _ENCODERS: dict[str, ChunkEncoder] = {}
 
 
+def encoder_of(path: str) -> ChunkEncoder:
+    """The worker's encoder; a module's function, so that pickling keeps its memory."""
+    if path not in _ENCODERS:
+        _ENCODERS[path] = ChunkEncoder(path)
+    return _ENCODERS[path]
+
+
 @dataclass
 class Run:
     """``count`` pieces of one length, by rank, in like bins: ``per_bin`` to each."""
@@ -187,7 +194,7 @@ def pack(
     """
 
     def tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _ENCODERS.get(tokenizer_path) or _ENCODERS.setdefault(tokenizer_path, ChunkEncoder(tokenizer_path))
+        encoder = encoder_of(tokenizer_path)
         part, ranks, end = TaskContext.get().partitionId(), defaultdict(int), np.array([end_id], "<u4").tobytes()
         for batch in batches:
             rows: list[tuple] = []

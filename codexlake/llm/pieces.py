@@ -189,7 +189,9 @@ _MODELS: dict[str, PieceModel] = {}
 
 
 def model(path: str) -> PieceModel:
-    return _MODELS.get(path) or _MODELS.setdefault(path, PieceModel(path))
+    if path not in _MODELS:
+        _MODELS[path] = PieceModel(path)
+    return _MODELS[path]
 
 
 def encode(df: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text", n: int = 3) -> DataFrame:
