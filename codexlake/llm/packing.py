@@ -76,28 +76,43 @@ class ChunkEncoder:
         return {c: ids.get(c) or self.known[c] for c in missing}
 
     def encode(self, texts: list[str]) -> list[bytes]:
+        get = self.known.get
         chunks = [None if _ODD_SPACE.search(t) else _CHUNK.findall(t) for t in texts]
-        found = [None if own is None else list(map(self.known.get, own)) for own in chunks]
-        missing = {c: None for own, got in zip(chunks, found, strict=True) if got and None in got for c, ids in zip(own, got, strict=True) if ids is None}
+        found = [None if own is None else list(map(get, own)) for own in chunks]
+        gaps = [none_at(got) if got else [] for got in found]
+        missing = dict.fromkeys(own[i] for own, at in zip(chunks, gaps, strict=True) for i in at)
         fresh = self._learn(list(missing)) if missing else {}
         out = []
-        for text, own, got in zip(texts, chunks, found, strict=True):
+        for text, own, got, at in zip(texts, chunks, found, gaps, strict=True):
             if got is None:
                 out += self._encode([text])
-            else:
-                out.append(b"".join([fresh[c] if ids is None else ids for c, ids in zip(own, got, strict=True)] if None in got else got))
+                continue
+            for i in at:
+                got[i] = fresh[own[i]]
+            out.append(b"".join(got))
+        return out
+
+
+def none_at(found: list) -> list[int]:
+    """Where a list holds None."""
+    out, at = [], -1
+    try:
+        while True:
+            at = found.index(None, at + 1)
+            out.append(at)
+    except ValueError:
         return out
 
 
 #: Of this worker process: what one task has learnt serves the next.
-_ENCODERS: dict[str, ChunkEncoder] = {}
+_ENCODERS: dict[tuple[str, int], ChunkEncoder] = {}
 
 
-def encoder_of(path: str) -> ChunkEncoder:
+def encoder_of(path: str, memory: int = 1_200_000) -> ChunkEncoder:
     """The worker's encoder; a module's function, so that pickling keeps its memory."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = ChunkEncoder(path)
-    return _ENCODERS[path]
+    if (path, memory) not in _ENCODERS:
+        _ENCODERS[path, memory] = ChunkEncoder(path, memory)
+    return _ENCODERS[path, memory]
 
 
 @dataclass
@@ -186,15 +201,17 @@ def pack(
     weights: tuple[float, float, float] = (1.0, 1e-3, 1e-3),
     rule: str = "norm",
     end_id: int = 2,
+    chunk_memory: int = 1_200_000,
 ) -> DataFrame:
     """Pieces of every document with their sequence and offset.
 
     Without ``max_documents`` and ``max_attention`` those capacities are as large
-    as ``max_tokens`` alone allows, so only tokens bind.
+    as ``max_tokens`` alone allows, so only tokens bind.  ``chunk_memory`` bounds
+    the encoded chunks that a worker remembers, at about 200 bytes each.
     """
 
     def tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = encoder_of(tokenizer_path)
+        encoder = encoder_of(tokenizer_path, chunk_memory)
         part, ranks, end = TaskContext.get().partitionId(), defaultdict(int), np.array([end_id], "<u4").tobytes()
         for batch in batches:
             rows: list[tuple] = []

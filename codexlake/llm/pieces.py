@@ -30,9 +30,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from codexlake.llm.common import texts_of
+from codexlake.llm.packing import none_at
 
 SPACE = "▁"
 _NONE = (-1, 0)
+#: The cost of a second path where there is none.
+NEVER = 1 << 60
 
 
 class PieceModel:
@@ -95,16 +98,16 @@ class PieceModel:
         return best, into
 
     def first_two(self, text: str) -> tuple[bytes, int, int]:
-        """Ids and score of the best path, and what the second costs (-1: none)."""
+        """Ids and score of the best path, and what the second costs (NEVER: none)."""
         best, into = self.lattice(text)
-        at, cost, ids, suffix = len(text), -1, [], 0
+        at, cost, ids, suffix = len(text), NEVER, [], 0
         while at:
             edge, top = None, best[at]
             for e in into[at]:
                 lost = top - best[e[0]] - e[2]
                 if not lost and edge is None:
                     edge = e
-                elif cost < 0 or lost < cost:  # the rest of the path is the best one's
+                elif lost < cost:  # the rest of the path is the best one's
                     cost = lost
             ids.append(edge[1])
             suffix += edge[2]
@@ -135,7 +138,7 @@ class PieceModel:
         stem = chunk[:-1]
         if len(chunk) > 2 and chunk[-2:] not in self.pairs and chunk[-2] != SPACE:  # no piece holds the last character with what is before it
             a, b = (self.known.get(part) or self._learn(part) for part in (stem, chunk[-1]))
-            own = (a[0] + b[0], a[1] + b[1], min(x for x in (a[2], b[2]) if x >= 0) if max(a[2], b[2]) >= 0 else -1)
+            own = (a[0] + b[0], a[1] + b[1], min(a[2], b[2]))
         else:
             own = self.first_two(chunk)
         if len(self.known) < self.memory:
@@ -152,14 +155,16 @@ class PieceModel:
         if not chunks:
             return [(0, b"")]
         known = list(map(self.known.get, chunks))
-        if None in known:
-            known = [self.known.get(c) or self._learn(c) if k is None else k for c, k in zip(chunks, known, strict=True)]
+        for at in none_at(known):
+            known[at] = self.known.get(chunks[at]) or self._learn(chunks[at])
         ids, scores, costs = zip(*known, strict=True)
         first = (sum(scores), b"".join(ids))
         if n == 1:
             return [first]
-        near = heapq.nsmallest(n - 1, ((c, i) for i, c in enumerate(costs) if c >= 0))
-        places = [i for _, i in near]
+        left, places = list(costs), []
+        while len(places) < n - 1 and (least := min(left)) < NEVER:
+            places.append(left.index(least))
+            left[places[-1]] = NEVER
         paths = [self.search(chunks[i], n) for i in places]
         agenda, seen, out = [(0, (0,) * len(places))], {(0,) * len(places)}, []
         while agenda and len(out) < n:
@@ -180,7 +185,10 @@ class PieceModel:
     def decode(self, ids: list[int]) -> str:
         """The text of ids: bytes joined, the leading space marker gone."""
         size, out = len(self.out), self.out
-        raw = b"".join([out[k] if 0 <= k < size else "⁇".encode() for k in ids])
+        if ids and min(ids) >= 0 and max(ids) < size:
+            raw = b"".join(map(out.__getitem__, ids))
+        else:
+            raw = b"".join([out[k] if 0 <= k < size else "⁇".encode() for k in ids])
         return (raw[1:] if raw[:1] == b" " else raw).decode("utf-8", "replace")
 
 
