@@ -65,6 +65,19 @@ def held_out(id_col: str, modulus: int, remainder: int):
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % modulus == remainder, F.lit(False))
 
 
+def hash_sample(df: DataFrame, key: list[str], limit: int) -> DataFrame:
+    """The ``limit`` rows of least hash, the same each time.
+
+    A hash threshold from the number of rows comes first, so that no task gathers
+    more than about the sample, whatever the number of partitions.
+    """
+    n = df.count()
+    h = F.xxhash64(*key)
+    if n > 2 * limit:
+        df = df.where(F.pmod(h, F.lit(1 << 30)) < int((1 << 30) * (1.3 * limit + 100) / n))
+    return df.orderBy(F.pmod(h, F.lit(1 << 30)), *key).limit(limit)
+
+
 def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-np.clip(x, -60, 60)))
 

@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from codexlake.llm.common import bytes_of, cut
+from codexlake.llm.common import bytes_of, cut, hash_sample
 
 END = b"\n"  # no word holds a line end
 _LN10 = math.log(10.0)
@@ -305,7 +305,7 @@ def score_documents(
     top = sorted(((-r["c"], bytes(r["token"])) for r in counts.where(F.col("c") >= least).collect()))  # at most max_head rows
     head = {w: math.log10(0.1 - c) - log_norm for c, w in top}
     words = [w for _, w in top[:vocabulary]]
-    few = training.select(F.col(text_col).alias("t"), F.xxhash64(text_col).alias("h")).where(F.length("t") <= max_train_chars // 20).orderBy("h", "t").limit(max_train)
+    few = hash_sample(training.select(F.col(text_col).alias("t")).where(F.length("t") <= max_train_chars // 20), ["t"], max_train).withColumn("h", F.xxhash64("t"))
     so_far = F.sum(F.length("t")).over(Window.orderBy("h", "t").rowsBetween(Window.unboundedPreceding, 0))
     model = train([r["t"].encode() for r in few.withColumn("s", so_far).where(F.col("s") <= max_train_chars).select("t").collect()], words)
     shared = docs.sparkSession.sparkContext.broadcast((head, model))

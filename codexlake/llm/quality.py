@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from codexlake.llm.common import bytes_of, fit_logistic, sigmoid
+from codexlake.llm.common import bytes_of, fit_logistic, hash_sample, sigmoid
 
 _UPPER, _LETTER, _DIGIT, _SYMBOL, _PIPE, _WIDE, _SPACE, _STOP = (1 << k for k in range(8))
 _CLASS = np.zeros(256, np.uint8)
@@ -167,7 +167,7 @@ def train(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col
 
     The sample is the same each time.  None without labels of both kinds.
     """
-    few = labelled.where("id is not null and label is not null").groupBy("id").agg(F.max("label").alias("label")).orderBy(F.xxhash64("id"), "id").limit(max_train)
+    few = hash_sample(labelled.where("id is not null and label is not null").groupBy("id").agg(F.max("label").alias("label")), ["id"], max_train)
     sample = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(few), "id").select("text", "label")
 
     def shapes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
