@@ -30,15 +30,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from codexlake.llm.common import cut, fit_logistic, sigmoid, texts_of
+from codexlake.llm.common import cut, fit_logistic, hash_sample, sigmoid, texts_of
 
 _STRIP = string.punctuation + "«»„“”‘’¿¡…–—"
 PREFIXES = (4, 5, 6)
+FOLDS = 3
+
+
+def word_of(token: str) -> str:
+    return token.lower().strip(_STRIP)
 
 
 def features(token: str) -> list[str]:
     """The word in lower case, and its beginnings marked by ``*``."""
-    word = token.lower().strip(_STRIP)
+    word = word_of(token)
     return [word, *(f"{word[:n]}*" for n in PREFIXES if len(word) > n)] if word else []
 
 
@@ -73,7 +78,7 @@ def segments(scores: list[tuple[int, float]], drift: float) -> list[tuple[int, i
 class _Scores(dict):
     """Token -> score, kept for a bounded number of tokens."""
 
-    def __init__(self, lexicon: dict[str, float], memory: int = 500_000):
+    def __init__(self, lexicon: dict[str, float], memory: int = 200_000):
         self.lexicon, self.memory = lexicon, memory
 
     def __missing__(self, token: str) -> float:
@@ -120,66 +125,79 @@ def _training(docs: DataFrame, labelled: DataFrame, id_col: str, text_col: str,
 
     Copies count once: what only many copies of one text hold is no sign of anything.
     """
-    few = labelled.where("id is not null and label is not null").groupBy("id").agg(F.max("label").alias("label")).orderBy(F.xxhash64("id"), "id").limit(max_train)
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(few), "id").groupBy("text").agg(F.max("label").alias("label")).withColumn("part", F.pmod(F.xxhash64("text"), F.lit(10)))
+    few = hash_sample(labelled.where("id is not null and label is not null").groupBy("id").agg(F.max("label").alias("label")), ["id"], max_train)
+    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(few), "id").groupBy("text").agg(F.max("label").alias("label")).withColumn("part", F.pmod(F.xxhash64("text"), F.lit(FOLDS)).cast("int"))
+
+
+def _fit(counts: DataFrame, fold: int | None, max_lexicon: int, prior: float, min_z: float) -> ToxicityModel:
+    """Lexicon, drift and rate from the counts of all folds but one."""
+    folds = [k for k in range(FOLDS) if k != fold]
+    of = lambda side: sum((F.col(f"{side}{k}") for k in folds[1:]), F.col(f"{side}{folds[0]}"))
+    words = counts.where("token != ''").select("token", of("clean").alias("clean"), of("toxic").alias("toxic"))
+    # A beginning counts without its most toxic word: one such word makes no toxic beginning.
+    cuts = F.filter(F.array(*(F.lit(k) for k in PREFIXES)), lambda k: k < F.length("token"))
+    starts = words.select(F.explode(F.transform(cuts, lambda k: F.concat(F.substring(F.col("token"), F.lit(1), k), F.lit("*")))).alias("token"), "clean", "toxic")
+    total = words.agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).first()
+    n0, n1 = float(total["clean"] or 0), float(total["toxic"] or 0)
+    if not n0 or not n1:
+        return ToxicityModel({})
+    best = []
+    for side in (words, starts.groupBy("token").agg(F.sum("clean").alias("clean"), (F.sum("toxic") - F.max("toxic")).alias("toxic"))):
+        a, mass = prior * (F.col("clean") + F.col("toxic")), prior * (n0 + n1)
+        y0, y1 = F.col("clean") + a, F.col("toxic") + a
+        odds = F.log(y1 / (n1 + mass - y1)) - F.log(y0 / (n0 + mass - y0))
+        rated = side.where("toxic > 1").withColumn("s", odds).withColumn("z", F.col("s") / F.sqrt(1 / y0 + 1 / y1)).where(F.col("z") >= min_z)
+        best += rated.orderBy(F.desc("z"), "token").limit(max_lexicon // 2).select("token", "s", ((F.col("clean") + 0.5) / n0).alias("p0"), (F.col("toxic") / n1).alias("p1")).collect()
+    model = ToxicityModel({r["token"]: float(r["s"]) for r in best})
+    if not best:
+        return model
+    p0, s = np.array([r["p0"] for r in best]), np.array([r["s"] for r in best])
+    hit0, hit1 = p0.sum(), sum(r["p1"] for r in best)
+    model.drift = max(1e-4, math.log((1 - min(hit0, 0.9)) / (1 - min(hit1, 0.95))))
+    low, high = 1e-3, 5.0
+    for _ in range(60):  # lam: the positive root of E[exp(lam s)] = 1 in clean text
+        mid = (low + high) / 2
+        value = (p0 * np.exp(np.minimum(mid * s, 300))).sum() + (1 - min(hit0, 0.9)) * math.exp(-mid * model.drift)
+        low, high = (mid, high) if value < 1 else (low, mid)
+    model.lam = low
+    return model
 
 
-def train(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_train: int = 20_000, max_lexicon: int = 50_000, prior: float = 0.05, min_z: float = 3.5) -> ToxicityModel:
-    """Fit on ``labelled`` (id, label); 7 of 10 texts make the lexicon, 3 the calibration.
+def train(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_train: int = 20_000, max_lexicon: int = 50_000, prior: float = 0.1, min_z: float = 3.3) -> ToxicityModel:
+    """Fit on ``labelled`` (id, label).
 
     ``max_train`` bounds the labelled texts, ``max_lexicon`` what reaches the driver.
     ``prior`` is the weight of the pooled frequencies, as a part of all counts; it
     has to carry a word that no clean text holds, whose own count says nothing.
+    The calibration scores each text by a lexicon made without that text's fold.
     """
     texts = _training(docs, labelled, id_col, text_col, max_train)
+    columns = [f"{side}{k}" for side in ("clean", "toxic") for k in range(FOLDS)]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sides: tuple[Counter, Counter] = (Counter(), Counter())
+        sides = [Counter() for _ in columns]
         for batch in batches:
-            for text, label in zip(texts_of(batch.column(0)), batch.column(1).to_pylist(), strict=True):
+            for text, label, part in zip(texts_of(batch.column(0)), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
                 present = set(text.split())  # once a text, so that one text's habits don't weigh
-                own = {f for t in present for f in features(t)}
-                sides[1 if label == 1 else 0].update(own)
-                sides[1 if label == 1 else 0][""] += 1
-            if len(sides[0]) + len(sides[1]) > 400_000:
+                sides[(FOLDS if label == 1 else 0) + part].update({"", *(w for t in present if (w := word_of(t)))})
+            if sum(map(len, sides)) > 400_000:
                 yield spill(sides)
         yield spill(sides)
 
-    def spill(sides: tuple[Counter, Counter]) -> pa.RecordBatch:
-        names = list(sides[0].keys() | sides[1].keys())
-        out = pa.RecordBatch.from_arrays([pa.array(names, pa.string()), *(pa.array([s[n] for n in names], pa.int64()) for s in sides)], ["token", "clean", "toxic"])
+    def spill(sides: list[Counter]) -> pa.RecordBatch:
+        names = list(set().union(*sides))
+        out = pa.RecordBatch.from_arrays([pa.array(names, pa.string()), *(pa.array([s[n] for n in names], pa.int64()) for s in sides)], ["token", *columns])
         for s in sides:
             s.clear()
         return out
 
-    counts = texts.where("part < 7").select("text", "label").mapInArrow(count, "token string, clean long, toxic long").groupBy("token").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-    counts = cut(counts, "toxicity-counts")
-    n = counts.where("token = ''").first()
-    if not n or not n["clean"] or not n["toxic"]:
-        return ToxicityModel({})
-    total = counts.where("token != ''").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).first()
-    n0, n1 = float(total["clean"] or 0), float(total["toxic"] or 0)
-    a, prior = prior * (F.col("clean") + F.col("toxic")), prior * (n0 + n1)
-    y0, y1 = F.col("clean") + a, F.col("toxic") + a
-    odds = F.log(y1 / (n1 + prior - y1)) - F.log(y0 / (n0 + prior - y0))
-    best = (
-        counts.where("token != '' and toxic > 1").withColumn("s", odds).withColumn("z", F.col("s") / F.sqrt(1 / y0 + 1 / y1)).where(F.col("z") >= min_z)
-        .orderBy(F.desc("z"), "token").limit(max_lexicon).select("token", "s", "clean", "toxic").collect()
-    )
-    model = ToxicityModel({r["token"]: float(r["s"]) for r in best})
-    if not best:
+    schema = "token string, " + ", ".join(f"{c} long" for c in columns)
+    counts = cut(texts.mapInArrow(count, schema).groupBy("token").agg(*(F.sum(c).alias(c) for c in columns)), "toxicity-counts")
+    model = _fit(counts, None, max_lexicon, prior, min_z)
+    if not model.lexicon:
         return model
-    p0 = np.array([(r["clean"] + 0.5) / n0 for r in best])
-    s = np.array([r["s"] for r in best])
-    hit0, hit1 = p0.sum(), sum(r["toxic"] for r in best) / n1
-    model.drift = max(1e-4, math.log((1 - min(hit0, 0.9)) / (1 - min(hit1, 0.95))))
-    low, high = 1e-3, 5.0
-    for _ in range(60):  # lam: the positive root of E[exp(lam s)] = 1 in clean text
-        mid = (low + high) / 2
-        value = (p0 * np.exp(np.minimum(mid * s, 300))).sum() + (1 - min(hit0, 0.9)) * math.exp(-mid * model.drift)
-        low, high = (mid, high) if value < 1 else (low, mid)
-    model.lam = low
-    rows = texts.where("part >= 7").select("text", "label").mapInArrow(_segment_scores(model), "label int, n long, scores array<double>").collect()  # at most max_train rows
+    without = [_fit(counts, k, max_lexicon, prior, min_z) for k in range(FOLDS)]
+    rows = texts.mapInArrow(_segment_scores(without), "label int, n long, scores array<double>").collect()  # at most max_train rows
     clean = [model.lam * max(r["scores"], default=0.0) - math.log(max(r["n"], 1)) for r in rows if not r["label"]]
     if clean:  # K from the mean of clean maxima: E[lam S] = ln(K n) + Euler's constant
         model.log_k = float(np.mean(clean)) - 0.5772
@@ -189,14 +207,19 @@ def train(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col
     return model
 
 
-def _segment_scores(model: ToxicityModel):
+def _segment_scores(models: list[ToxicityModel]):
+    """(label, n, scores) of (text, label, part), each by its part's model."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _Scores(model.lexicon)
+        known = [_Scores(m.lexicon, 100_000) for m in models]
         for batch in batches:
-            tokens = [t.split() for t in texts_of(batch.column(0))]
             labels = pa.array([int(y == 1) for y in batch.column(1).to_pylist()], pa.int32())
-            found = pa.array([[s for *_, s in model.find(t, known)] for t in tokens], pa.list_(pa.float64()))
-            yield pa.RecordBatch.from_arrays([labels, pa.array(list(map(len, tokens)), pa.int64()), found], ["label", "n", "scores"])
+            sizes, found = [], []
+            for text, k in zip(texts_of(batch.column(0)), batch.column(2).to_pylist(), strict=True):
+                tokens = text.split()
+                sizes.append(len(tokens))
+                found.append([s for *_, s in models[k].find(tokens, known[k])])
+            yield pa.RecordBatch.from_arrays([labels, pa.array(sizes, pa.int64()), pa.array(found, pa.list_(pa.float64()))], ["label", "n", "scores"])
 
     return run
 
