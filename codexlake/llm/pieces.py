@@ -14,7 +14,7 @@ Scores and pieces are the model file's.  A character that is no piece becomes it
 UTF-8 bytes, at the least score of any piece less 10.
 
 Defined cases: a null or empty text has no pieces and one segmentation, the empty
-one; equal scores order by the path found first, the same each time; a text with
+one; equal scores come in the same order each time; a text with
 fewer than n segmentations has all of them; ids that are no piece decode to U+2047.
 """
 
@@ -115,13 +115,17 @@ class PieceModel:
         return b"".join(reversed(ids)), suffix, cost
 
     def search(self, text: str, n: int) -> list[tuple[int, bytes]]:
-        """The n best paths (score, ids), by A* from the end."""
+        """The n best paths (score, ids), by A* from the end.
+
+        Among equals the one nearest the start goes first, so that the many ties of
+        a long repeated character do not all have to be opened.
+        """
         best, into = self.lattice(text)
-        agenda: list[tuple] = [(-best[-1], 0, len(text), 0, None)]
+        agenda: list[tuple] = [(-best[-1], len(text), 0, 0, None)]
         out: list[tuple[int, bytes]] = []
         order = 0
         while agenda and len(out) < n:
-            _, _, at, score, path = heapq.heappop(agenda)
+            _, at, _, score, path = heapq.heappop(agenda)
             if not at:
                 ids = []
                 while path:
@@ -131,7 +135,7 @@ class PieceModel:
                 continue
             for start, ids, own in into[at]:
                 order += 1
-                heapq.heappush(agenda, (-(score + own + best[start]), order, start, score + own, (ids, path)))
+                heapq.heappush(agenda, (-(score + own + best[start]), start, order, score + own, (ids, path)))
         return out
 
     def _learn(self, chunk: str) -> tuple[bytes, int, int]:

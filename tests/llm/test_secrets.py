@@ -1,0 +1,66 @@
+import hashlib
+import re
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from codexlake.llm import queries, secrets
+from tests.llm.helpers import ODD, none, odd
+
+
+def naive(text):
+    """The base patterns as stated, short matches dropped afterwards."""
+    out = []
+    for m in re.finditer(r"""(?a)(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", text):
+        out += [(*m.span(), "assign")] * (len(m[2]) >= 6)
+    out += [(*m.span(), "access") for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
+    out += [(*m.span(), "hex") for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 24]
+    return secrets.ordered(out)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from(["password", "PassWd", "ſecret", "api_key", "toKen", "toKen", "=", ":", " ", '"', "'", "abc123", "x", "\n", "AKIA", "ABCD1234", "deadbeef", "0123456789abcdef", "g", "é"]), max_size=20).map("".join))
+def test_base_spans(text):
+    assert secrets.ordered(secrets.base_spans(text)) == naive(text)
+
+
+def spans(text):
+    return [text[s:e] for s, e, _ in secrets.literal_spans(text)]
+
+
+def test_assignments_and_constants():
+    assert spans('client_secret = "q8Zk3-Lm92_xPw7"') == ["q8Zk3-Lm92_xPw7"]
+    assert spans("raw = 'q8Zk3Lm92xPw7aa'\nalias = raw\ndb_password = alias") == ["q8Zk3Lm92xPw7aa"]
+    assert spans("a = 'q8Zk3Lm9'\nb = '2xPw7aaQ'\nauthToken = a + b") == ["q8Zk3Lm9", "2xPw7aaQ"]
+    assert spans('{"private_key": "MIIEv9xQ2w88zz1"}') == ["MIIEv9xQ2w88zz1"]
+    assert spans("DB_PASSWORD=q8Zk3Lm92xPw7") == ["q8Zk3Lm92xPw7"]
+    assert spans('conf["secret"] = "q8Zk3-Lm92_xPw7"') == ["q8Zk3-Lm92_xPw7"]
+
+
+def test_harmless_assignments():
+    assert spans('title = "q8Zk3-Lm92_xPw7"') == []
+    assert spans('password = "changeme"\npassword_hint = "my first pet name"') == []
+    assert spans('public_key_id = "q8Zk3-Lm92_xPw7"') == []
+    assert spans("He said: the token ring was slow; see https://e.org/a=b") == []
+
+
+def test_redaction_covers_overlaps():
+    assert secrets.redact("ab cdef gh", [(3, 6, "assign"), (5, 7, "hex")]) == "ab [SECRET] gh"
+    assert secrets.redact("abc", []) == "abc"
+
+
+def test_query_against_naive(spark, small):
+    texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{small}/documents.parquet").collect()}
+    for r in queries.op3_secret_scan(spark, small).collect():
+        base = naive(texts[r["doc_id"]])
+        assert r["base_sha256"] == hashlib.sha256(secrets.joined(base).encode()).hexdigest()
+        assert [r["n_assign"], r["n_access"], r["n_hex"]] == [sum(s[2] == k for s in base) for k in secrets.KINDS[:3]]
+        assert not base or set(secrets.joined(base).split(",")) <= set(r["spans"].split(","))
+
+
+def test_odd_rows(spark):
+    rows = secrets.scan_secrets(odd(spark)).collect()
+    assert len(rows) == len(ODD) and all(r["spans"] == "" for r in rows)
+    assert secrets.scan_secrets(none(spark)).count() == 0
+    clean = {r["doc_id"]: r["text"] for r in secrets.redact_secrets(odd(spark)).collect()}
+    assert clean[2] is None and clean[3] == ""
