@@ -17,10 +17,12 @@ def path_index(path: str, pattern: str) -> Column:
 
 def grid(df: DataFrame, key: list[str], row: Column, cell: Column, pos: str, text: str) -> DataFrame:
     """(key, grid): a dense rectangle; texts of one cell joined by spaces, gaps ''."""
-    cells = df.select(*key, row.alias("r"), cell.alias("c"), F.col(pos).alias("p"), F.trim(F.col(text)).alias("t")).where("r is not null and c is not null")
-    one = cells.groupBy(*key, "r", "c").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("t") != "", F.struct("p", "t")))), lambda x: x["t"]), " ").alias("t"))
-    whole = one.groupBy(*key).agg(F.max("r").alias("nr"), F.max("c").alias("nc"), F.map_from_entries(F.collect_list(F.struct(F.struct("r", "c"), "t"))).alias("m"))
-    made = F.transform(F.sequence(F.lit(1), "nr"), lambda r: F.transform(F.sequence(F.lit(1), F.col("nc")), lambda c: F.coalesce(F.try_element_at("m", F.struct(r.alias("r"), c.alias("c"))), F.lit(""))))
+    cells = df.select(*key, row.alias("_r"), cell.alias("_c"), F.col(pos).alias("_p"), F.trim(F.col(text)).alias("_t")).where("_r is not null and _c is not null")
+    parts = F.array_sort(F.collect_list(F.when(F.col("_t") != "", F.struct("_p", "_t"))))
+    one = cells.groupBy(*key, "_r", "_c").agg(F.array_join(F.transform(parts, lambda x: x["_t"]), " ").alias("_t"))
+    whole = one.groupBy(*key).agg(F.max("_r").alias("_nr"), F.max("_c").alias("_nc"), F.map_from_entries(F.collect_list(F.struct(F.struct("_r", "_c"), "_t"))).alias("_m"))
+    cell_at = lambda r, c: F.coalesce(F.try_element_at("_m", F.struct(r.alias("_r"), c.alias("_c"))), F.lit(""))
+    made = F.transform(F.sequence(F.lit(1), "_nr"), lambda r: F.transform(F.sequence(F.lit(1), F.col("_nc")), lambda c: cell_at(r, c)))
     return whole.select(*key, made.alias("grid"))
 
 

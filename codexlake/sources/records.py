@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,8 +16,8 @@ COLLECTION = (
     f"category struct<folder:{_LEVEL},section:{_LEVEL},subsection:{_LEVEL}>, versions array<{VERSION}>"
 )
 ELEMENT = (
-    "Path string, Text string, Page int, Bounds array<double>, CharBounds array<array<double>>, TextSize double, "
-    "Font struct<weight:double,family_name:string>, attributes map<string,string>"
+    "struct<Path:string,Text:string,Page:int,Bounds:array<double>,CharBounds:array<array<double>>,TextSize:double,"
+    "Font:struct<weight:double,family_name:string>,attributes:map<string,string>>"
 )
 
 
@@ -102,7 +100,7 @@ def affair_rows(dispatches: DataFrame) -> DataFrame:
 
 def read_elements(spark: SparkSession, path: str) -> DataFrame:
     """Layout elements of landed files, numbered in file order."""
-    raw = spark.read.schema(f"elements array<struct<{ELEMENT.replace(' string', ':string').replace(' int', ':int').replace(' double', ':double').replace(' array', ':array').replace(' struct', ':struct').replace(' map', ':map').replace(', ', ',')}>>").json(path, multiLine=True)
+    raw = spark.read.schema(f"elements array<{ELEMENT}>").json(path, multiLine=True)
     named = raw.withColumn("file", F.input_file_name())
     return named.select("file", F.posexplode("elements").alias("pos", "e")).select("file", "pos", "e.*")
 
@@ -134,7 +132,3 @@ def law_folders(files: DataFrame, column: str = "path") -> DataFrame:
     """(law, version, path) of files laid out as law/YYYYMMDD/name."""
     pattern = r"/([0-9.]+)/(\d{8})/[^/]+$"
     return files.select(F.regexp_extract(column, pattern, 1).alias("law"), F.regexp_extract(column, pattern, 2).alias("version"), F.col(column).alias("path")).where("law <> ''")
-
-
-def camel_to_snake(name: str) -> str:
-    return re.sub(r"(?<=[a-z0-9])([A-Z])", r"_\1", name).lower()
