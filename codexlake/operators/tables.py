@@ -68,7 +68,9 @@ def correction_errors(rules: dict[str, Column]) -> Column:
 
 def cell_changes(original: str, corrected: str) -> Column:
     """array<struct<r,c,old,new>> of the cells in which two grids differ."""
-    rows = F.transform(F.arrays_zip(F.col(original).alias("o"), F.col(corrected).alias("n")), lambda x, r: F.transform(F.arrays_zip(x["o"].alias("o"), x["n"].alias("n")), lambda y, c: F.struct((r + 1).alias("r"), (c + 1).alias("c"), y["o"].alias("old"), y["n"].alias("new"))))
+    row = lambda g: F.coalesce(g, F.array().cast("array<string>"))  # noqa: E731  a row that one grid lacks
+    cells = lambda x, r: F.transform(F.arrays_zip(row(x["o"]).alias("o"), row(x["n"]).alias("n")), lambda y, c: F.struct((r + 1).alias("r"), (c + 1).alias("c"), y["o"].alias("old"), y["n"].alias("new")))
+    rows = F.transform(F.arrays_zip(F.col(original).alias("o"), F.col(corrected).alias("n")), cells)
     return F.filter(F.flatten(rows), lambda x: ~x["old"].eqNullSafe(x["new"]))
 
 
