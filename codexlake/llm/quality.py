@@ -2,10 +2,12 @@
 
 Every line is labelled good or bad.  Its features are shape counts (letters,
 symbols, repeats and the like), cut into quantile bins; a line's emission adds up
-weights of its own bins and of both neighbours'.  Training maximises the chain's
-conditional likelihood with each line under its document's label.  A document's
-quality is the length-weighted mean of the lines' forward-backward marginals,
-turned into a probability by a logistic curve.
+weights of its own bins and of both neighbours'.  Labels are of documents, so the
+lines of a bad one are labelled first: by their own features alone, fitted to the
+documents' labels, where all but the worst line may come out good.  Training then
+maximises the chains' conditional likelihood.  A document's quality comes from the
+length-weighted mean of the lines' forward-backward marginals and the length that
+they call bad, turned into a probability by a logistic curve.
 
 Defined cases: a null text counts as empty; an empty text is one empty line;
 without labels of both kinds every text scores 1; labels whose id or value is null
@@ -153,16 +155,17 @@ def marginals(score: np.ndarray, counts: np.ndarray, move: np.ndarray, start: np
 
 
 def summary(good: np.ndarray, length: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """Per text: the length-weighted mean's logit, and log length."""
+    """Per text: the length-weighted mean's logit, log length, and log bad length."""
     at = np.cumsum(counts) - counts
     weight = length + 1
     total = np.add.reduceat(weight, at) if len(at) else np.empty(0)
     mean = (np.add.reduceat(weight * good, at) if len(at) else np.empty(0)) / total
     mean = np.clip(mean, 1e-4, 1 - 1e-4)
-    return np.stack([np.log(mean / (1 - mean)), np.log1p(total)], 1)
+    bad = np.add.reduceat(weight * (1 - good), at) if len(at) else np.empty(0)
+    return np.stack([np.log(mean / (1 - mean)), np.log1p(total), np.log1p(bad)], 1)
 
 
-def train(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_train: int = 5000, max_lines: int = 300, rounds: int = 120, l2: float = 1e-3) -> QualityModel | None:
+def train(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_train: int = 10_000, max_lines: int = 300, rounds: int = 200, l2: float = 1e-5) -> QualityModel | None:
     """Fit on ``labelled`` (id, label); ``max_train`` texts of ``max_lines`` lines bound it.
 
     The sample is the same each time.  None without labels of both kinds.
@@ -188,32 +191,40 @@ def train(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col
     length = np.concatenate([np.frombuffer(r["length"], np.float32) for r in rows])
     counts = np.array([len(r["length"]) // 4 for r in rows])
     edges = [np.unique(np.quantile(features[:, k], np.arange(1, BINS) / BINS)) for k in range(N_FEATURES)]
-    model = QualityModel(edges, np.zeros((3, N_FEATURES, BINS)), np.zeros((2, 2)), np.zeros(2), np.array([1.0, 0.0, 0.0]))
+    model = QualityModel(edges, np.zeros((3, N_FEATURES, BINS)), np.zeros((2, 2)), np.zeros(2), np.array([1.0, 0.0, 0.0, 0.0]))
     bins = model.bins(features)
     flat = bins + BINS * np.arange(N_FEATURES)
     first, last = _borders(counts)
-    truth = np.repeat(y, counts)
-    label = truth.astype(int)
-    moves = np.zeros((2, 2))
-    np.add.at(moves, (label[~first], label[~first]), 1)
-    starts = np.array([(y == 0).sum(), (y == 1).sum()], float)
     cells = N_FEATURES * BINS
-    parameters = np.zeros(3 * cells + 6)
-    m, v = np.zeros_like(parameters), np.zeros_like(parameters)
-    for step in range(1, rounds + 1):
-        model.emit = parameters[: 3 * cells].reshape(3, N_FEATURES, BINS)
-        model.move, model.start = parameters[3 * cells : 3 * cells + 4].reshape(2, 2), parameters[-2:]
-        good, expected, begun, _ = marginals(model.emissions(bins, counts), counts, model.move, model.start)
-        error = truth - good
-        before, after = error.copy(), error.copy()
-        before[first], after[last] = 0, 0
-        own = [np.bincount(flat.ravel(), np.repeat(e, N_FEATURES), cells) for e in (error, np.r_[before[1:], 0], np.r_[0, after[:-1]])]
-        gradient = np.r_[np.concatenate(own), (moves - expected).ravel(), starts - begun] / len(y) - l2 * parameters
-        m, v = 0.9 * m + 0.1 * gradient, 0.99 * v + 0.01 * gradient**2
-        parameters = parameters + 0.1 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
-    model.emit = parameters[: 3 * cells].reshape(3, N_FEATURES, BINS)
-    model.move, model.start = parameters[3 * cells : 3 * cells + 4].reshape(2, 2), parameters[-2:]
-    good, *_ = marginals(model.emissions(bins, counts), counts, model.move, model.start)
+
+    def fit(truth: np.ndarray, chained: bool, rounds: int) -> np.ndarray:
+        """Adam on the conditional likelihood; P(good) of each line afterwards."""
+        label = truth.astype(int)
+        moves, later = np.zeros((2, 2)), np.flatnonzero(~first)
+        np.add.at(moves, (label[later - 1], label[later]), 1)
+        starts = np.array([(label[first] == 0).sum(), (label[first] == 1).sum()], float)
+        parameters = np.zeros(3 * cells + 6)
+        m, v = np.zeros_like(parameters), np.zeros_like(parameters)
+        used = np.ones_like(parameters)
+        if not chained:
+            used[cells:] = 0
+        for step in range(1, rounds + 2):
+            model.emit = parameters[: 3 * cells].reshape(3, N_FEATURES, BINS)
+            model.move, model.start = parameters[3 * cells : 3 * cells + 4].reshape(2, 2), parameters[-2:]
+            good, expected, begun, _ = marginals(model.emissions(bins, counts), counts, model.move, model.start)
+            if step > rounds:
+                return good
+            error = truth - good
+            before, after = error.copy(), error.copy()
+            before[first], after[last] = 0, 0
+            own = [np.bincount(flat.ravel(), np.repeat(e, N_FEATURES), cells) for e in (error, np.r_[before[1:], 0], np.r_[0, after[:-1]])]
+            gradient = (np.r_[np.concatenate(own), (moves - expected).ravel(), starts - begun] / len(y) - l2 * parameters) * used
+            m, v = 0.9 * m + 0.1 * gradient, 0.99 * v + 0.01 * gradient**2
+            parameters = parameters + 0.3 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
+
+    alone = fit(np.repeat(y, counts), False, rounds // 2)
+    worst = np.repeat(np.minimum.reduceat(alone, np.cumsum(counts) - counts), counts)
+    good = fit(np.where(np.repeat(y, counts) == 1, 1.0, (alone > 0.5) & (alone > worst)), True, rounds)
     model.curve = fit_logistic(summary(good, length, counts), y)
     return model
 

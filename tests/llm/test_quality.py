@@ -37,7 +37,7 @@ def test_line_features_by_hand():
 
 
 def test_emissions_use_neighbours_of_the_same_text_only():
-    m = quality.QualityModel([np.array([0.5])] * quality.N_FEATURES, np.zeros((3, quality.N_FEATURES, quality.BINS)), np.zeros((2, 2)), np.zeros(2), np.zeros(3))
+    m = quality.QualityModel([np.array([0.5])] * quality.N_FEATURES, np.zeros((3, quality.N_FEATURES, quality.BINS)), np.zeros((2, 2)), np.zeros(2), np.zeros(4))
     m.emit[0, 0, 1], m.emit[1, 0, 1], m.emit[2, 0, 1] = 1.0, 10.0, 100.0
     bins = np.zeros((4, quality.N_FEATURES), int)
     bins[:, 0] = [1, 0, 1, 1]
