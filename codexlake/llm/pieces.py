@@ -33,7 +33,7 @@ from codexlake.llm.common import texts_of
 from codexlake.llm.packing import none_at
 
 SPACE = "▁"
-_NONE = (-1, 0)
+_NONE = (b"", 0)
 #: The cost of a second path where there is none.
 NEVER = 1 << 60
 
@@ -41,12 +41,12 @@ NEVER = 1 << 60
 class PieceModel:
     """Pieces and scores of a SentencePiece file, with a bounded memory of chunks."""
 
-    def __init__(self, path: str, memory: int = 500_000):
+    def __init__(self, path: str, memory: int = 1_000_000):
         from sentencepiece import SentencePieceProcessor
 
         sp = SentencePieceProcessor(model_file=path)
         self.byte_ids: dict[int, int] = {}
-        self.table: dict[str, tuple[int, int]] = {}  # piece -> (id, score); a mere beginning of pieces -> _NONE
+        self.table: dict[str, tuple[bytes, int]] = {}  # piece -> (id as bytes, score); a mere beginning of pieces -> _NONE
         self.out: list[bytes] = []
         pairs: set[str] = set()
         scores = []
@@ -58,7 +58,7 @@ class PieceModel:
             elif sp.is_control(k) or sp.is_unknown(k):
                 self.out.append("⁇".encode() if sp.is_unknown(k) else b"")
             else:
-                self.table[piece] = (k, int(sp.get_score(k)))
+                self.table[piece] = (k.to_bytes(4, "little"), int(sp.get_score(k)))
                 self.out.append(piece.replace(SPACE, " ").encode())
                 pairs.update(piece[i : i + 2] for i in range(len(piece) - 1))
                 if sp.get_score(k) > -1e8:
@@ -86,33 +86,57 @@ class PieceModel:
             while j <= n and (hit := get(text[i:j])) is not None:
                 if hit is not _NONE:
                     single = single or j == i + 1
-                    into[j].append((i, hit[0].to_bytes(4, "little"), hit[1]))
+                    into[j].append((i, *hit))
                     if base + hit[1] > best[j]:
                         best[j] = base + hit[1]
                 j += 1
             if not single:
-                ids = b"".join(self.byte_ids[b].to_bytes(4, "little") for b in text[i].encode("utf-8", "surrogatepass"))
-                into[i + 1].append((i, ids, self.unknown))
+                into[i + 1].append((i, *self._spelled(text[i])))
                 if base + self.unknown > best[i + 1]:
                     best[i + 1] = base + self.unknown
         return best, into
 
+    def _spelled(self, character: str) -> tuple[bytes, int]:
+        """The bytes of a character that is no piece, and their score."""
+        return b"".join(self.byte_ids[b].to_bytes(4, "little") for b in character.encode("utf-8", "surrogatepass")), self.unknown
+
     def first_two(self, text: str) -> tuple[bytes, int, int]:
-        """Ids and score of the best path, and what the second costs (NEVER: none)."""
-        best, into = self.lattice(text)
-        at, cost, ids, suffix = len(text), NEVER, [], 0
+        """Ids and score of the best path, and what the second costs (NEVER: none).
+
+        The second path leaves the best one somewhere by the next best edge into a
+        place, so each place keeps its two best ways in and no list of edges.
+        """
+        n, get, low = len(text), self.table.get, -(1 << 62)
+        best, second, came = [0] + [low] * n, [low] * (n + 1), [(0, _NONE)] * (n + 1)
+        for i in range(n):
+            base, j, single = best[i], i + 1, False
+            hit = get(text[i:j])
+            while hit is not None:
+                if hit is not _NONE:
+                    single = single or j == i + 1
+                    value = base + hit[1]
+                    if value > best[j]:
+                        second[j], best[j], came[j] = best[j], value, (i, hit)
+                    elif value > second[j]:
+                        second[j] = value
+                j += 1
+                if j > n:
+                    break
+                hit = get(text[i:j])
+            if not single:
+                hit, j = self._spelled(text[i]), i + 1
+                value = base + hit[1]
+                if value > best[j]:
+                    second[j], best[j], came[j] = best[j], value, (i, hit)
+                elif value > second[j]:
+                    second[j] = value
+        at, cost, ids = n, NEVER, []
         while at:
-            edge, top = None, best[at]
-            for e in into[at]:
-                lost = top - best[e[0]] - e[2]
-                if not lost and edge is None:
-                    edge = e
-                elif lost < cost:  # the rest of the path is the best one's
-                    cost = lost
-            ids.append(edge[1])
-            suffix += edge[2]
-            at = edge[0]
-        return b"".join(reversed(ids)), suffix, cost
+            if second[at] > low and best[at] - second[at] < cost:
+                cost = best[at] - second[at]
+            at, hit = came[at]
+            ids.append(hit[0])
+        return b"".join(reversed(ids)), best[n], cost
 
     def search(self, text: str, n: int) -> list[tuple[int, bytes]]:
         """The n best paths (score, ids), by A* from the end.
@@ -169,7 +193,8 @@ class PieceModel:
         while len(places) < n - 1 and (least := min(left)) < NEVER:
             places.append(left.index(least))
             left[places[-1]] = NEVER
-        paths = [self.search(chunks[i], n) for i in places]
+        # Of equal paths the search may find others first; the one chosen above leads.
+        paths = [[(scores[i], ids[i]), *(p for p in self.search(chunks[i], n) if p[1] != ids[i])][:n] for i in places]
         agenda, seen, out = [(0, (0,) * len(places))], {(0,) * len(places)}, []
         while agenda and len(out) < n:
             lost, choice = heapq.heappop(agenda)
