@@ -7,6 +7,7 @@ independent, so a job is one scan with no shuffle.
 from __future__ import annotations
 
 import difflib
+import hashlib
 import re
 from collections.abc import Iterator
 from html import escape
@@ -220,6 +221,154 @@ def diff_words(old: str | None, new: str | None) -> tuple[int, int, str]:
     return gone, added, " ".join(out)
 
 
+class _Elements(_Walk):
+    """Every element with its attributes, own path depth and text."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.out: list[dict] = []
+        self.open: list[tuple[str, int]] = []
+
+    def opened(self, tag: str, attrs: dict[str, str]) -> None:
+        self.out.append({"position": len(self.out), "tag": tag, "depth": len(self.open), "attributes": attrs, "text": ""})
+        if tag not in VOID:
+            self.open.append((tag, len(self.out) - 1))
+
+    def closed(self, tag: str) -> None:
+        if any(t == tag for t, _ in self.open):
+            while self.open.pop()[0] != tag:
+                pass
+
+    def said(self, data: str) -> None:
+        for _, k in self.open:
+            self.out[k]["text"] += data
+
+
+def elements_of(html: str | None, tag: str | None = None, attribute: str | None = None, value: str | None = None) -> list[dict]:
+    """Elements by tag, by attribute and by its value; of ``class``, one of its words."""
+    out = []
+    for e in _run(_Elements(), html).out:
+        if tag and e["tag"] != tag or attribute and attribute not in e["attributes"]:
+            continue
+        if attribute and value is not None and (value not in e["attributes"][attribute].split() if attribute == "class" else e["attributes"][attribute] != value):
+            continue
+        out.append(e | {"text": " ".join(e["text"].split())})
+    return out
+
+
+class _Tables(_Walk):
+    def __init__(self) -> None:
+        super().__init__()
+        self.out: list[dict] = []
+        self.open: list[int] = []
+        self.cell = False
+
+    def opened(self, tag: str, attrs: dict[str, str]) -> None:
+        if tag == "table":
+            self.out.append({"rows": [], "heads": 0, "caption": attrs.get("id", "")})
+            self.open.append(len(self.out) - 1)
+            self.cell = False
+        elif self.open:
+            rows = self.out[self.open[-1]]["rows"]
+            if tag == "tr":
+                rows.append([])
+            elif tag in ("td", "th"):
+                if not rows:
+                    rows.append([])
+                rows[-1].append(["", tag])
+                self.cell = True
+
+    def closed(self, tag: str) -> None:
+        if tag == "table" and self.open:
+            self.open.pop()
+        elif tag in ("td", "th"):
+            self.cell = False
+
+    def said(self, data: str) -> None:
+        if self.open and self.cell:
+            self.out[self.open[-1]]["rows"][-1][-1][0] += data
+
+
+def tables_of(html: str | None) -> list[dict]:
+    """Tables as rectangular grids, with the number of header rows.
+
+    Header rows are those of ``th`` alone at the top; failing that the first row is
+    one if all its texts are short and none ends a sentence.
+    """
+    out = []
+    for t in _run(_Tables(), html).out:
+        rows = [[" ".join(text.split()) for text, _ in r] for r in t["rows"] if r]
+        kinds = [{k for _, k in r} for r in t["rows"] if r]
+        width = max(map(len, rows), default=0)
+        heads = 0
+        while heads < len(kinds) and kinds[heads] == {"th"}:
+            heads += 1
+        if not heads and len(rows) > 1 and all(0 < len(c) < 50 and not re.search("[.!?]", c) for c in rows[0]):
+            heads = 1
+        out.append({"id": t["caption"], "grid": [r + [""] * (width - len(r)) for r in rows], "header_rows": heads})
+    return out
+
+
+def table_html(grid: list[list[str]], header_rows: int = 1) -> str:
+    """A grid as a table with head and body."""
+    row = lambda cells, tag: "<tr>" + "".join(f"<{tag}>{escape(c, quote=False)}</{tag}>" for c in cells) + "</tr>"
+    head, body = "".join(row(r, "th") for r in grid[:header_rows]), "".join(row(r, "td") for r in grid[header_rows:])
+    return f"<table>{f'<thead>{head}</thead>' if head else ''}<tbody>{body}</tbody></table>"
+
+
+def table_paragraphs(grid: list[list[str]]) -> str:
+    """A rejected table as a paragraph a row."""
+    return "".join(f"<p>{escape(' '.join(c for c in r if c), quote=False)}</p>" for r in grid if any(r))
+
+
+def grid_hash(grid: list[list[str]]) -> str:
+    """16 hex digits over the non-blank cells in document order."""
+    return hashlib.sha256("|".join(c for r in grid for c in r if c).encode()).hexdigest()[:16]
+
+
+class _Lists(_Walk):
+    def __init__(self) -> None:
+        super().__init__()
+        self.level, self.out, self.part = 0, [], None
+
+    def opened(self, tag: str, attrs: dict[str, str]) -> None:
+        if tag == "dl":
+            self.level += 1
+        elif tag == "dt" and self.level:
+            self.out.append({"level": self.level, "term": "", "text": ""})
+            self.part = "term"
+        elif tag == "dd" and self.level:
+            if not self.out or self.part != "term":
+                self.out.append({"level": self.level, "term": "", "text": ""})
+            self.part = "text"
+
+    def closed(self, tag: str) -> None:
+        if tag == "dl":
+            self.level = max(0, self.level - 1)
+        if tag in ("dl", "dd"):
+            self.part = None
+
+    def said(self, data: str) -> None:
+        if self.part and self.out:
+            self.out[-1][self.part] += data
+
+
+def definitions_of(html: str | None) -> list[dict]:
+    """(level, term, text) of definition lists, nested ones after what holds them."""
+    return [d | {"term": " ".join(d["term"].split()), "text": " ".join(d["text"].split())} for d in _run(_Lists(), html).out]
+
+
+def definition(html: str | None, term: str) -> str | None:
+    """The text of the first definition of a term."""
+    return next((d["text"] for d in definitions_of(html) if d["term"].rstrip(":") == term.rstrip(":")), None)
+
+
+def redirect_of(html: str | None, base: str = "") -> str | None:
+    """The target of a script's ``window.location``, joined to the base."""
+    m = re.search(r"""window\.location(?:\.href)?\s*=\s*["']([^"']+)["']""", html or "") or re.search(r"""window\.location\.replace\(\s*["']([^"']+)["']""", html or "")
+    return m and (m[1] if re.match("https?:", m[1]) else base.rstrip("/") + "/" + m[1].lstrip("/"))
+
+
 def _mapped(df: DataFrame, name: str, kind: str, f, *columns: str) -> DataFrame:
     @F.pandas_udf(kind)
     def run(parts: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
@@ -259,3 +408,39 @@ def tag_counts(df: DataFrame, key: str, html: str) -> DataFrame:
 def diff(df: DataFrame, keys: list[str], old: str, new: str) -> DataFrame:
     out = _mapped(df, "_d", "array<struct<removed:int,added:int,marked:string>>", lambda a, b: [dict(zip(("removed", "added", "marked"), diff_words(a, b), strict=True))], old, new)
     return out.select(*keys, F.inline("_d"))
+
+
+def anchors(df: DataFrame, key: str, html: str) -> DataFrame:
+    """(key, prov, sub, seq) of the anchor ids in a page, as ``segment.anchor_map`` reads them."""
+    from codexlake.functions.scalar import anchor_parts
+
+    found = _mapped(df, "_a", "array<string>", lambda h: [e["attributes"]["id"] for e in elements_of(h, attribute="id") if e["attributes"]["id"].startswith("seq-")], html)
+    rows = found.select(key, F.explode("_a").alias("_id")).withColumn("_p", anchor_parts("_id")).where("_p.prov is not null")
+    return rows.select(key, "_p.prov", "_p.sub", "_p.seq")
+
+
+def tables(df: DataFrame, key: str, html: str) -> DataFrame:
+    """(key, position, hash, header_rows, grid) of every table in a page."""
+    kind = "array<struct<hash:string,header_rows:int,grid:array<array<string>>>>"
+    out = _mapped(df, "_t", kind, lambda h: [{"hash": grid_hash(t["grid"]), "header_rows": t["header_rows"], "grid": t["grid"]} for t in tables_of(h)], html)
+    return out.select(key, F.posexplode("_t").alias("position", "_r")).select(key, "position", "_r.*")
+
+
+def apply_table_decisions(html: str | None, outcomes: dict[str, tuple[str, list[list[str]] | None]]) -> str:
+    """A page whose tables are kept, rebuilt, turned into paragraphs or dropped.
+
+    ``outcomes`` has (outcome, corrected grid) by content hash; a merged table goes,
+    its rows being part of the corrected grid of its target.
+    """
+    grids = iter(tables_of(html))
+
+    def one(m: re.Match) -> str:
+        t = next(grids)
+        outcome, corrected = outcomes.get(grid_hash(t["grid"]), ("kept", None))
+        if outcome == "rebuilt" and corrected:
+            return table_html(corrected, max(1, t["header_rows"]))
+        if outcome == "untabled":
+            return table_paragraphs(t["grid"])
+        return "" if outcome == "merged" else m[0]
+
+    return re.sub(r"(?is)<table\b.*?</table\s*>", one, html or "")

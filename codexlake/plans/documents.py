@@ -134,3 +134,10 @@ def html_diff_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     w = Window.partitionBy("host").orderBy("page_id")
     pairs = pages.select("page_id", "html", F.lead("page_id").over(w).alias("next_id"), F.lead("html").over(w).alias("next_html")).where("next_id is not null")
     return html.diff(pairs, ["page_id", "next_id"], "html", "next_html")
+
+
+@query(r"""
+SELECT page_id, unnest(regexp_extract_all(html, '<a href="([^"]*)"', 1)) AS href FROM pages
+""")
+def html_link_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.links(table(spark, sf_dir, "pages").select("page_id", "url", "html"), "page_id", "html", "url").select("page_id", "href")

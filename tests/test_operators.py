@@ -127,6 +127,26 @@ def test_html():
     assert html.text_of(None) == "" and html.markdown_of("") == ""
 
 
+def test_html_structure(spark):
+    page = '<div class="a law"><p id="seq-0-prov-5">x</p><p id="seq-1-prov-5-sub-2">y <b>z</b></p><p id="other">q</p></div><table id="t"><tr><th>A<th>B</tr><tr><td>1<td>2<td>3</table><table><tr><td>Kurz<td>Name</tr><tr><td>Ein Satz.<td></table>'
+    assert [e["text"] for e in html.elements_of(page, "p", "id", "other")] == ["q"] and html.elements_of(page, attribute="class", value="law")[0]["tag"] == "div"
+    first, second = html.tables_of(page)
+    assert first == {"id": "t", "grid": [["A", "B", ""], ["1", "2", "3"]], "header_rows": 1} and second["header_rows"] == 1
+    assert html.table_html([["a", "<"], ["1", "2"]]) == "<table><thead><tr><th>a</th><th>&lt;</th></tr></thead><tbody><tr><td>1</td><td>2</td></tr></tbody></table>"
+    assert html.table_paragraphs([["a", "", "b"], ["", ""]]) == "<p>a b</p>"
+    changed = html.apply_table_decisions(page, {html.grid_hash(first["grid"]): ("untabled", None), html.grid_hash(second["grid"]): ("rebuilt", [["N"], ["w"]])})
+    assert "<p>A B</p><p>1 2 3</p>" in changed and "<th>N</th>" in changed and html.apply_table_decisions(page, {}) == page
+    lists = "<dl><dt>a.</dt><dd>one<dl><dt>1.</dt><dd>deep</dd></dl></dd><dt>Datum:</dt><dd>5</dd></dl>"
+    assert [(d["level"], d["term"], d["text"]) for d in html.definitions_of(lists)] == [(1, "a.", "one"), (2, "1.", "deep"), (1, "Datum:", "5")]
+    assert html.definition(lists, "Datum") == "5" and html.definition(lists, "x") is None
+    assert html.redirect_of("<script>window.location = '/p/1.html'</script>", "http://e.org/") == "http://e.org/p/1.html" and html.redirect_of(None) is None
+    df = spark.createDataFrame([("1", page), ("2", None)], "law string, html string")
+    rows = html.anchors(df, "law", "html")
+    assert {tuple(r) for r in rows.collect()} == {("1", "5", None, 0), ("1", "5", "2", 1)}
+    assert {tuple(r) for r in segment.anchor_map(rows, "law", "prov", "sub", "seq").collect()} == {("1", "5", None, 1), ("1", "5", "2", 2)}
+    assert html.tables(df, "law", "html").count() == 2
+
+
 def test_sources(spark, tmp_path):
     (tmp_path / "c.json").write_text('[{"ordnungsnummer":"1","category":{"folder":{"id":"1","name":"S"}},"versions":[{"nachtragsnummer":"001","law_text_url":"a.pdf","in_force":true},{"nachtragsnummer":"002"}]}]')
     laws = records.read_collection(spark, str(tmp_path / "c.json"))
