@@ -219,3 +219,63 @@ def flatten_kids(df: DataFrame, key: list[str], column: str) -> DataFrame:
 
     kinds = ", ".join(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in key)
     return df.select(*key, column).mapInPandas(walk, f"{kinds}, pos int, path string, text string")
+
+
+def headers_with_section(df: DataFrame, table: str, row: str, text: str = "text") -> DataFrame:
+    """Where a table's first row holds a section sign, that row leaves the table and
+    the rows below move up by one, so that the second becomes the header."""
+    w = Window.partitionBy(table)
+    has = F.coalesce(F.max(F.when((F.col(row) == 1) & F.col(text).contains("§"), 1)).over(w), F.lit(0)) == 1
+    held = df.withColumn("_has", F.col(table).isNotNull() & has)
+    out = held.withColumn(table, F.when(F.col("_has") & (F.col(row) == 1), F.lit(None)).otherwise(F.col(table)))
+    return out.withColumn(row, F.when(F.col("_has"), F.when(F.col(row) > 1, F.col(row) - 1)).otherwise(F.col(row))).drop("_has")
+
+
+def keeps_superscript(position: str, text: str = "text") -> Column:
+    """A superscript of more than five letters is ordinary text."""
+    return (F.col(position) == "Sup") & (F.length(F.regexp_replace(text, "[^a-zA-ZäöüÄÖÜß]", "")) <= 5)
+
+
+def grid_elements(df: DataFrame, key: list[str], grid: str) -> DataFrame:
+    """(key, path, text): a grid's cells as elements, the first row as header cells."""
+    rows = df.select(*key, F.posexplode(grid).alias("_r", "_row"))
+    cells = rows.select(*key, "_r", F.posexplode("_row").alias("_c", "text"))
+    kind = F.when(F.col("_r") == 0, "TH").otherwise("TD")
+    return cells.select(*key, F.concat(F.lit("/Table/TR["), F.col("_r") + 1, F.lit("]/"), kind, F.lit("["), F.col("_c") + 1, F.lit("]")).alias("path"), "text")
+
+
+#: Abbreviations before whose dot or bracket no enumeration begins.
+ABBREVIATIONS = ("Abs", "Art", "Bst", "bzw", "lit", "Lit", "Nr", "vgl", "Ziff", "usw", "ff")
+
+
+def split_enumerators(text: str) -> Column:
+    """array: a text cut before each inline enumerator such as ``b.`` or ``2)``.
+
+    Single capitals, abbreviations and what stands in a bracket, up to 80 characters
+    after it opens, do not cut.
+    """
+    marked = F.regexp_replace(F.col(text), rf"(?<=[,;:.]\s)(?<!\b(?:{'|'.join(ABBREVIATIONS)})\.\s)(?<!\([^()]{{0,80}})((?:[ivx]+|[a-z]|\d{{1,2}})[.)]\s)", "\u0000$1")
+    return F.filter(F.transform(F.split(marked, "\u0000"), lambda x: F.trim(x)), lambda x: x != "")
+
+
+def enumerator_parts(text: str) -> Column:
+    """struct<mark, content> of a text that an enumerator opens; a null mark if none."""
+    pattern = r"(?s)^\s*((?:[ivxIVX]+|[a-zA-Z]|\d+)(?:bis|ter|quater)?[.)]|[–-](?=\s))\s*(.*)$"
+    mark = F.nullif(F.regexp_extract(text, pattern, 1), F.lit(""))
+    return F.struct(mark.alias("mark"), F.when(mark.isNotNull(), F.regexp_extract(text, pattern, 2)).otherwise(F.col(text)).alias("content"))
+
+
+def annex(df: DataFrame, doc: str, footnotes: Column, text: str = "text") -> DataFrame:
+    """Adds ``in_annex``: from the first annex heading to the first footnote after it."""
+    w = Window.partitionBy(doc)
+    start = F.min(F.when(F.lower(F.trim(F.col(text))).rlike(r"(?U)^(anhang|anhänge|verzeichnis)\b"), F.col("pos"))).over(w)
+    placed = df.withColumn("_start", start)
+    end = F.min(F.when(footnotes & (F.col("pos") > F.col("_start")), F.col("pos"))).over(w)
+    return placed.withColumn("_end", end).withColumn("in_annex", F.coalesce((F.col("pos") >= F.col("_start")) & (F.col("_end").isNull() | (F.col("pos") < F.col("_end"))), F.lit(False))).drop("_start", "_end")
+
+
+def article_label(text: str) -> Column:
+    """struct<label, rest> of a text that begins ``Art. n``; a null label if none."""
+    pattern = r"(?s)^\s*(Art\.\s*\d+[a-z]*(?:\s*(?:bis|ter|quater)\b)?)\s*(.*)$"
+    label = F.nullif(F.regexp_extract(text, pattern, 1), F.lit(""))
+    return F.struct(label.alias("label"), F.when(label.isNotNull(), F.regexp_extract(text, pattern, 2)).otherwise(F.col(text)).alias("rest"))

@@ -84,3 +84,25 @@ def test_completion(spark):
     decisions = spark.createDataFrame([("l", "h1", "rejected"), ("l", "h2", "undefined"), ("m", "h1", "merged")], "law string, hash string, status string")
     assert {(r["law"], r["n_undecided"], r["complete"]) for r in workflow.completion(tables, decisions, "law", "hash").collect()} == {("l", 1, False), ("m", 0, True)}
     assert [tuple(r) for r in workflow.undecided(tables, decisions, "law", "hash").collect()] == [("l", "h2")]
+
+
+def test_more_table_rules(spark):
+    rows = [("A", 1, 0, "§ 1"), ("A", 2, 1, "Head"), ("A", 3, 2, "x"), ("B", 1, 3, "y"), (None, None, 4, "§")]
+    out = layout.headers_with_section(spark.createDataFrame(rows, "t string, r int, pos int, text string"), "t", "r").orderBy("pos").collect()
+    assert [(x["t"], x["r"]) for x in out] == [(None, None), ("A", 1), ("A", 2), ("B", 1), (None, None)]
+    cells = layout.grid_elements(spark.createDataFrame([("k", [["a", "b"], ["c"]])], "k string, g array<array<string>>"), ["k"], "g")
+    assert {(r["path"], r["text"]) for r in cells.collect()} == {("/Table/TR[1]/TH[1]", "a"), ("/Table/TR[1]/TH[2]", "b"), ("/Table/TR[2]/TD[1]", "c")}
+    sup = spark.createDataFrame([("Sup", "2bis"), ("Sup", "lettersonly"), ("Sub", "2")], "p string, text string")
+    assert [r["k"] for r in sup.select(layout.keeps_superscript("p").alias("k")).collect()] == [True, False, False]
+
+
+def test_enumerators_annex_and_articles(spark):
+    df = spark.createDataFrame([("Es gilt: a. eins, b. zwei; 3) drei",), ("nach Abs. 2 (vgl. a. oben) gilt A. Meier",)], "text string")
+    assert [r["p"] for r in df.select(layout.split_enumerators("text").alias("p")).collect()] == [["Es gilt:", "a. eins,", "b. zwei;", "3) drei"], ["nach Abs. 2 (vgl. a. oben) gilt A. Meier"]]
+    marks = spark.createDataFrame([("a. eins",), ("2bis) x",), ("– y",), ("kein",)], "text string").select(layout.enumerator_parts("text").alias("e"))
+    assert [tuple(r["e"]) for r in marks.collect()] == [("a.", "eins"), ("2bis)", "x"), ("–", "y"), (None, "kein")]
+    articles = spark.createDataFrame([("Art. 5a Zweck",), ("Text",)], "text string").select(layout.article_label("text").alias("a"))
+    assert [tuple(r["a"]) for r in articles.collect()] == [("Art. 5a", "Zweck"), (None, "Text")]
+    doc = elements(spark, [(0, 0, 0, "1 early note"), (1, 0, 0, "Anhang 1"), (2, 0, 0, "x"), (3, 0, 0, "1 note"), (4, 0, 0, "z")])
+    placed = layout.annex(doc, "doc", F.col("text").endswith("note"))
+    assert [r["in_annex"] for r in placed.orderBy("pos").collect()] == [False, True, True, False, False]
