@@ -18,6 +18,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame, most: int = 256 << 20) -> DataFrame:
+    """A small table over all cores, where its files alone give fewer tasks.
+
+    One file of one row group is one task, however many cores wait.  A table of
+    more than ``most`` bytes is never dealt anew.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(cores) if size <= most and df.rdd.getNumPartitions() < cores else df
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share.
 

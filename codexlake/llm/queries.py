@@ -9,26 +9,30 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from codexlake.llm import language_model, media, packing, pieces, quality, secrets, simhash, topk, toxicity, url_filter
-from codexlake.llm.common import held_out, table
+from codexlake.llm.common import held_out, spread, table
 
 URL_RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/")]
 BYTE_BPE, PIECE_BPE = "byte_bpe_50k.json", "piece_bpe_32k.model"
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE))
+    return packing.pack(documents(spark, sf_dir), public_tokenizers.path(BYTE_BPE))
 
 
 def op2_sentencepiece_nbest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pieces.digest(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECE_BPE), n=3)
+    return pieces.digest(documents(spark, sf_dir), public_tokenizers.path(PIECE_BPE), n=3)
 
 
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secrets.scan_secrets(table(spark, sf_dir, "documents")).drop("span_list")
+    return secrets.scan_secrets(documents(spark, sf_dir)).drop("span_list")
 
 
 def op4_simhash_popcount(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return simhash.near_duplicates(documents(spark, sf_dir))
 
 
 def labels(spark: SparkSession, sf_dir: str, column: str, modulus: int, remainder: int) -> DataFrame:
@@ -37,13 +41,13 @@ def labels(spark: SparkSession, sf_dir: str, column: str, modulus: int, remainde
 
 
 def op5_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = documents(spark, sf_dir)
     model = toxicity.train(docs, labels(spark, sf_dir, "toxic", 4, 2))
     return toxicity.score_toxicity(docs, model).drop("passages").withColumn("held_out", held_out("doc_id", 4, 2))
 
 
 def op6_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = documents(spark, sf_dir)
     model = quality.train(docs, labels(spark, sf_dir, "quality", 5, 0))
     return quality.score_quality(docs, model).withColumn("held_out", held_out("doc_id", 5, 0))
 
@@ -53,13 +57,13 @@ def op7_url_digest_array(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_gru_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = documents(spark, sf_dir)
     scored = language_model.score_documents(docs, docs.where(~held_out("doc_id", 10, 0)))
     return scored.withColumn("held_out", held_out("doc_id", 10, 0))
 
 
 def op9_media_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return media.text_media(table(spark, sf_dir, "documents"))
+    return media.text_media(documents(spark, sf_dir))
 
 
 def op10_multi_index_topk(spark: SparkSession, sf_dir: str) -> DataFrame:

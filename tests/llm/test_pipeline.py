@@ -2,6 +2,7 @@ import public_tokenizers
 
 import corpus_pipeline
 from codexlake.llm import packing, quality, queries, secrets, simhash, toxicity
+from codexlake.llm.common import spread
 from tests.llm.helpers import odd
 from tests.llm.test_packing import check
 from tests.llm.test_secrets import naive
@@ -32,3 +33,10 @@ def test_stages_keep_columns_and_bear_odd_rows(spark, tiny):
         out = stage(spark, docs, tiny)
         assert out.columns == docs.columns
     assert packing.pack(corpus_pipeline.secret_redaction(spark, docs, tiny), public_tokenizers.path(queries.BYTE_BPE)).count() >= docs.count()
+
+
+def test_small_tables_are_spread_and_large_ones_left(spark, tmp_path):
+    spark.range(1000).coalesce(1).write.parquet(str(tmp_path / "one"))
+    one = spark.read.parquet(str(tmp_path / "one"))
+    assert spread(one).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism and spread(one).count() == 1000
+    assert spread(one, most=1).rdd.getNumPartitions() == one.rdd.getNumPartitions()
