@@ -127,12 +127,17 @@ def html_tag_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def html_diff_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Word-level differences between each page and the next of its host."""
+    """Word-level differences between each page and the next of its host.
+
+    Only ids go through the window; the pages are joined to the pairs afterwards, so
+    a host with very many pages sorts numbers and not their text.
+    """
     from pyspark.sql import Window
 
-    pages = table(spark, sf_dir, "pages").withColumn("host", F.regexp_extract("url", "://([^/?#]*)", 1))
-    w = Window.partitionBy("host").orderBy("page_id")
-    pairs = pages.select("page_id", "html", F.lead("page_id").over(w).alias("next_id"), F.lead("html").over(w).alias("next_html")).where("next_id is not null")
+    pages = table(spark, sf_dir, "pages")
+    ids = pages.select("page_id", F.regexp_extract("url", "://([^/?#]*)", 1).alias("host"))
+    pairs = ids.withColumn("next_id", F.lead("page_id").over(Window.partitionBy("host").orderBy("page_id"))).where("next_id is not null").drop("host")
+    pairs = pairs.join(pages.select("page_id", "html"), "page_id").join(pages.select(F.col("page_id").alias("next_id"), F.col("html").alias("next_html")), "next_id")
     return html.diff(pairs, ["page_id", "next_id"], "html", "next_html")
 
 

@@ -67,12 +67,12 @@ def natural_sort_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""
 WITH p AS (SELECT page_id, regexp_replace(url, '^https?://', '') AS r, url FROM pages)
 SELECT page_id, regexp_extract(url, '^(https?)://', 1) AS scheme, regexp_extract(r, '^([^/?#]*)', 1) AS host, regexp_extract(r, '^[^/?#]*/([a-z]{2})/', 1) AS lang, regexp_extract(r, '/([0-9]+)', 1) AS number,
-  regexp_extract(r, '#(.*)$', 1) AS anchor, 'https://e.org/col-zh/' || regexp_extract(r, '/([0-9]+)', 1) || '/latest' || CASE WHEN position('#' IN r) > 0 THEN '#' || regexp_extract(r, '#(.*)$', 1) ELSE '' END AS dynamic FROM p
+  regexp_extract(r, '#(.*)$', 1) AS anchor, 'https://e.org/col-ab/' || regexp_extract(r, '/([0-9]+)', 1) || '/latest' || CASE WHEN position('#' IN r) > 0 THEN '#' || regexp_extract(r, '#(.*)$', 1) ELSE '' END AS dynamic FROM p
 """)
 def url_parse_dynamic(spark: SparkSession, sf_dir: str) -> DataFrame:
     url, number = F.col("url"), F.regexp_extract(F.regexp_replace("url", "^https?://", ""), r"/(\d+)", 1)
     anchor = F.regexp_extract(url, r"#(.*)$", 1)
-    static = F.concat(F.lit("https://e.org/col-zh/"), number, F.lit("-118.html"), F.when(url.contains("#"), F.concat(F.lit("#"), anchor)).otherwise(""))
+    static = F.concat(F.lit("https://e.org/col-ab/"), number, F.lit("-118.html"), F.when(url.contains("#"), F.concat(F.lit("#"), anchor)).otherwise(""))
     return table(spark, sf_dir, "pages").select(
         "page_id", F.regexp_extract(url, r"^(https?)://", 1).alias("scheme"), F.regexp_extract(url, r"^https?://([^/?#]*)", 1).alias("host"), F.regexp_extract(url, r"^https?://[^/?#]*/([a-z]{2})/", 1).alias("lang"),
         number.alias("number"), anchor.alias("anchor"), scalar.dynamic_url(static).alias("dynamic"),

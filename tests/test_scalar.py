@@ -31,7 +31,7 @@ def apply(spark, values, f, kind="string"):
         (scalar.dehyphenate, ["Für-  sorge", "ein-  und aus", "A-  B"], ["Fürsorge", "ein-  und aus", "A-  B"]),
         (scalar.xml_escape, ["a & <b> \"'"], ["a &amp; &lt;b&gt; &quot;&apos;"]),
         (scalar.json_answer, ['x ```json\n{"a": 1}\n``` y', " {} "], ['{"a": 1}', "{}"]),
-        (scalar.dynamic_url, ["https://e.org/col-zh/131.1-118.html#seq-0", "https://e.org/other/1.html"], ["https://e.org/col-zh/131.1/latest#seq-0", "https://e.org/other/1.html"]),
+        (scalar.dynamic_url, ["https://e.org/col-ab/131.1-118.html#seq-0", "https://e.org/other/1.html"], ["https://e.org/col-ab/131.1/latest#seq-0", "https://e.org/other/1.html"]),
         (scalar.footnote_text, ["a , b ( c ) .d"], ["a, b (c). d"]),
     ],
 )
