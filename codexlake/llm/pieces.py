@@ -163,13 +163,24 @@ class PieceModel:
         return out
 
     def _learn(self, chunk: str) -> tuple[bytes, int, int]:
-        stem = chunk[:-1]
-        if len(chunk) > 2 and chunk[-2:] not in self.pairs and chunk[-2] != SPACE:  # no piece holds the last character with what is before it
-            a, b = (self.known.get(part) or self._learn(part) for part in (stem, chunk[-1]))
-            own = (a[0] + b[0], a[1] + b[1], min(a[2], b[2]))
-        else:
+        pairs, cuts = self.pairs, [0]
+        cuts += [i for i in range(1, len(chunk)) if chunk[i - 1 : i + 1] not in pairs]  # no piece holds both characters
+        if len(cuts) == 1:
             own = self.first_two(chunk)
-        if len(self.known) < self.memory:
+        else:
+            parts = []
+            for low, high in zip(cuts, [*cuts[1:], len(chunk)], strict=True):
+                part = chunk[low:high]
+                if (found := self.known.get(part)) is None:
+                    found = self._keep(part, self.first_two(part))
+                parts.append(found)
+            ids, scores, costs = zip(*parts, strict=True)
+            own = (b"".join(ids), sum(scores), min(costs))
+        return self._keep(chunk, own)
+
+    def _keep(self, chunk: str, own: tuple[bytes, int, int]) -> tuple[bytes, int, int]:
+        """Remembers a chunk, unless it is so long that it hardly comes again."""
+        if len(self.known) < self.memory and len(chunk) <= 256:
             self.known[chunk] = own
         return own
 

@@ -75,3 +75,21 @@ def test_odd_rows_and_frames(spark):
 def test_query_restores_every_text(spark, tiny):
     rows = queries.op2_sentencepiece_nbest(spark, tiny).collect()
     assert len(rows) == 200 and all(r["restored"] and r["n_best"] == 3 for r in rows)
+
+
+@pytest.mark.parametrize("unit", ["1", "1234567890", "日本", "ก", "😀", "☃a1", "日本ab"])
+def test_long_runs_without_spaces(unit):
+    model, text = pieces.PieceModel(PATH), (unit * 100_000)[:100_000]
+    whole = pieces.SPACE + text
+    score, ids = model.encode(text)[0]
+    assert (ids, score) == model.first_two(whole)[:2]
+    assert model.decode(np.frombuffer(ids, "<i4").tolist()) == text
+    assert sum(map(len, model.known)) < 10_000
+    assert model.encode(text, 3)[0] == (score, ids)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.text(alphabet="ab1é日☃,", min_size=1, max_size=30))
+def test_parts_of_a_chunk_join_to_the_whole(text):
+    model = pieces.PieceModel(PATH)
+    assert model._learn(pieces.SPACE + text) == model.first_two(pieces.SPACE + text)
