@@ -1,9 +1,12 @@
 """Log-likelihood of whole documents under a gated recurrent language model.
 
 The base score is an add-0.1 unigram model whose counts cover every training
-document.  The model is a GRU in numpy over the most frequent words, trained by
-truncated backpropagation on a bounded sample, with an output softmax factored by
-frequency classes: P(word) = P(class | state) P(word | class, state).  A rarer
+document.  The model is a GRU in numpy over the most frequent words, as many as the
+square root of the counted tokens at least, with an output softmax factored by
+frequency classes: P(word) = P(class | state) P(word | class, state).  It starts
+from a bounded sample on the driver; then each task goes on from there by truncated
+backpropagation over all its training rows, and the tasks' weights are averaged by
+the symbols they saw.  A rarer
 word is the symbol ``other`` times its share of the rare words' unigram mass, so
 every text has a proper probability.  Documents are scored in lanes: a lane reads
 one document after another in windows, and its state is carried from window to
@@ -108,7 +111,7 @@ class GruModel:
             out[rows] += inner[np.arange(len(rows)), targets[rows] - low] - top - np.log(np.exp(inner - top[:, None]).sum(1))
         return out
 
-    def train(self, documents: list[np.ndarray], lanes: int = 64, window: int = 32, epochs: int = 1, rate: float = 0.01, decay: float = 0.2) -> float:
+    def train(self, documents: list[np.ndarray], lanes: int = 64, window: int = 32, epochs: int = 1, rate: float = 0.01, decay: float = 0.2, context: list[int] | None = None) -> float:
         """Adam with backpropagation cut off at each window's start; mean loss."""
         p = self.p
         first, second = ({k: np.zeros_like(v) for k, v in p.items()} for _ in range(2))
@@ -116,7 +119,7 @@ class GruModel:
         plan = lane_plan([len(d) for d in documents], lanes)
         total = max((sum(len(documents[d]) for d in lane) for lane in plan), default=0) // window * epochs + 1
         for _ in range(epochs):
-            for inputs, fresh, targets, mask in windows(documents, plan, window, len(self.classes)):
+            for inputs, fresh, targets, mask in windows(documents, plan, window, len(self.classes), context):
                 if step == 0 or fresh.shape[1] != state.shape[0]:  # noqa: F821
                     state = np.zeros((fresh.shape[1], self.hidden), np.float32)
                 states, state_after, saved = self.forward(inputs, fresh, state, keep=True)
@@ -207,12 +210,16 @@ def lane_plan(sizes: list[int], lanes: int) -> list[list[int]]:
     return sorted(out, key=lambda lane: -sum(sizes[d] for d in lane))
 
 
-def windows(documents: list[np.ndarray], plan: list[list[int]], window: int, begin: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """(inputs, fresh, targets, mask) of each window, step by lane; ended lanes go."""
+def windows(documents: list[np.ndarray], plan: list[list[int]], window: int, begin: int, context: list[int] | None = None) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(inputs, fresh, targets, mask) of each window, step by lane; ended lanes go.
+
+    ``context`` gives the symbol before each document, where that is not ``begin``.
+    """
     lanes = [np.concatenate([documents[d] for d in lane]) if lane else np.empty(0, np.int32) for lane in plan]
-    heads = []
+    heads, opens = [], []
     for lane, own in zip(plan, lanes, strict=True):
         head = np.zeros(len(own), bool)
+        opens.append(np.repeat([begin if context is None else context[d] for d in lane], [len(documents[d]) for d in lane]) if lane else own)
         if lane:
             ends = np.cumsum([len(documents[d]) for d in lane])
             head[np.r_[0, ends[:-1]]] = True
@@ -227,7 +234,7 @@ def windows(documents: list[np.ndarray], plan: list[list[int]], window: int, beg
             m = len(own)
             targets[:m, k], fresh[:m, k], mask[:m, k] = own, head, True
             before = lanes[k][low - 1 : low + m - 1] if low else np.r_[begin, own[:-1]]
-            inputs[:m, k] = np.where(head, begin, before)
+            inputs[:m, k] = np.where(head, opens[k][low : low + m], before)
         yield inputs, fresh, targets, mask
 
 
@@ -266,6 +273,65 @@ def train(sample: list[bytes], words: list[bytes], hidden: int = 24, n_classes:
     return model
 
 
+def pieces_of(symbols: list[np.ndarray], begin: int, most: int = 4096) -> tuple[list[np.ndarray], list[int]]:
+    """Documents in pieces of bounded length, and the symbol before each piece."""
+    parts = [(d[low : low + most], int(d[low - 1]) if low else begin) for d in symbols for low in range(0, len(d), most)]
+    return [p for p, _ in parts], [c for _, c in parts]
+
+
+def train_everywhere(model: GruModel, training: DataFrame, text_col: str, rate: float = 0.003, lanes: int = 128, block: int = 4 << 20, width: int = 1 << 16) -> GruModel:
+    """The model after all rows: each task trains on its own, and the weights are averaged.
+
+    Tasks start from one model, so that their weights can be averaged at all.  The
+    sums are made in slices of the weights, none of them on the driver.
+    """
+    names = sorted(model.p)
+    shared = training.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        start = shared.value
+        own = GruModel(start.words, start.classes, start.starts, {k: v.copy() for k, v in start.p.items()})
+        get, seen, held, size = own.words.get, 0, [], 0
+
+        def learn() -> int:
+            pieces, context = pieces_of([np.array([get(t, 0) for t in tokens(x)], np.int32) for x in held], len(own.classes))
+            n = sum(map(len, pieces))
+            own.train(pieces, lanes=max(8, min(lanes, n // 8192)), rate=rate, context=context)  # few symbols still make many steps
+            return n
+
+        for batch in batches:
+            for text in bytes_of(batch.column(0)):
+                held.append(text)
+                size += len(text)
+                if size >= block:
+                    seen += learn()
+                    held, size = [], 0
+        if held:
+            seen += learn()
+        if seen:
+            flat = np.concatenate([own.p[k].ravel() for k in names])
+            for n, low in enumerate(range(0, len(flat), width)):
+                yield pa.RecordBatch.from_arrays([pa.array([n], pa.int32()), pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([seen], pa.int64()), pa.array([flat[low : low + width].tobytes()], pa.binary())], ["n", "task", "seen", "weights"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, list] = {}
+        for batch in batches:
+            for n, _, seen, weights in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                so_far = total.setdefault(n, [0, 0.0])
+                so_far[0] += seen
+                so_far[1] = so_far[1] + seen * np.frombuffer(weights, np.float32).astype(np.float64)
+        for n, (seen, weights) in total.items():
+            yield pa.RecordBatch.from_arrays([pa.array([n], pa.int32()), pa.array([(weights / seen).astype(np.float32).tobytes()], pa.binary())], ["n", "weights"])
+
+    parts = training.select(text_col).mapInArrow(run, "n int, task int, seen long, weights binary")
+    slices = parts.repartition("n").sortWithinPartitions("n", "task").mapInArrow(add, "n int, weights binary").collect()
+    if not slices:
+        return model
+    flat = np.concatenate([np.frombuffer(r["weights"], np.float32) for r in sorted(slices, key=lambda r: r["n"])])
+    ends = np.cumsum([model.p[k].size for k in names])[:-1]
+    return GruModel(model.words, model.classes, model.starts, {k: v.reshape(model.p[k].shape).copy() for k, v in zip(names, np.split(flat, ends), strict=True)})
+
+
 def head_threshold(counts: DataFrame, limit: int) -> int:
     """The least count such that at most ``limit`` tokens have as much.
 
@@ -293,9 +359,10 @@ def score_documents(
 ) -> DataFrame:
     """(id, n_tokens, n_known, train_tokens, base_score, score) of every row.
 
-    ``training`` holds the rows to learn from.  All of them are counted; the GRU
-    alone is fitted to a sample: the ``max_train`` texts of least hash among those
-    of at most a twentieth of ``max_train_chars``, as far as that many characters go.
+    ``training`` holds the rows to learn from.  All of them are counted, and the GRU
+    is trained on all of them.  Only its start is fitted to a sample: the ``max_train``
+    texts of least hash among those of at most a twentieth of ``max_train_chars``, as
+    far as that many characters go.  ``vocabulary`` is the least number of its words.
     """
     counts = cut(count_tokens(training, text_col), "token-counts")
     total = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
@@ -304,10 +371,11 @@ def score_documents(
     least = head_threshold(counts, max_head)
     top = sorted(((-r["c"], bytes(r["token"])) for r in counts.where(F.col("c") >= least).collect()))  # at most max_head rows
     head = {w: math.log10(0.1 - c) - log_norm for c, w in top}
-    words = [w for _, w in top[:vocabulary]]
+    words = [w for _, w in top[: max(vocabulary, math.isqrt(n))]]
     few = hash_sample(training.select(F.col(text_col).alias("t")).where(F.length("t") <= max_train_chars // 20), ["t"], max_train).withColumn("h", F.xxhash64("t"))
     so_far = F.sum(F.length("t")).over(Window.orderBy("h", "t").rowsBetween(Window.unboundedPreceding, 0))
-    model = train([r["t"].encode() for r in few.withColumn("s", so_far).where(F.col("s") <= max_train_chars).select("t").collect()], words)
+    model = train([r["t"].encode() for r in few.withColumn("s", so_far).where(F.col("s") <= max_train_chars).select("t").collect()], words, n_classes=max(45, math.isqrt(len(words))))
+    model = train_everywhere(model, training, text_col)
     shared = docs.sparkSession.sparkContext.broadcast((head, model))
     log_rare = math.log10(max(1e-12, 1.0 - sum(10 ** head[w] for w in words)))
 

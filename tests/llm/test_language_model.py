@@ -129,3 +129,32 @@ def test_odd_rows(spark):
     assert lm.score_documents(none(spark), none(spark)).count() == 0
     alone = lm.score_documents(docs, none(spark).select("doc_id", "text")).collect()
     assert len(alone) == len(ODD) and all(r["base_score"] == 0 and r["n_known"] == 0 for r in alone)
+
+
+CYCLE = " ".join(["red", "green", "blue", "grey", "pink", "gold", "black", "white"] * 6000)
+
+
+@pytest.mark.parametrize("texts", [[CYCLE], [CYCLE[:3000]] * 100])
+def test_rows_outside_the_first_sample_are_learnt(spark, texts):
+    """No text is short enough for the sample; all the learning is the tasks' own."""
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = lm.score_documents(docs, docs, max_train_chars=20).collect()
+    assert all(r["score"] > 0.7 * r["base_score"] for r in rows)
+
+
+def test_vocabulary_grows_with_the_counts(spark, monkeypatch):
+    sizes = []
+    new = lm.GruModel.new
+    monkeypatch.setattr(lm.GruModel, "new", lambda words, *a: sizes.append(len(words)) or new(words, *a))
+    for n in (100, 10_000):
+        docs = spark.createDataFrame([(1, " ".join(f"w{k % 300}" for k in range(n)))], "doc_id long, text string")
+        lm.score_documents(docs, docs, vocabulary=3).collect()
+    assert sizes == [10, 100]
+
+
+def test_pieces_of_long_documents():
+    docs = [np.arange(10, dtype=np.int32), np.arange(3, dtype=np.int32)]
+    parts, context = lm.pieces_of(docs, 99, 4)
+    assert [p.tolist() for p in parts] == [[0, 1, 2, 3], [4, 5, 6, 7], [8, 9], [0, 1, 2]] and context == [99, 3, 7, 99]
+    first = [next(lm.windows(parts, [[k]], 8, 99, context))[0][0, 0] for k in range(4)]
+    assert first == context
