@@ -39,7 +39,7 @@ _PAIR = re.compile(
     r"""(?P<name>[A-Za-z_$][\w$.\-]{0,127}|"[^"\n]{1,128}"|'[^'\n]{1,128}')(?:\[(?P<item>"[^"\n]{1,128}"|'[^'\n]{1,128}')\])?[^\S\n]*(?::=|=>|=(?![=>~])|:(?![:/=]))[^\S\n]*"""
 )
 _TERM = re.compile(r"""(?P<quoted>[rbuf]{0,2}(?:"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*'|`[^`\n]*`))|(?P<ref>\$?\{?[A-Za-z_][\w.]*\}?(?![\w+/=-]))|(?P<bare>[^\s,;"'`(){}<>\[\]]+)""")
-_PLUS = re.compile(r"[^\S\n]*\+[^\S\n]*")
+_PLUS = re.compile(r"\s*\+\s*")
 #: Parts of names, and how sensitive a name with that part is.
 SENSITIVE = {
     "password": 1.0, "passwd": 1.0, "pwd": 0.9, "passphrase": 1.0, "secret": 1.0, "token": 0.9, "apikey": 1.0, "credential": 0.9, "credentials": 0.9,
@@ -92,23 +92,28 @@ def literal_spans(text: str, threshold: float = 0.4) -> list[tuple[int, int, str
     at = 0
     while m := _PAIR.search(text, at):
         name = (m["item"] or m["name"]).strip("\"'")
-        at, parts, first = m.end(), [], True
+        at, parts, first, refs, code = m.end(), [], True, 0, False
         while first or (plus := _PLUS.match(text, at)):
             term = _TERM.match(text, at if first else plus.end())
             if not term:
                 break
-            first, at = False, term.end()
+            # Over a line end only code goes on: not a list, nor a patch whose next line is an assignment.
+            if not first and "\n" in plus[0] and (_PAIR.match(text, plus.end()) or not (code or term["quoted"])):
+                break
+            first, at, code = False, term.end(), True
             if quoted := term["quoted"]:
                 lead = len(quoted) - len(quoted.lstrip("rbuf")) + 1
                 parts.append((quoted[lead:-1], term.start() + lead, term.end() - 1))
             elif (ref := term["ref"]) and (known := constants.get(ref.strip("${}")) or constants.get(ref.strip("${}").rsplit(".", 1)[-1])):
                 parts += known
+                refs += 1
             else:
+                code = False
                 parts.append((term[0], *term.span()))
         if not parts:
             at = max(at, m.end())
             continue
-        constants[name.rsplit(".", 1)[-1]] = parts[:16]  # a name's own parts: a bound on one expression, its spans are scored below whole
+        constants[name.rsplit(".", 1)[-1]] = list(dict.fromkeys(parts)) if refs > 1 else parts  # each literal once, so that x = x + x does not double
         if (weight := name_score(name)) and weight * literal_score("".join(p[0] for p in parts)) >= threshold:
             for _, start, end in parts:
                 if end - start >= 4:

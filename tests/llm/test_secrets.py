@@ -64,3 +64,18 @@ def test_odd_rows(spark):
     assert secrets.scan_secrets(none(spark)).count() == 0
     clean = {r["doc_id"]: r["text"] for r in secrets.redact_secrets(odd(spark)).collect()}
     assert clean[2] is None and clean[3] == ""
+
+
+def test_constants_of_many_parts_and_over_lines():
+    parts = [f"q8Zk{k:02}Lm" for k in range(20)]
+    assert spans("x = " + " + ".join(f'"{p}"' for p in parts) + "\npassword = x") == parts
+    chain = "".join(f"x = x + '{p}'\n" for p in parts[1:])
+    assert spans(f"x = '{parts[0]}'\n{chain}password = x") == parts
+    assert spans("x = 'q8Zk3Lm92xPw7'\n" + "x = x + x\n" * 60 + "password = x") == ["q8Zk3Lm92xPw7"]
+    assert spans("password = ('q8Zk3Lm9' +\n  '2xPw7aaQ')".replace("(", "")) == ["q8Zk3Lm9", "2xPw7aaQ"]
+    assert spans("password = 'q8Zk3Lm9'\n  + '2xPw7aaQ'\r\n  + 'Lm92xPw7'") == ["q8Zk3Lm9", "2xPw7aaQ", "Lm92xPw7"]
+
+
+def test_lists_and_patches_are_no_continuation():
+    assert spans("+password = 'q8Zk3Lm92xPw7'\n+token = 'Lm92xPw7q8Zk3'") == ["q8Zk3Lm92xPw7", "Lm92xPw7q8Zk3"]
+    assert spans("password: q8Zk3Lm92xPw7\n+ words of a list") == ["q8Zk3Lm92xPw7"]
