@@ -23,7 +23,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from codexlake.llm.common import bytes_of, fit_logistic, hash_sample, sigmoid
@@ -165,31 +165,47 @@ def summary(good: np.ndarray, length: np.ndarray, counts: np.ndarray) -> np.ndar
     return np.stack([np.log(mean / (1 - mean)), np.log1p(total), np.log1p(bad)], 1)
 
 
+def whole_texts(docs: DataFrame, few: DataFrame, id_col: str, text_col: str, most: int) -> DataFrame:
+    """The rows of ``few`` in order of hash, until their texts have ``most`` lines.
+
+    The last text is taken whole, however long, so that no length is left out.
+    """
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    lines = F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))) + 1
+    sizes = docs.select(F.col(id_col).alias("id"), lines.alias("lines")).join(F.broadcast(few), "id").groupBy("id").agg(F.sum("lines").alias("lines"))
+    before = Window.orderBy(F.pmod(F.xxhash64("id"), F.lit(1 << 30)), "id").rowsBetween(Window.unboundedPreceding, -1)
+    return few.join(sizes.select("id", F.coalesce(F.sum("lines").over(before), F.lit(0)).alias("before")), "id").where(F.col("before") < most).drop("before")
+
+
 def train(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_train: int = 10_000, max_lines: int = 300, rounds: int = 200, l2: float = 1e-5) -> QualityModel | None:
-    """Fit on ``labelled`` (id, label); ``max_train`` texts of ``max_lines`` lines bound it.
+    """Fit on ``labelled`` (id, label); a sample of whole texts, ``max_train`` at most.
 
-    The sample is the same each time.  None without labels of both kinds.
+    There are fewer of them where they have over ``max_train`` times ``max_lines`` lines
+    in all.  The chain learns from windows of ``max_lines`` lines, which cover a text;
+    the curve is fitted to whole texts.  The sample is the same each time.  None
+    without labels of both kinds.
     """
     few = hash_sample(labelled.where("id is not null and label is not null").groupBy("id").agg(F.max("label").alias("label")), ["id"], max_train)
-    sample = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(few), "id").select("text", "label")
+    sample = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(whole_texts(docs, few, id_col, text_col, max_train * max_lines)), "id").select("text", "label")
 
     def shapes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
             for text, label in zip(bytes_of(batch.column(0)), batch.column(1).to_pylist(), strict=True):
                 features, length, _ = line_features([text])
-                rows.append((int(label == 1), features[:max_lines].tobytes(), length[:max_lines].tobytes()))
+                rows.append((int(label == 1), features.tobytes(), length.tobytes()))
             columns = list(zip(*rows, strict=True)) or [()] * 3
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.binary(), pa.binary()), strict=True)], ["label", "features", "length"])
 
-    rows = sample.mapInArrow(shapes, "label int, features binary, length binary").collect()  # at most max_train x max_lines lines
+    rows = sample.mapInArrow(shapes, "label int, features binary, length binary").collect()  # about max_train x max_lines lines at most
     rows.sort(key=lambda r: (r["features"], r["label"]))
     y = np.array([r["label"] for r in rows], float)
     if not 0 < y.sum() < len(y):
         return None
     features = np.concatenate([np.frombuffer(r["features"], np.float32).reshape(-1, N_FEATURES) for r in rows])
     length = np.concatenate([np.frombuffer(r["length"], np.float32) for r in rows])
-    counts = np.array([len(r["length"]) // 4 for r in rows])
+    texts = np.array([len(r["length"]) // 4 for r in rows])
+    counts = np.array([min(max_lines, n - low) for n in texts.tolist() for low in range(0, n, max_lines)])
     edges = [np.unique(np.quantile(features[:, k], np.arange(1, BINS) / BINS)) for k in range(N_FEATURES)]
     model = QualityModel(edges, np.zeros((3, N_FEATURES, BINS)), np.zeros((2, 2)), np.zeros(2), np.array([1.0, 0.0, 0.0, 0.0]))
     bins = model.bins(features)
@@ -222,10 +238,10 @@ def train(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col
             m, v = 0.9 * m + 0.1 * gradient, 0.99 * v + 0.01 * gradient**2
             parameters = parameters + 0.3 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
 
-    alone = fit(np.repeat(y, counts), False, rounds // 2)
-    worst = np.repeat(np.minimum.reduceat(alone, np.cumsum(counts) - counts), counts)
-    good = fit(np.where(np.repeat(y, counts) == 1, 1.0, (alone > 0.5) & (alone > worst)), True, rounds)
-    model.curve = fit_logistic(summary(good, length, counts), y)
+    alone = fit(np.repeat(y, texts), False, rounds // 2)
+    worst = np.repeat(np.minimum.reduceat(alone, np.cumsum(texts) - texts), texts)
+    good = fit(np.where(np.repeat(y, texts) == 1, 1.0, (alone > 0.5) & (alone > worst)), True, rounds)
+    model.curve = fit_logistic(summary(good, length, texts), y)
     return model
 
 

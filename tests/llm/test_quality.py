@@ -68,3 +68,18 @@ def test_chunks_of_texts_change_nothing(spark, small):
     model = quality.train(docs, spark.read.parquet(f"{small}/labels.parquet").selectExpr("doc_id as id", "quality as label"), rounds=5)
     texts = [r["text"].encode() for r in docs.limit(40).collect()]
     assert np.allclose(model.rate(texts, 1000)[0], model.rate(texts)[0])
+
+
+def test_what_is_bad_after_many_lines_is_learnt(spark):
+    line = lambda i, bad: f"$$$ {i:03} ### BUY!!! @@@ ~~~ %%% 0000 {{}} [[ ]]" if bad else f"These are plain words of a sentence, written {i:03}."
+    texts = [(k, "\n".join(line(i, k % 2 and i >= 320) for i in range(400))) for k in range(20)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    model = quality.train(docs, docs.selectExpr("doc_id as id", "1 - doc_id % 2 as label"), rounds=20)
+    score = {r["doc_id"]: r["score"] for r in quality.score_quality(docs, model).collect()}
+    assert min(score[k] for k in score if k % 2 == 0) > max(score[k] for k in score if k % 2) + 0.2
+
+
+def test_fewer_whole_texts_within_the_bound(spark):
+    docs = spark.createDataFrame([(k, "a\n" * 9) for k in range(20)] + [(99, None)], "doc_id long, text string")
+    few = docs.where("doc_id < 99").selectExpr("doc_id as id", "1 as label")
+    assert [quality.whole_texts(docs, few, "doc_id", "text", most).count() for most in (1, 10, 11, 200, 1000)] == [1, 1, 2, 20, 20]
