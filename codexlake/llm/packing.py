@@ -16,12 +16,16 @@ placed at once, with the same outcome as one by one.  Pieces then find their
 place by their rank among those of equal length.
 
 Defined cases: a null text counts as empty; an empty text is one piece with the
-end id alone; repeated rows are packed separately; an empty table gives no rows.
+end id alone; a very long text is cut into pieces of ``max_tokens``, the first one
+shorter; the string of an added token is that token; repeated rows and null ids are
+packed separately; ties between bins go to the one opened first; an empty table
+gives no rows; other columns of the input, whatever their names, are not read.
 """
 
 from __future__ import annotations
 
 import heapq
+import json
 import os
 import re
 import zlib
@@ -35,84 +39,89 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from codexlake.llm.common import cut, texts_of
+from codexlake.llm.common import cut
 
-#: White space besides space and newline, where chunks could not be cut safely.
-_ODD_SPACE = re.compile(r"[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
-_CHUNK = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
+#: How a byte-level tokenizer file of this kind splits text before its merges.
+_SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: White space in runs that the rank engine's backtracking may not get through.
+_LONG_SPACE = re.compile(r"\s{1000}")
 
 
-class ChunkEncoder:
-    """Token ids as little-endian uint32 bytes, with a bounded memory of chunks.
+def token_bytes(vocabulary: dict[str, int]) -> dict[bytes, int]:
+    """The bytes behind a byte-level vocabulary, where printable Latin-1 stands for itself."""
+    plain = [b for b in range(256) if chr(b).isprintable() and chr(b) != " "]
+    letters = {chr(b): b for b in plain} | {chr(256 + n): b for n, b in enumerate(b for b in range(256) if b not in plain)}
+    return {bytes(map(letters.__getitem__, t)): i for t, i in vocabulary.items()}
 
-    The byte-level pre-tokenizer never joins text across a change from a visible
-    character to white space, so ids of chunks cut there are the ids of the whole.
-    Only texts without other white space are cut; the rest are encoded whole.
+
+def ranks_suffice(path: str) -> bool:
+    """Whether merging by the rank of the merged token gives the ids that the file's merge list gives.
+
+    It does if ids ascend with the merges and every token, taken alone, encodes to
+    itself.  Merges within a span that is never crossed go as they go for the span
+    alone, so before a token's own merge its span is in the one state that this merge
+    takes, whatever pair of neighbours could also spell it.
+    """
+    from tokenizers import Tokenizer
+
+    with open(path, encoding="utf-8") as f:
+        file = json.load(f)
+    model, split = file["model"], file["pre_tokenizer"] or {}
+    usual = {"dropout": None, "unk_token": None, "continuing_subword_prefix": None, "end_of_word_suffix": None, "byte_fallback": False, "ignore_merges": False}
+    if file["normalizer"] or split.get("type") != "ByteLevel" or split.get("add_prefix_space") or not split.get("use_regex", True) or model["type"] != "BPE":
+        return False
+    if any((model.get(k) or v) != v for k, v in usual.items()):
+        return False
+    vocabulary = model["vocab"]
+    merged = [vocabulary["".join(m) if isinstance(m, list) else m.replace(" ", "")] for m in model["merges"]]
+    if any(a >= b for a, b in zip(merged, merged[1:], strict=False)) or len(merged) + 256 != len(vocabulary):
+        return False
+    alone = Tokenizer.from_str(json.dumps(file | {"pre_tokenizer": None, "added_tokens": []}))
+    found = alone.encode_batch_fast(list(vocabulary), add_special_tokens=False)
+    return all(e.ids == [i] for e, i in zip(found, vocabulary.values(), strict=True))
+
+
+class Encoder:
+    """Token ids of one text as little-endian uint32 bytes; nothing is remembered between texts.
+
+    Where ``ranks_suffice``, the file's merges run in the rank engine, at a third of
+    the cost.  Texts with an added token's string, and those with very long runs of
+    white space, go to the tokenizer itself.
     """
 
-    def __init__(self, path: str, memory: int = 1_200_000):
+    def __init__(self, path: str, by_ranks: bool):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self.memory, self.known = memory, {}
-        self.marks = {m: self._encode([m])[0] for m in ",."}
-
-    def _encode(self, parts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch(parts, add_special_tokens=False)]
-
-    def _learn(self, missing: list[str]) -> dict[str, bytes]:
-        """Ids of unknown chunks; ``word,`` is ``word`` and ``,`` to the pre-tokenizer."""
-        stems = {c: c[:-1] for c in missing if c[-1] in self.marks and c[-2:-1].isalpha()}
-        bare = list({s for c in missing if (s := stems.get(c, c)) not in self.known})
-        ids = dict(zip(bare, self._encode(bare), strict=True))
-        room = max(0, self.memory - len(self.known))
-        self.known.update(zip(bare[:room], ids.values(), strict=False))
-        for c, s in stems.items():
-            ids[c] = (ids.get(s) or self.known[s]) + self.marks[c[-1]]
-        room = max(0, self.memory - len(self.known))
-        self.known.update((c, ids[c]) for c in list(stems)[:room])
-        return {c: ids.get(c) or self.known[c] for c in missing}
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        get = self.known.get
-        chunks = [None if _ODD_SPACE.search(t) else _CHUNK.findall(t) for t in texts]
-        found = [None if own is None else list(map(get, own)) for own in chunks]
-        gaps = [none_at(got) if got else [] for got in found]
-        missing = dict.fromkeys(own[i] for own, at in zip(chunks, gaps, strict=True) for i in at)
-        fresh = self._learn(list(missing)) if missing else {}
-        out = []
-        for text, own, got, at in zip(texts, chunks, found, gaps, strict=True):
-            if got is None:
-                out += self._encode([text])
-                continue
-            for i in at:
-                got[i] = fresh[own[i]]
-            out.append(b"".join(got))
-        return out
-
-
-def none_at(found: list) -> list[int]:
-    """Where a list holds None."""
-    out, at = [], -1
-    try:
-        while True:
-            at = found.index(None, at + 1)
-            out.append(at)
-    except ValueError:
-        return out
-
-
-#: Of this worker process: what one task has learnt serves the next.
-_ENCODERS: dict[tuple[str, int], ChunkEncoder] = {}
-
-
-def encoder_of(path: str, memory: int = 1_200_000) -> ChunkEncoder:
-    """The worker's encoder; a module's function, so that pickling keeps its memory."""
-    if (path, memory) not in _ENCODERS:
-        _ENCODERS[path, memory] = ChunkEncoder(path, memory)
-    return _ENCODERS[path, memory]
+        self.path, self.ranked, self.odd, self._whole = path, None, None, None
+        if by_ranks:
+            import tiktoken
+
+            with open(path, encoding="utf-8") as f:
+                file = json.load(f)
+            self.ranked = tiktoken.Encoding("file", pat_str=_SPLIT, mergeable_ranks=token_bytes(file["model"]["vocab"]), special_tokens={})
+            self.odd = re.compile("|".join([*(re.escape(t["content"]) for t in file["added_tokens"]), _LONG_SPACE.pattern]))
+
+    def whole(self, text: str) -> list[int]:
+        """Ids by the tokenizer itself."""
+        if self._whole is None:
+            from tokenizers import Tokenizer
+
+            self._whole = Tokenizer.from_file(self.path)
+        return self._whole.encode_batch_fast([text], add_special_tokens=False)[0].ids
+
+    def encode(self, text: str) -> bytes:
+        ids = self.whole(text) if self.ranked is None or self.odd.search(text) else self.ranked.encode_ordinary(text)
+        return np.array(ids, "<u4").tobytes()
+
+
+#: Of this worker process: tasks share the loaded tables.
+_ENCODERS: dict[tuple[str, bool], Encoder] = {}
+
+
+def encoder_of(path: str, by_ranks: bool) -> Encoder:
+    """The worker's encoder; a module's function, so that pickling leaves it where it is."""
+    if (path, by_ranks) not in _ENCODERS:
+        _ENCODERS[path, by_ranks] = Encoder(path, by_ranks)
+    return _ENCODERS[path, by_ranks]
 
 
 @dataclass
@@ -201,29 +210,27 @@ def pack(
     weights: tuple[float, float, float] = (1.0, 1e-3, 1e-3),
     rule: str = "norm",
     end_id: int = 2,
-    chunk_memory: int = 1_200_000,
 ) -> DataFrame:
     """Pieces of every document with their sequence and offset.
 
     Without ``max_documents`` and ``max_attention`` those capacities are as large
-    as ``max_tokens`` alone allows, so only tokens bind.  ``chunk_memory`` bounds
-    the encoded chunks that a worker remembers, at about 200 bytes each.
+    as ``max_tokens`` alone allows, so only tokens bind.  The tokenizer file lies at
+    the same path everywhere.
     """
+    by_ranks = ranks_suffice(tokenizer_path)
 
     def tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = encoder_of(tokenizer_path, chunk_memory)
+        encoder = encoder_of(tokenizer_path, by_ranks)
         part, ranks, end = TaskContext.get().partitionId(), defaultdict(int), np.array([end_id], "<u4").tobytes()
         for batch in batches:
             rows: list[tuple] = []
             owner: list[int] = []
-            texts = texts_of(batch.column(1))
-            for low in range(0, len(texts), 512):
-                for n, ids in enumerate(encoder.encode(texts[low : low + 512]), low):
-                    ids += end
-                    for piece, (start, length) in enumerate(cut_points(len(ids) // 4, max_tokens)):
-                        owner.append(n)
-                        rows.append((piece, start, length, zlib.crc32(ids[4 * start : 4 * (start + length)]), ranks[length]))
-                        ranks[length] += 1
+            for n, text in enumerate(batch.column(1)):
+                ids = encoder.encode(text.as_py() or "") + end
+                for piece, (start, length) in enumerate(cut_points(len(ids) // 4, max_tokens)):
+                    owner.append(n)
+                    rows.append((piece, start, length, zlib.crc32(ids[4 * start : 4 * (start + length)]), ranks[length]))
+                    ranks[length] += 1
             columns = list(zip(*rows, strict=True)) or [()] * 5
             kinds = (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64())
             yield pa.RecordBatch.from_arrays(

@@ -30,7 +30,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from codexlake.llm.common import texts_of
-from codexlake.llm.packing import none_at
 
 SPACE = "▁"
 _NONE = (b"", 0)
@@ -38,6 +37,17 @@ _NONE = (b"", 0)
 NEVER = 1 << 60
 
 
+def none_at(found: list) -> list[int]:
+    """Where a list holds None."""
+    out, at = [], -1
+    try:
+        while True:
+            at = found.index(None, at + 1)
+            out.append(at)
+    except ValueError:
+        return out
+
+
 class PieceModel:
     """Pieces and scores of a SentencePiece file, with a bounded memory of chunks."""
 

@@ -1,3 +1,4 @@
+import json
 import random
 import zlib
 from collections import Counter
@@ -79,17 +80,39 @@ def test_cut_points():
     assert packing.cut_points(25, 10) == [(0, 5), (5, 10), (15, 10)]
 
 
-@settings(max_examples=80, deadline=None)
-@given(st.lists(st.sampled_from([*"ab ,.\n\t1é漢!'\u00a0\u2003", " the", "n't"]), max_size=60).map("".join))
-def test_chunks_give_the_tokenizers_ids(text):
-    t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
-    assert packing.encoder_of(PATH).encode([text])[0] == np.array(t.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+def plain(text):
+    """The contract's ids: the tokenizer as its file gives it."""
+    return np.array(Tokenizer.from_file(PATH).encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+
+TOKENIZER = Tokenizer.from_file(PATH)
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.sampled_from([*"ab ,.\n\t1é漢!'\u00a0\u2003", " the", "n't", "<|endoftext|>", "<|endof"]) | st.characters(exclude_categories=["Cs"]), max_size=60).map("".join))
+def test_ranks_give_the_tokenizers_ids(text):
+    assert packing.encoder_of(PATH, True).encode(text) == np.array(TOKENIZER.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
 
+@pytest.mark.parametrize("text", ["a<|endoftext|>b", "<|endoftext|>", "x <|endoftext|><|endoftext|> y", "\n" * 300_000, " " * 999 + "a", "^" * 200_000, "漢" * 100_000, "e\u0301" * 50_000, "1" * 100_000])
+def test_added_tokens_and_long_runs(text):
+    assert packing.encoder_of(PATH, True).encode(text) == packing.encoder_of(PATH, False).encode(text) == plain(text)
 
-def test_small_memory_changes_nothing():
-    texts = ["one two, three. four", "five six, seven. one", "two, six."]
-    assert packing.ChunkEncoder(PATH, 2).encode(texts) == packing.ChunkEncoder(PATH).encode(texts)
+
+def test_every_code_point_splits_alike():
+    texts = [f"a{c}b 1{c}2 !{c}? {c} {c}{c}a \n{c}\n\n" for n in range(0x30000) if not 0xD800 <= n < 0xE000 for c in (chr(n),)]
+    encode = packing.encoder_of(PATH, True).ranked.encode_ordinary
+    assert all(e.ids == encode(t) for e, t in zip(TOKENIZER.encode_batch_fast(texts, add_special_tokens=False), texts, strict=True))
+
+
+def test_ranks_are_used_only_where_they_suffice(tmp_path):
+    assert packing.ranks_suffice(PATH)
+    assert not packing.ranks_suffice(public_tokenizers.path("word_bpe_49k.json"))
+    with open(PATH, encoding="utf-8") as f:
+        file = json.load(f)
+    file["model"]["merges"] = file["model"]["merges"][::-1]
+    (other := tmp_path / "other.json").write_text(json.dumps(file), encoding="utf-8")
+    assert not packing.ranks_suffice(str(other))
 
 
 def check(rows, texts, max_tokens):
@@ -139,3 +162,8 @@ def test_odd_rows(spark):
     texts = {i: x for i, x in ODD if i not in (None, 7)}
     assert {r["doc_id"] for r in unique} == set(texts)
     assert packing.pack(none(spark), PATH).count() == 0
+
+
+def test_added_tokens_in_documents(spark):
+    texts = {1: "a<|endoftext|>b", 2: "<|endoftext|>", 3: "plain"}
+    assert check(packing.pack(spark.createDataFrame(list(texts.items()), "doc_id long, text string"), PATH).collect(), texts, 1024) == 1
