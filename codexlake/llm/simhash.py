@@ -171,16 +171,3 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     components = connected_components(link_fingerprints(distinct.where("rep is not null"), bits))
     found = distinct.join(components, F.col("rep") == F.col("node"), "left").select("fp", F.coalesce("component", "rep").alias("component_id"))
     return prints.join(found, "fp", "left").select(F.col("id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
-
-
-def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, bits: int = 3) -> DataFrame:
-    """The rows of ``df`` less all but the least id of each component.
-
-    Rows with a null id are kept; of rows with one id that repeat, one is kept.
-    """
-    found = near_duplicates(df, id_col, text_col, words, bits)
-    kept = cut(found.where(F.col(id_col) == F.col("component_id")).select(id_col).distinct(), "kept-ids")
-    named = df.where(F.col(id_col).isNotNull())
-    if named.groupBy(id_col).count().where("count > 1").head(1):
-        named = named.dropDuplicates([id_col])
-    return named.join(kept, id_col, "left_semi").select(df.columns).unionByName(df.where(F.col(id_col).isNull()))

@@ -1,9 +1,11 @@
 import public_tokenizers
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from codexlake.llm import packing, quality, queries, secrets, simhash, toxicity
+from codexlake.llm import packing, quality, queries, secrets, toxicity
 from codexlake.llm.common import spread
 from tests.llm.helpers import odd
+from tests.llm.test_near_texts import survivors
 from tests.llm.test_packing import check
 from tests.llm.test_secrets import naive
 
@@ -20,8 +22,8 @@ def test_run_against_the_operators_own_decisions(spark, tiny):
     docs = docs.join(good.where("predicted = 1").select("doc_id"), "doc_id")
     toxic = toxicity.score_toxicity(docs, toxicity.train(docs, queries.labels(spark, tiny, "toxic", 4, 2)))
     docs = docs.join(toxic.where("predicted = 0").select("doc_id"), "doc_id")
-    groups = simhash.near_duplicates(docs)
-    docs = docs.join(groups.where("doc_id = component_id").select("doc_id"), "doc_id").select(columns)
+    kept = survivors([(r["doc_id"], r["text"]) for r in docs.collect()])
+    docs = docs.where(F.col("doc_id").isin(kept)).select(columns)
     texts = {r["doc_id"]: secrets.redact(r["text"], naive(r["text"]) + secrets.literal_spans(r["text"])) for r in docs.collect()}
     assert 0 < len(texts) < 200
     check(corpus_pipeline.run(spark, tiny).collect(), texts, 1024)

@@ -2,7 +2,6 @@ import random
 
 import numpy as np
 import xxhash
-from pyspark.sql import functions as F
 
 from codexlake.llm import queries, simhash
 from codexlake.llm.components import connected_components
@@ -106,11 +105,3 @@ def test_odd_rows(spark):
     assert by[2]["component_id"] == by[3]["component_id"] == by[8]["component_id"] == 2
     assert by[1]["component_id"] == by[7]["component_id"] == 1 and by[None]["component_id"] is None
     assert simhash.near_duplicates(none(spark)).count() == 0
-
-
-def test_keep_one(spark):
-    kept = simhash.keep_one(odd(spark))
-    assert kept.columns == odd(spark).columns
-    assert sorted(r["doc_id"] or 0 for r in kept.collect()) == [0, 1, 2, 5, 6, 9]
-    again = odd(spark).where("doc_id = 7").withColumn("text", F.lit("alone"))
-    assert simhash.keep_one(again).count() == 1
