@@ -7,8 +7,15 @@ scores each literal that reaches a name by how sensitive the name is and how muc
 the literal looks like key material.  A literal above the threshold is a span of
 kind ``literal``, placed where it is written, however many names it passed.
 
-Defined cases: a null or empty text has no spans; spans are code points, end
-exclusive; matches of one kind never overlap; equal texts give equal spans.
+Literals are quoted strings, and bare values in configuration syntax: a pair alone
+on its line.  A reference to a name that holds no known constant, or a call, is no
+literal; a bare word without a digit is such a reference.
+
+Defined cases: a null or empty text has no spans; a very long text is read whole, in
+time linear in its length; spans are code points, end exclusive; matches of one kind
+never overlap; equal texts and repeated rows give equal spans; an empty table gives
+no rows; other columns of the input, whatever their names, are not read by
+``scan_secrets`` and not changed by ``redact_secrets``.
 """
 
 from __future__ import annotations
@@ -35,10 +42,14 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 _HEX = re.compile(r"[0-9a-f]{24,}")
 _WORDS = ("pass", "secret", "token", "api")
 
+#: A name starts where no name goes on, and is taken whole, so that long runs are read once.
 _PAIR = re.compile(
-    r"""(?P<name>[A-Za-z_$][\w$.\-]{0,127}|"[^"\n]{1,128}"|'[^'\n]{1,128}')(?:\[(?P<item>"[^"\n]{1,128}"|'[^'\n]{1,128}')\])?[^\S\n]*(?::=|=>|=(?![=>~])|:(?![:/=]))[^\S\n]*"""
+    r"""(?P<name>(?<![\w$.\-])[\w$.\-]++|"[^"\n]+"|'[^'\n]+')(?:\[(?P<item>"[^"\n]+"|'[^'\n]+')\])?[^\S\n]*(?::=|=>|=(?![=>~])|:(?![:/=]))[^\S\n]*"""
 )
 _TERM = re.compile(r"""(?P<quoted>[rbuf]{0,2}(?:"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*'|`[^`\n]*`))|(?P<ref>\$?\{?[A-Za-z_][\w.]*\}?(?![\w+/=-]))|(?P<bare>[^\s,;"'`(){}<>\[\]]+)""")
+#: What may stand before the name and after the value where a line of configuration holds nothing else.
+_LINE_HEAD = re.compile(r"[+\-\s]*(?:(?:export|set|ENV)\s+)?")
+_LINE_END = re.compile(r"[^\S\n]*(?:#[^\n]*)?(?:\n|\Z)")
 _PLUS = re.compile(r"\s*\+\s*")
 #: Parts of names, and how sensitive a name with that part is.
 SENSITIVE = {
@@ -89,10 +100,13 @@ def literal_spans(text: str, threshold: float = 0.4) -> list[tuple[int, int, str
         return []
     constants: dict[str, list[tuple[str, int, int]]] = {}
     found: dict[tuple[int, int], float] = {}
-    at = 0
+    at, looked, found_any = 0, 0, False
     while m := _PAIR.search(text, at):
         name = (m["item"] or m["name"]).strip("\"'")
-        at, parts, first, refs, code = m.end(), [], True, 0, False
+        # Line starts are looked for from the last pair on, so that a long line is read once.
+        new, looked = text.rfind("\n", looked, m.start()) + 1, m.start()
+        alone = (new > 0 or not found_any) and bool(_LINE_HEAD.fullmatch(text, new, m.start()))
+        at, parts, first, refs, code, plus, found_any = m.end(), [], True, 0, False, None, True
         while first or (plus := _PLUS.match(text, at)):
             term = _TERM.match(text, at if first else plus.end())
             if not term:
@@ -109,10 +123,8 @@ def literal_spans(text: str, threshold: float = 0.4) -> list[tuple[int, int, str
                 refs += 1
             else:
                 code = False
-                parts.append((term[0], *term.span()))
-        if not parts:
-            at = max(at, m.end())
-            continue
+                if alone and plus is None and _LINE_END.match(text, at) and (term["bare"] or not (set(ref) & set("${}.")) and any(map(str.isdigit, ref))):
+                    parts.append((term[0], *term.span()))
         constants[name.rsplit(".", 1)[-1]] = list(dict.fromkeys(parts)) if refs > 1 else parts  # each literal once, so that x = x + x does not double
         if (weight := name_score(name)) and weight * literal_score("".join(p[0] for p in parts)) >= threshold:
             for _, start, end in parts:

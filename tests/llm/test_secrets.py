@@ -1,5 +1,6 @@
 import hashlib
 import re
+import time
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -79,3 +80,32 @@ def test_constants_of_many_parts_and_over_lines():
 def test_lists_and_patches_are_no_continuation():
     assert spans("+password = 'q8Zk3Lm92xPw7'\n+token = 'Lm92xPw7q8Zk3'") == ["q8Zk3Lm92xPw7", "Lm92xPw7q8Zk3"]
     assert spans("password: q8Zk3Lm92xPw7\n+ words of a list") == ["q8Zk3Lm92xPw7"]
+
+
+def test_unresolved_names_are_no_literals():
+    assert spans("token = fetch_user_session_token()") == []
+    assert spans("secret = config.get_secret_value") == []
+    assert spans("key = value_of_thing") == []
+    assert spans("password = os.environ['DB_PASSWORD_1']") == []
+    assert spans("auth_token: SessionTokenFactory2, x") == []
+    assert spans("secret = 'q8Zk3Lm92xPw7'\nsecret = other_secret_value\ntoken = secret") == ["q8Zk3Lm92xPw7"]
+    assert spans("login(password=user_password1, token=t0ken_from_cache)") == []
+    assert spans("token = base_token + 'q8Zk3Lm92xPw7'") == ["q8Zk3Lm92xPw7"]
+
+
+def test_bare_values_of_configuration_lines():
+    assert spans("[db]\n  password = q8Zk3-Lm92_xPw7  # live\nuser = me") == ["q8Zk3-Lm92_xPw7"]
+    assert spans("- api_key: q8Zk3Lm92xPw7\n") == ["q8Zk3Lm92xPw7"]
+    assert spans("export AUTH_TOKEN=q8Zk3Lm92xPw7") == ["q8Zk3Lm92xPw7"]
+    assert spans("a=1 password=q8Zk3Lm92xPw7") == []
+
+
+def test_names_of_any_length_and_long_texts():
+    long = "very_" * 60
+    assert spans(f"{long}password = 'q8Zk3Lm92xPw7'") == ["q8Zk3Lm92xPw7"]
+    assert spans(f'"{long}password": "q8Zk3Lm92xPw7"') == ["q8Zk3Lm92xPw7"]
+    for unit in ("x", "x.", "a=b ", "a: 'b' ", '"', "x y=", "\n", "[", "a=b\n", "a+", "'a'+"):
+        text = "password = 'q8Zk3Lm92xPw7'\n" + unit * (400_000 // len(unit))
+        began = time.process_time()
+        assert "q8Zk3Lm92xPw7" in spans(text)
+        assert time.process_time() - began < 5
