@@ -3,7 +3,8 @@
 Defined cases: null media gives null features and the error ``null``; bytes that
 are no readable picture give null features and say why in ``error``; a picture
 without pixels is refused the same way.  Rows are handled one by one, so repeated
-rows give repeated results, and an empty table gives an empty one.
+rows give repeated results, and an empty table gives an empty one.  Only the id and
+the media or text column are read, whatever other columns are called.
 """
 
 from __future__ import annotations
@@ -27,7 +28,10 @@ PAYLOAD_WIDTH, PAYLOAD_BLOCK = 24, 576
 
 
 def decode_netpbm(data: bytes) -> np.ndarray:
-    """P1 to P6 as an (h, w) or (h, w, 3) array of uint8, or uint16 above 255."""
+    """P1 to P6 as an (h, w) or (h, w, 3) array of uint8, or uint16 for maxima above 255.
+
+    Samples are scaled so that the file's maximum becomes 255 or 65535.
+    """
     if data[:1] != b"P" or data[1:2] not in b"123456" or len(data) < 2:
         raise ValueError("no Netpbm magic")
     kind, at, head = int(data[1:2]), 2, []
@@ -63,6 +67,11 @@ def decode_netpbm(data: bytes) -> np.ndarray:
         raise ValueError("Netpbm data ends early")
     if kind in (1, 4):
         values = (1 - values) * 255  # a set bit is black
+    elif values.max() > top or values.min() < 0:
+        raise ValueError("a Netpbm sample is beyond the maximum")
+    full = 255 if top <= 255 else 65535
+    if kind not in (1, 4) and top != full:
+        values = (values.astype(np.int64) * (2 * full) + top) // (2 * top)
     out = values.astype(np.uint16 if top > 255 else np.uint8)
     return out.reshape((height, width, 3) if planes == 3 else (height, width))
 
@@ -73,12 +82,15 @@ def encode_pgm(pixels: np.ndarray) -> bytes:
 
 
 def decode_bmp(data: bytes) -> np.ndarray:
-    """Uncompressed BMP of 1, 4, 8, 24 or 32 bits; grey palettes give (h, w)."""
+    """Uncompressed BMP of 1, 4, 8, 16, 24 or 32 bits; grey palettes give (h, w).
+
+    16 and 32 bits are read by the file's channel masks, where it has any.
+    """
     if data[:2] != b"BM" or len(data) < 54:
         raise ValueError("no BMP header")
     (start,), (info, width, height) = struct.unpack_from("<I", data, 10), struct.unpack_from("<Iii", data, 14)
     bits, packing = struct.unpack_from("<HI", data, 28)
-    if info < 40 or width <= 0 or not height or packing not in (0, 3) or bits not in (1, 4, 8, 24, 32):
+    if info < 40 or width <= 0 or not height or bits not in (1, 4, 8, 16, 24, 32) or packing not in ((0, 3) if bits in (16, 32) else (0,)):
         raise ValueError("unsupported BMP")
     flip, height = height > 0, abs(height)
     row = (width * bits + 31) // 32 * 4
@@ -87,6 +99,12 @@ def decode_bmp(data: bytes) -> np.ndarray:
     lines = np.frombuffer(data, np.uint8, row * height, start).reshape(height, row)
     if flip:
         lines = lines[::-1]
+    if packing == 3 or bits == 16:
+        if packing == 3 and len(data) < 66:
+            raise ValueError("BMP masks end early")
+        masks = struct.unpack_from("<III", data, 54) if packing == 3 else (0x7C00, 0x03E0, 0x001F)
+        whole = np.ascontiguousarray(lines[:, : width * bits // 8]).view(f"<u{bits // 8}").astype(np.int64)
+        return np.stack([_channel(whole, m) for m in masks], 2)
     if bits >= 24:
         step = bits // 8
         return np.ascontiguousarray(lines[:, : width * step].reshape(height, width, step)[:, :, 2::-1])
@@ -105,6 +123,17 @@ def decode_bmp(data: bytes) -> np.ndarray:
     return palette[index]
 
 
+def _channel(whole: np.ndarray, mask: int) -> np.ndarray:
+    """The samples under a mask of adjacent bits, scaled to 0 to 255."""
+    low = mask & -mask
+    top = mask // low if mask else 0
+    if top & (top + 1):
+        raise ValueError("a BMP mask has gaps")
+    if not mask:
+        return np.zeros(whole.shape, np.uint8)
+    return (((whole & mask) // low * 510 + top) // (2 * top)).astype(np.uint8)
+
+
 def encode_bmp(pixels: np.ndarray) -> bytes:
     """(h, w) as 8-bit grey palette, (h, w, 3) as 24-bit, bottom row first."""
     grey = pixels.ndim == 2
@@ -205,8 +234,10 @@ def text_payload(text: bytes) -> bytes:
 def text_media(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", tile: int = 16) -> DataFrame:
     """Store each text losslessly as a grey PGM, read it back, and describe it.
 
-    A null text counts as empty.  ``feature`` joins the difference hash and the
-    SHA-256 of the NPY tile; every value depends on the text alone.
+    A null text counts as empty; a very long one is a very tall picture.  ``feature``
+    joins the difference hash and the SHA-256 of the NPY tile.  The same picture is
+    stored as BMP as well (``bmp_sha256``), and ``formats_agree`` says whether both
+    read back alike.  Every value depends on the text alone.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -214,21 +245,22 @@ def text_media(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", ti
             rows: list[tuple] = []
             for text in bytes_of(batch.column(1)):
                 payload = text_payload(text)
-                media = encode_pgm(np.frombuffer(payload, np.uint8).reshape(-1, PAYLOAD_WIDTH))
+                picture = np.frombuffer(payload, np.uint8).reshape(-1, PAYLOAD_WIDTH)
+                media, bitmap = encode_pgm(picture), encode_bmp(picture)
                 pixels = decode(media)
                 back = pixels.tobytes()
                 tiles = npy_tile(pixels, tile, tile)
                 feature = f"{difference_hash(pixels):016x}:{hashlib.sha256(tiles).hexdigest()}"
-                rows.append((len(text), len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-32:]), len(media), hashlib.sha256(media).hexdigest(), feature))
-            columns = list(zip(*rows, strict=True)) or [()] * 7
-            kinds = (pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string())
+                rows.append((len(text), len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-32:]), len(media), hashlib.sha256(media).hexdigest(), feature, hashlib.sha256(bitmap).hexdigest(), np.array_equal(decode(bitmap), pixels)))
+            columns = list(zip(*rows, strict=True)) or [()] * 9
+            kinds = (pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.bool_())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), *(pa.array(c, t) for c, t in zip(columns, kinds, strict=True))],
-                ["id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"],
+                ["id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "bmp_sha256", "formats_agree"],
             )
 
     kind = df.schema[id_col].dataType.simpleString()
     out = df.select(id_col, text_col).mapInArrow(
-        run, f"id {kind}, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
+        run, f"id {kind}, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, bmp_sha256 string, formats_agree boolean"
     )
     return out.withColumnRenamed("id", id_col)

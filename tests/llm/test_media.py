@@ -1,5 +1,6 @@
 import hashlib
 import io
+import struct
 import zlib
 from fractions import Fraction
 
@@ -42,6 +43,33 @@ def test_netpbm_of_all_kinds():
     assert media.decode(b"P5 1 1 65535\n\x01\x02").tolist() == [[258]]
 
 
+def test_netpbm_maxima():
+    assert media.decode(b"P2 3 1 15 0 7 15").tolist() == [[0, 119, 255]]
+    assert media.decode(b"P5 2 1 1023\n\x03\xff\x00\x00").tolist() == [[65535, 0]]
+    assert media.decode(b"P3 1 1 1 1 0 1").tolist() == [[[255, 0, 255]]]
+    tile = np.load(io.BytesIO(media.npy_tile(media.decode(b"P5 1 1 1023\n\x03\xff"), 1, 1)))
+    assert tile.tolist() == [[255]]
+    with pytest.raises(ValueError):
+        media.decode(b"P2 1 1 15 16")
+
+
+def bitfields(bits, masks, values, packing=3):
+    body = np.array(values, f"<u{bits // 8}").tobytes()
+    body += b"\0" * (-len(body) % 4)
+    head = struct.pack("<IiiHHIIiiII", 40, len(values), 1, 1, bits, packing, len(body), 0, 0, 0, 0)
+    extra = struct.pack("<III", *masks) if packing == 3 else b""
+    return struct.pack("<2sIHHI", b"BM", 54 + len(extra) + len(body), 0, 0, 54 + len(extra)) + head + extra + body
+
+
+def test_bmp_masks():
+    assert media.decode(bitfields(32, (0xFF, 0xFF00, 0xFF0000), [0x0000FF, 0x00FF00])).tolist() == [[[255, 0, 0], [0, 255, 0]]]
+    assert media.decode(bitfields(32, (0x3FF00000, 0xFFC00, 0x3FF), [0x3FF00000])).tolist() == [[[255, 0, 0]]]
+    assert media.decode(bitfields(16, (0xF800, 0x07E0, 0x001F), [0xF800, 0x07E0, 0x001F])).tolist() == [[[255, 0, 0], [0, 255, 0], [0, 0, 255]]]
+    assert media.decode(bitfields(16, (), [0x7C00, 0x03E0], 0)).tolist() == [[[255, 0, 0], [0, 255, 0]]]
+    with pytest.raises(ValueError):
+        media.decode(bitfields(32, (0xF0F, 0xF0, 0), [1]))
+
+
 @pytest.mark.parametrize("shape", [(3, 5), (2, 3, 3), (4, 4), (1, 7, 3)])
 def test_bmp_round_trip(shape):
     pixels = np.random.default_rng(0).integers(0, 256, shape).astype(np.uint8)
@@ -83,6 +111,8 @@ def check(rows, texts):
         assert (r["n_bytes"], r["payload_bytes"]) == (len(raw), n)
         assert r["payload_sha256"] == hashlib.sha256(payload).hexdigest() and r["tail_crc32"] == zlib.crc32(payload[-32:])
         stored = b"P5\n24 %d\n255\n" % (n // 24) + payload
+        bitmap = media.encode_bmp(np.frombuffer(payload, np.uint8).reshape(-1, 24))
+        assert r["formats_agree"] and r["bmp_sha256"] == hashlib.sha256(bitmap).hexdigest()
         assert r["media_bytes"] == len(stored) and r["media_sha256"] == hashlib.sha256(stored).hexdigest()
 
 
