@@ -23,8 +23,8 @@ def run(spark, items, asked, k, **sizes):
     return {q: [own[n] for n in sorted(own)] for q, own in out.items()}
 
 
-@pytest.mark.parametrize(("block", "query_block"), [(65_536, 1024), (40, 7)])
-def test_against_brute_force(spark, block, query_block):
+@pytest.mark.parametrize("block", [65_536, 40, 3])
+def test_against_brute_force(spark, block):
     rng = random.Random(4)
     centres = [rng.getrandbits(64) for _ in range(5)]
     items = []
@@ -35,7 +35,7 @@ def test_against_brute_force(spark, block, query_block):
         items.append((i, c))
     items += [(1000 + i, centres[0]) for i in range(50)] + [(999, None)]
     asked = [(i, c) for i, c in items if i % 20 == 0] + [(7001, rng.getrandbits(64)), (7002, None), (7003, items[0][1])]
-    assert run(spark, items, asked, 10, block=block, query_block=query_block) == brute(items, asked, 10)
+    assert run(spark, items, asked, 10, block=block) == brute(items, asked, 10)
 
 
 def test_few_rows_and_none(spark):
@@ -43,18 +43,41 @@ def test_few_rows_and_none(spark):
     assert run(spark, [], [(9, 5)], 3) == {} and run(spark, [(1, 5)], [], 3) == {}
 
 
-def test_search_stops_early():
+def test_a_probe_finds_exactly_its_radius():
     rng = np.random.default_rng(0)
-    codes = rng.integers(0, 1 << 63, 5000, dtype=np.uint64)
-    query = codes[17] ^ np.uint64(1)
-    index = topk.MultiIndex(codes, np.ones(5000, np.int64))
-    rows, distance = index.search(query, 1)
-    assert 17 in rows[distance == 1]
-    probed = []
-    old = index._probe
-    index._probe = lambda s, q, r: probed.append(r) or old(s, q, r)
-    index.search(query, 1)
-    assert max(probed) == 0
+    codes, asked = rng.integers(0, 1 << 63, 800, dtype=np.uint64), rng.integers(0, 1 << 63, 30, dtype=np.uint64)
+    for low, width, prefix in ((0, 9, 3), (20, 16, 2), (32, 32, 5), (10, 12, 0)):
+        value = lambda x: (x >> np.uint64(low)) & np.uint64((1 << width) - 1)  # noqa: B023, E731
+        head = value(codes[0]) >> np.uint64(width - prefix)
+        own = codes[(value(codes) >> np.uint64(width - prefix)) == head]
+        table = topk.SegmentTable(own, np.arange(len(own)), np.ones(len(own), np.int64), low, width, prefix)
+        for radius in range(width + 1):
+            q, row = table.probe(asked, radius)
+            got = sorted(zip(q.tolist(), table.codes[row].tolist(), strict=True))
+            assert got == sorted((i, int(c)) for i, x in enumerate(asked) for c in own if int(value(c) ^ value(x)).bit_count() == radius)
+
+
+def test_copies_of_codes_and_queries_are_bounded(spark):
+    """A code is written once a segment, a query once for each head within the radius."""
+    rng = random.Random(1)
+    codes = [signed(rng.getrandbits(64)) for _ in range(600)]
+    entries = spark.createDataFrame([(c, [i]) for i, c in enumerate(codes)], "code long, ids array<long>")
+    own = topk.segments_of(600)
+    table, crowded = topk.segment_rows(entries, own, 4, 50)
+    assert table.count() == 600 * len(own) and table.select("seg", "head").distinct().count() == 16 * len(own)
+    active = spark.createDataFrame([(c, 64) for c in codes[:30]], "code long, bound long")
+    for radius, heads in ((0, 1), (1, 5), (2, 11), (4, 16)):
+        assert topk.visits(active, own, 4, radius, crowded).count() == 30 * len(own) * heads
+
+
+def test_crowded_heads_and_clashing_names(spark):
+    """A third of all codes with one segment value, and columns of every used name."""
+    rng = random.Random(2)
+    items = [(i, (rng.getrandbits(48) << 16) | (7 if i % 3 == 0 else rng.getrandbits(16))) for i in range(400)]
+    asked = [r for r in items if r[0] % 20 == 0]
+    assert run(spark, items, asked, 5, block=16) == brute(items, asked, 5)
+    frame = lambda rows, name: spark.createDataFrame([(i, signed(c)) for i, c in rows], f"{name} long, code long").selectExpr("*", *(f"'x' AS {c}" for c in ("n", "seg", "head", "salt", "bound", "rank", "q", "ids")))
+    assert topk.exact_topk(frame(items, "id"), frame(asked, "query_id"), 5).count() == 5 * len(asked)
 
 
 def test_sign_codes(spark):
