@@ -2,22 +2,37 @@
 
 from __future__ import annotations
 
+import atexit
 import uuid
 
 import numpy as np
 import pyarrow as pa
+from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from codexlake.session import ship
 
 
+#: Applications whose files go when the driver ends.
+_CLEARED: set[str] = set()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One input table; only Spark opens the path, so any store will do."""
     ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def on_workers(df: DataFrame) -> DataFrame:
+    """``df``, after the package has gone to the executors.
+
+    A worker function takes its list of files when it is made, so this comes first.
+    """
+    ship(df.sparkSession)
+    return df
+
+
 def spread(df: DataFrame, most: int = 256 << 20) -> DataFrame:
     """A small table over all cores, where its files alone give fewer tasks.
 
@@ -45,20 +60,42 @@ def cut(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     This ends the lineage: a lost executor costs a reread, never the Python work
-    that made the rows.  ``release`` removes the files of a session.
+    that made the rows.  ``discard`` removes the files of what is read no more, ``release``
+    those of a session, which happens at the driver's end as well.
     """
     spark = df.sparkSession
     ship(spark)
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    if spark.sparkContext.applicationId not in _CLEARED:
+        _CLEARED.add(spark.sparkContext.applicationId)
+        atexit.register(_clear, spark)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._cut_path = path
+    return out
+
+
+def _clear(spark: SparkSession) -> None:
+    """At the driver's end: what its application has cut is of no use to any other."""
+    if spark.sparkContext._jsc is not None and SparkContext._active_spark_context is not None:
+        release(spark)
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete the files of frames that ``cut`` gave, once nothing reads them any more."""
+    for df in frames:
+        if path := getattr(df, "_cut_path", None):
+            _delete(df.sparkSession, path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def release(spark: SparkSession) -> None:
     """Delete every file that ``cut`` wrote in this session."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(shared_dir(spark))
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    _delete(spark, shared_dir(spark))
 
 
 def bytes_of(column: pa.ChunkedArray | pa.Array) -> list[bytes]:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from codexlake.llm.common import cut
+from codexlake.llm.common import cut, discard
 
 
 def _checksum(edges: DataFrame) -> tuple:
@@ -30,7 +30,7 @@ def _small_star(edges: DataFrame) -> DataFrame:
 def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(node, component) of every node that is not itself its component's least.
 
-    ``edges`` has long columns a and b.  Large-star and small-star steps alternate
+    ``edges`` has columns a and b of one kind that can be ordered.  Large-star and small-star steps alternate
     until they change nothing; every step is written to the shared folder.  Hubs
     are safe: minima combine before the shuffle, joins may split a hub's edges, and
     the number of edges never grows.
@@ -38,7 +38,9 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     now = cut(edges.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
     seen = _checksum(now)
     for _ in range(max_rounds if seen[0] else 0):
-        now = cut(_small_star(cut(_large_star(now), "large-star")), "small-star")
+        before, half = now, cut(_large_star(now), "large-star")
+        now = cut(_small_star(half), "small-star")
+        discard(before, half)
         if (after := _checksum(now)) == seen:
             break
         seen = after

@@ -35,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from codexlake.llm.common import bytes_of, cut, hash_sample
+from codexlake.llm.common import bytes_of, cut, hash_sample, on_workers
 
 END = b"\n"  # no word holds a line end
 _LN10 = math.log(10.0)
@@ -261,7 +261,7 @@ def count_tokens(docs: DataFrame, text_col: str, limit: int = 300_000) -> DataFr
         own.clear()
         return out
 
-    return docs.select(text_col).mapInArrow(run, "token binary, c long").groupBy("token").agg(F.sum("c").alias("c"))
+    return on_workers(docs).select(text_col).mapInArrow(run, "token binary, c long").groupBy("token").agg(F.sum("c").alias("c"))
 
 
 def train(sample: list[bytes], words: list[bytes], hidden: int = 24, n_classes: int = 45, seed: int = 42) -> GruModel:
@@ -323,7 +323,7 @@ def train_everywhere(model: GruModel, training: DataFrame, text_col: str, rate:
         for n, (seen, weights) in total.items():
             yield pa.RecordBatch.from_arrays([pa.array([n], pa.int32()), pa.array([(weights / seen).astype(np.float32).tobytes()], pa.binary())], ["n", "weights"])
 
-    parts = training.select(text_col).mapInArrow(run, "n int, task int, seen long, weights binary")
+    parts = on_workers(training).select(text_col).mapInArrow(run, "n int, task int, seen long, weights binary")
     slices = parts.repartition("n").sortWithinPartitions("n", "task").mapInArrow(add, "n int, weights binary").collect()
     if not slices:
         return model
@@ -414,7 +414,7 @@ def score_documents(
                 low = high
 
     kind = docs.schema[id_col].dataType.simpleString()
-    rows = cut(docs.select(id_col, text_col).mapInArrow(run, f"row long, id {kind}, n_tokens long, n_known long, base double, score double, tail array<binary>"), "lm-rows")
+    rows = cut(on_workers(docs).select(id_col, text_col).mapInArrow(run, f"row long, id {kind}, n_tokens long, n_known long, base double, score double, tail array<binary>"), "lm-rows")
     value = F.log10(F.coalesce(F.col("c"), F.lit(0)) + F.lit(0.1)) - F.lit(log_norm)
     tails = (
         rows.select("row", F.explode("tail").alias("token")).join(counts.where(F.col("c") < least), "token", "left")

@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from codexlake.llm.common import bytes_of
+from codexlake.llm.common import bytes_of, on_workers
 
 _TOKEN = re.compile(rb"(?:\s|#[^\n\r]*[\n\r])*([^\s#]+)")
 #: Rows of the payload pictures: 24 x 24 = 576 samples to a block.
@@ -222,7 +222,7 @@ def media_features(df: DataFrame, id_col: str, media_col: str, tile_height: int
             )
 
     kind = df.schema[id_col].dataType.simpleString()
-    out = df.select(id_col, media_col).mapInArrow(run, f"id {kind}, height int, width int, tile binary, dhash string, error string")
+    out = on_workers(df).select(id_col, media_col).mapInArrow(run, f"id {kind}, height int, width int, tile binary, dhash string, error string")
     return out.withColumnRenamed("id", id_col)
 
 
@@ -260,7 +260,7 @@ def text_media(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", ti
             )
 
     kind = df.schema[id_col].dataType.simpleString()
-    out = df.select(id_col, text_col).mapInArrow(
+    out = on_workers(df).select(id_col, text_col).mapInArrow(
         run, f"id {kind}, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, bmp_sha256 string, formats_agree boolean"
     )
     return out.withColumnRenamed("id", id_col)

@@ -39,7 +39,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from codexlake.llm.common import cut
+from codexlake.llm.common import cut, on_workers
 
 #: How a byte-level tokenizer file of this kind splits text before its merges.
 _SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -240,7 +240,7 @@ def pack(
 
     kind = df.schema[id_col].dataType.simpleString()
     pieces = cut(
-        df.select(id_col, text_col).mapInArrow(tokenise, f"id {kind}, piece int, start long, length long, ids_crc32 long, _rank long, _part int"), "pieces"
+        on_workers(df).select(id_col, text_col).mapInArrow(tokenise, f"id {kind}, piece int, start long, length long, ids_crc32 long, _rank long, _part int"), "pieces"
     )
     # Ranks run within a task; the sums before each (length, task) make them global.
     tallies = cut(pieces.groupBy("length", "_part").agg(F.count("*").alias("_n")), "tallies")

@@ -29,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from codexlake.llm.common import texts_of
+from codexlake.llm.common import on_workers, texts_of
 
 SPACE = "▁"
 _NONE = (b"", 0)
@@ -265,7 +265,7 @@ def encode(df: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str
                 yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(where, pa.int64())), pa.array(rank, pa.int32()), pa.array(score, pa.int64()), pa.array(ids, pa.list_(pa.int32()))], ["id", "rank", "score", "ids"])
 
     kind = df.schema[id_col].dataType.simpleString()
-    return df.select(id_col, text_col).mapInArrow(run, f"id {kind}, rank int, score long, ids array<int>").withColumnRenamed("id", id_col)
+    return on_workers(df).select(id_col, text_col).mapInArrow(run, f"id {kind}, rank int, score long, ids array<int>").withColumnRenamed("id", id_col)
 
 
 def decode(df: DataFrame, model_path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
@@ -278,7 +278,7 @@ def decode(df: DataFrame, model_path: str, id_col: str = "doc_id", ids_col: str
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["id", "text"])
 
     kind = df.schema[id_col].dataType.simpleString()
-    return df.select(id_col, ids_col).mapInArrow(run, f"id {kind}, text string").withColumnRenamed("id", id_col)
+    return on_workers(df).select(id_col, ids_col).mapInArrow(run, f"id {kind}, text string").withColumnRenamed("id", id_col)
 
 
 def digest(df: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text", n: int = 3) -> DataFrame:
@@ -300,4 +300,4 @@ def digest(df: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str
             )
 
     kind = df.schema[id_col].dataType.simpleString()
-    return df.select(id_col, text_col).mapInArrow(run, f"id {kind}, n_pieces long, score long, ids_crc32 long, n_best int, best string, restored boolean").withColumnRenamed("id", id_col)
+    return on_workers(df).select(id_col, text_col).mapInArrow(run, f"id {kind}, n_pieces long, score long, ids_crc32 long, n_best int, best string, restored boolean").withColumnRenamed("id", id_col)

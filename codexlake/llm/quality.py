@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from codexlake.llm.common import bytes_of, fit_logistic, hash_sample, sigmoid
+from codexlake.llm.common import bytes_of, fit_logistic, hash_sample, on_workers, sigmoid
 
 _UPPER, _LETTER, _DIGIT, _SYMBOL, _PIPE, _WIDE, _SPACE, _STOP = (1 << k for k in range(8))
 _CLASS = np.zeros(256, np.uint8)
@@ -197,7 +197,7 @@ def train(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col
             columns = list(zip(*rows, strict=True)) or [()] * 3
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.binary(), pa.binary()), strict=True)], ["label", "features", "length"])
 
-    rows = sample.mapInArrow(shapes, "label int, features binary, length binary").collect()  # about max_train x max_lines lines at most
+    rows = on_workers(sample).mapInArrow(shapes, "label int, features binary, length binary").collect()  # about max_train x max_lines lines at most
     rows.sort(key=lambda r: (r["features"], r["label"]))
     y = np.array([r["label"] for r in rows], float)
     if not 0 < y.sum() < len(y):
@@ -258,13 +258,14 @@ def score_quality(docs: DataFrame, model: QualityModel | None, id_col: str = "do
             )
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(id_col, text_col).mapInArrow(run, f"id {kind}, score double, predicted int, n_lines long, n_good long").withColumnRenamed("id", id_col)
+    return on_workers(docs).select(id_col, text_col).mapInArrow(run, f"id {kind}, score double, predicted int, n_lines long, n_good long").withColumnRenamed("id", id_col)
 
 
 def keep_good(docs: DataFrame, model: QualityModel | None, text_col: str = "text", threshold: float = 0.3) -> DataFrame:
     """The rows of ``docs`` whose text scores at least the threshold."""
     if model is None:
         return docs
+    on_workers(docs)
 
     @F.pandas_udf("double")
     def score(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:

@@ -31,8 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from codexlake.llm.common import texts_of
-from codexlake.session import ship
+from codexlake.llm.common import on_workers, texts_of
 
 #: Kinds in the order that breaks ties at one start.
 KINDS = ("assign", "access", "hex", "literal")
@@ -183,7 +182,7 @@ def scan_secrets(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             )
 
     kind = df.schema[id_col].dataType.simpleString()
-    out = df.select(id_col, text_col).mapInArrow(
+    out = on_workers(df).select(id_col, text_col).mapInArrow(
         run, f"id {kind}, n_assign long, n_access long, n_hex long, n_literal long, base_sha256 string, spans string, span_list array<struct<kind:string,start:long,end:long>>"
     )
     return out.withColumnRenamed("id", id_col)
@@ -195,7 +194,7 @@ def redact_secrets(df: DataFrame, text_col: str = "text", threshold: float = 0.4
     A null text stays null.
     """
 
-    ship(df.sparkSession)
+    on_workers(df)
 
     @F.pandas_udf("string")
     def clean(texts: pd.Series) -> pd.Series:

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from codexlake.llm.common import bytes_of, cut
+from codexlake.llm.common import bytes_of, cut, on_workers
 from codexlake.llm.components import connected_components
 
 #: Byte -> 8 one-byte counters, so that one 64-bit addition counts 8 bits.
@@ -67,7 +67,7 @@ def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values.view(np.int64))], ["id", "fp"])
 
     kind = df.schema[id_col].dataType.simpleString()
-    return df.select(id_col, text_col).mapInArrow(run, f"id {kind}, fp long").withColumnRenamed("id", id_col)
+    return on_workers(df).select(id_col, text_col).mapInArrow(run, f"id {kind}, fp long").withColumnRenamed("id", id_col)
 
 
 def segment_counts(fp: np.ndarray) -> np.ndarray:
@@ -92,7 +92,7 @@ def _cells(distinct: DataFrame) -> DataFrame:
                         cell = own[keep] + np.uint64(1 << (2 * step))
                     yield pa.RecordBatch.from_arrays([pa.array(cell.view(np.int64)), pa.array(fp[keep]), pa.array(rep[keep])], ["cell", "fp", "rep"])
 
-    return distinct.select("fp", "rep").mapInArrow(run, "cell long, fp long, rep long")
+    return on_workers(distinct).select("fp", "rep").mapInArrow(run, "cell long, fp long, rep long")
 
 
 def _forest(fp: np.ndarray, rep: np.ndarray, bits: int) -> list[tuple[int, int]]:
@@ -161,7 +161,7 @@ def link_fingerprints(distinct: DataFrame, bits: int = 3, block: int = 4096) ->
         return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
     # A meeting's number may be shared by chance; that only adds verified comparisons.
-    return dealt.repartition("meet").sortWithinPartitions("meet").mapInArrow(run, "a long, b long")
+    return on_workers(dealt).repartition("meet").sortWithinPartitions("meet").mapInArrow(run, "a long, b long")
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, bits: int = 3) -> DataFrame:

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from codexlake.llm.common import cut
+from codexlake.llm.common import cut, discard, on_workers
 
 
 def sign_codes(df: DataFrame, id_col: str, vector_col: str, bits: int = 64, seed: int = 42) -> DataFrame:
@@ -56,7 +56,7 @@ def sign_codes(df: DataFrame, id_col: str, vector_col: str, bits: int = 64, seed
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(codes, pa.int64())], ["id", "code"])
 
     kind = df.schema[id_col].dataType.simpleString()
-    return df.select(id_col, vector_col).mapInArrow(run, f"id {kind}, code long").withColumnRenamed("id", id_col)
+    return on_workers(df).select(id_col, vector_col).mapInArrow(run, f"id {kind}, code long").withColumnRenamed("id", id_col)
 
 
 def segments_of(size: int) -> list[tuple[int, int]]:
@@ -209,9 +209,10 @@ def exact_topk(items: DataFrame, queries: DataFrame, k: int = 10, id_col: str =
         asks = visits(active, own, prefix, radius, crowded)
         rows = table.select("seg", "head", "salt", F.lit(0).alias("asks"), "code", F.col("id").alias("number"), "n").unionByName(asks.select("seg", "head", "salt", F.lit(1).alias("asks"), "code", F.col("bound").alias("number"), F.lit(0).cast("long").alias("n")))
         dealt = rows.repartition("seg", "head", "salt").sortWithinPartitions("seg", "head", "salt", "asks")
-        found = dealt.mapInArrow(_search(own, prefix, radius, k), ", ".join(f"{c} long" for c in _FOUND))
+        found = on_workers(dealt).mapInArrow(_search(own, prefix, radius, k), ", ".join(f"{c} long" for c in _FOUND))
         # Codes that hold the k best rows: those with fewer than k rows before them.
         pool = (found if best is None else found.unionByName(best)).distinct()
+        earlier, asked_before = best, active
         before = F.coalesce(F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
         best = cut(pool.withColumn("before", before).where(F.col("before") < k).drop("before"), f"nearest-{radius}")
         seen = best.groupBy("qcode").agg(F.sum("n").alias("rows"), F.max("distance").alias("bound"))
@@ -219,6 +220,7 @@ def exact_topk(items: DataFrame, queries: DataFrame, k: int = 10, id_col: str =
         covered = len(own) * (radius + 1) - 1
         going = wanted.join(seen, F.col("code") == F.col("qcode"), "left").where(f"rows is null or rows < {enough} or bound > {covered}")
         active = cut(going.select("code", F.when(F.col("rows") >= k, F.col("bound")).otherwise(64).cast("long").alias("bound")), f"active-{radius}")
+        discard(*(x for x in (earlier, asked_before) if x is not None))
         if not total or not active.head(1):
             break
     near = best.select("qcode", "code", "distance").join(entries, "code").select("qcode", "distance", F.explode("ids").alias("id"))

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from codexlake.llm.common import cut, fit_logistic, hash_sample, sigmoid, texts_of
+from codexlake.llm.common import cut, fit_logistic, hash_sample, on_workers, sigmoid, texts_of
 
 _STRIP = string.punctuation + "«»„“”‘’¿¡…–—"
 PREFIXES = (4, 5, 6)
@@ -192,12 +192,12 @@ def train(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col
         return out
 
     schema = "token string, " + ", ".join(f"{c} long" for c in columns)
-    counts = cut(texts.mapInArrow(count, schema).groupBy("token").agg(*(F.sum(c).alias(c) for c in columns)), "toxicity-counts")
+    counts = cut(on_workers(texts).mapInArrow(count, schema).groupBy("token").agg(*(F.sum(c).alias(c) for c in columns)), "toxicity-counts")
     model = _fit(counts, None, max_lexicon, prior, min_z)
     if not model.lexicon:
         return model
     without = [_fit(counts, k, max_lexicon, prior, min_z) for k in range(FOLDS)]
-    rows = texts.mapInArrow(_segment_scores(without), "label int, n long, scores array<double>").collect()  # at most max_train rows
+    rows = on_workers(texts).mapInArrow(_segment_scores(without), "label int, n long, scores array<double>").collect()  # at most max_train rows
     clean = [model.lam * max(r["scores"], default=0.0) - math.log(max(r["n"], 1)) for r in rows if not r["label"]]
     if clean:  # K from the mean of clean maxima: E[lam S] = ln(K n) + Euler's constant
         model.log_k = float(np.mean(clean)) - 0.5772
@@ -240,12 +240,13 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id"
             )
 
     kind = docs.schema[id_col].dataType.simpleString()
-    out = docs.select(id_col, text_col).mapInArrow(run, f"id {kind}, score double, predicted int, n_passages int, passages array<struct<start:long,end:long,score:double>>")
+    out = on_workers(docs).select(id_col, text_col).mapInArrow(run, f"id {kind}, score double, predicted int, n_passages int, passages array<struct<start:long,end:long,score:double>>")
     return out.withColumnRenamed("id", id_col)
 
 
 def drop_toxic(docs: DataFrame, model: ToxicityModel, text_col: str = "text", threshold: float = 0.3) -> DataFrame:
     """The rows of ``docs`` whose text scores below the threshold."""
+    on_workers(docs)
 
     @F.pandas_udf("double")
     def score(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:

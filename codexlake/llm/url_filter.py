@@ -27,6 +27,8 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from codexlake.llm.common import on_workers
+
 _HOST, _PATH = re.compile(r"[^/?#]*"), re.compile(r"[^?#]*")
 _MAGIC = b"CXURLIX1"
 #: Digest files that an application's file service has already.
@@ -153,7 +155,7 @@ def filter_urls(df: DataFrame, rules: Sequence[tuple[str, str, str]], id_col: st
             )
 
     kind = df.schema[id_col].dataType.simpleString()
-    return df.select(id_col, url_col).mapInArrow(run, f"id {kind}, host string, path string, rule string, verdict string").withColumnRenamed("id", id_col)
+    return on_workers(df).select(id_col, url_col).mapInArrow(run, f"id {kind}, host string, path string, rule string, verdict string").withColumnRenamed("id", id_col)
 
 
 def filter_urls_joined(df: DataFrame, rules: DataFrame, path_lengths: Sequence[int], id_col: str = "page_id", url_col: str = "url") -> DataFrame:

@@ -1,3 +1,7 @@
+import os
+import subprocess
+import sys
+
 import numpy as np
 
 from codexlake.llm import common
@@ -31,3 +35,27 @@ def test_logistic_fit_recovers_a_curve():
     x = rng.normal(size=(20_000, 2))
     y = (rng.random(20_000) < common.sigmoid(x @ np.array([1.5, -0.5]) + 0.25)).astype(float)
     assert np.allclose(common.fit_logistic(x, y, 1e-6), [1.5, -0.5, 0.25], atol=0.1)
+
+
+OUTSIDE = """
+import sys
+sys.path.insert(0, {root!r})
+import public_tokenizers
+from pyspark.sql import SparkSession
+from codexlake.llm import media, near_texts, packing, pieces, secrets, simhash
+spark = SparkSession.builder.master("local[2]").config("spark.sql.shuffle.partitions", "2").config("spark.ui.enabled", "false").config("spark.sql.warehouse.dir", {warehouse!r}).getOrCreate()
+df = spark.createDataFrame([(1, "some words"), (2, None)], "doc_id long, text string")
+for f in ({call}):
+    assert f(df).count() == 2
+"""
+
+
+def test_operators_run_on_workers_that_lack_the_package(tmp_path):
+    """From another folder, on a frame that no function of the package has made."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    call = "lambda df: pieces.digest(df, public_tokenizers.path('piece_bpe_32k.model')), media.text_media, secrets.scan_secrets, simhash.fingerprints, near_texts.keep_one"
+    script = OUTSIDE.format(root=root, warehouse=str(tmp_path / "w"), call=call)
+    done = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=240)
+    assert done.returncode == 0, done.stderr[-3000:]
+    assert not any(p.name.startswith("codexlake-") for p in (tmp_path / "w").rglob("codexlake-*"))  # cleared at the end
