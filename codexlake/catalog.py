@@ -28,3 +28,28 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def _literal(value: object) -> str:
+    if value is None:
+        return "NULL"
+    if isinstance(value, bool):
+        return str(value).lower()
+    if isinstance(value, int | float):
+        return repr(value)
+    if isinstance(value, list | tuple):
+        return f"[{', '.join(map(_literal, value))}]"
+    return "'" + str(value).replace("'", "''") + "'"
+
+
+def values(columns: str, rows: list[tuple]) -> str:
+    """SQL for rows written out, ``columns`` as ``a::INT, b::VARCHAR``."""
+    names = [c.split("::")[0].strip() for c in columns.split(",")]
+    body = ", ".join(f"({', '.join(map(_literal, r))})" for r in rows)
+    return f"SELECT {', '.join(f'{c.strip()} AS {n}' for c, n in zip(columns.split(','), names, strict=True))} FROM (VALUES {body}) AS t({', '.join(names)})"
+
+
+def fixture(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """Rows written out as a DataFrame."""
+    ship(spark)
+    return spark.createDataFrame(rows, schema)

@@ -114,15 +114,21 @@ def without_zero_branch(x: Col) -> Column:
     return F.regexp_replace(F.trim(_c(x)), r"^0\.", "")
 
 
+#: Fixed value: what a collection number consists of.
+NUMBER = r"^[0-9.]+$"
+
+
 # --- hierarchy codes ----------------------------------------------------------
 def category_codes(x: Col) -> Column:
     """struct<folder, section, subsection> of a collection number.
 
     National numbers use one, two and three leading digits of the first group;
     numbers in branch 0 use that branch with them.  A code is null where the number
-    is too short, and a level never repeats the one above.
+    is too short, and a level never repeats the one above.  Text of other characters
+    than digits and dots has no codes.
     """
     t = F.trim(_c(x))
+    t = F.when(t.rlike(NUMBER), t)
     zero = t.startswith("0.")
     group = F.regexp_extract(F.when(zero, F.substring(t, 3, 100)).otherwise(t), r"^(\d+)", 1)
     at = lambda n: F.when(F.length(group) >= n, F.concat(F.when(zero, F.lit("0.")).otherwise(F.lit("")), F.substring(group, 1, n)))
@@ -190,6 +196,10 @@ def dehyphenate(x: Col) -> Column:
     return F.regexp_replace(_c(x), r"(\p{Ll})-\s+(?!und\b|oder\b)(\p{Ll})", "$1$2")
 
 
+#: The words that make a bracket a short title.
+ACTS = ("verordnung", "gesetz", "reglement", "konkordat", "abkommen", "vereinbarung", "vertrag", "weisung", "konzession", "ordnung")
+
+
 def short_title(x: Col) -> Column:
     """struct<short, abbreviation> of the bracket in a title.
 
@@ -198,7 +208,7 @@ def short_title(x: Col) -> Column:
     """
     inner = F.regexp_extract(_c(x), r"\(([^)]*)\)", 1)
     first, second = F.trim(F.split(inner, ",", 2)[0]), F.trim(F.try_element_at(F.split(inner, ",", 2), F.lit(2)))
-    is_act = F.lower(inner).rlike("gesetz|verordnung|reglement|beschluss|vertrag|konkordat|verfassung|ordnung|vereinbarung|statut")
+    is_act = F.lower(inner).rlike("|".join(ACTS))
     short = F.when(second.isNotNull(), first).when(is_act, inner).otherwise("")
     return F.struct(
         F.when(short != F.lower(short), short).otherwise("").alias("short"), F.when(second.isNotNull(), second).when(~is_act, inner).otherwise("").alias("abbreviation")

@@ -9,9 +9,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from codexlake.session import ship
+
 #: Points in a millimetre, and the margins in millimetres.
 POINTS_PER_MM, MARGIN_MM = 2.83465, 21
 PROVISION = r"(?i)^(§\s*\d+\s*[a-z]?\s*\.|art\.\s*\d+\s*[a-z]?)"
@@ -45,29 +48,47 @@ def body_only(df: DataFrame, height: str) -> DataFrame:
 def sort_lines(df: DataFrame, doc: str, height: str, tolerance: float = 0.005) -> DataFrame:
     """Adds ``line``: reading order by lines of near equal mid-height, then by x.
 
-    Lines grow greedily: an element joins the first whose span, widened by the
-    tolerance, holds its middle. Each choice rests on those before it, so a page is
-    one group; pages are small, and there are as many groups as pages.
+    Lines grow greedily, in the order of the elements: one joins the first line
+    whose span's middle is within the tolerance of its own middle, and widens that
+    span.  Each choice rests on those before it, so a page is decided in one place;
+    pages come sorted, and one at a time is held in memory.
     """
-
-    def page(group: pd.DataFrame) -> pd.DataFrame:
-        lines: list[list] = []  # top, bottom of the middles, rows
-        slack = tolerance * float(group[height].iloc[0])
-        for row in group.sort_values(["y0", "x0", "pos"]).itertuples():
-            middle = (row.y0 + row.y1) / 2
-            for line in lines:
-                if line[0] - slack <= middle <= line[1] + slack:
-                    line[0], line[1] = min(line[0], middle), max(line[1], middle)
-                    line[2].append(row.Index)
-                    break
+    names = df.columns
+    at = {n: names.index(n) for n in (doc, "page", "pos", "y0", "y1", height)}
+    schema = df.select("*", F.lit(0).alias("line")).schema
+
+    def lines_of(top: list[float], bottom: list[float], slack: float) -> list[int]:
+        spans: list[list[float]] = []
+        chosen = []
+        for a, b in zip(top, bottom, strict=True):
+            line = next((n for n, (u, v) in enumerate(spans) if abs((u + v) / 2 - (a + b) / 2) <= slack), len(spans))
+            if line == len(spans):
+                spans.append([a, b])
             else:
-                lines.append([middle, middle, [row.Index]])
-        lines.sort(key=lambda x: (x[0] + x[1]) / 2)
-        number = {i: k for k, line in enumerate(lines, 1) for i in line[2]}
-        return group.assign(line=[number[i] for i in group.index])
+                spans[line] = [min(spans[line][0], a), max(spans[line][1], b)]
+            chosen.append(line)
+        rank = {n: k for k, n in enumerate(sorted(range(len(spans)), key=lambda n: sum(spans[n])), 1)}
+        return [rank[n] for n in chosen]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.Table | None = None
+        for batch in batches:
+            now = pa.Table.from_batches([batch] if held is None else [*held.to_batches(), batch])
+            keys = list(zip(now.column(at[doc]).to_pylist(), now.column(at["page"]).to_pylist(), strict=True))
+            cuts = [0, *(n for n in range(1, len(keys)) if keys[n] != keys[n - 1])]
+            for low, high in zip(cuts, cuts[1:], strict=False):
+                yield from page(now.slice(low, high - low))
+            held = now.slice(cuts[-1]) if len(keys) else None
+        if held is not None:
+            yield from page(held)
+
+    def page(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        top, bottom = rows.column(at["y0"]).to_pylist(), rows.column(at["y1"]).to_pylist()
+        number = pa.array(lines_of(top, bottom, tolerance * float(rows.column(at[height])[0].as_py())), pa.int32())
+        yield from rows.append_column("line", number).combine_chunks().to_batches()
 
-    kinds = ", ".join(f"`{n}` {t}" for n, t in df.dtypes)
-    return df.groupBy(doc, "page").applyInPandas(page, f"{kinds}, line int")
+    ship(df.sparkSession)
+    return df.repartition(doc, "page").sortWithinPartitions(doc, "page", "pos").mapInArrow(run, schema)
 
 
 def fractions(df: DataFrame, doc: str, share: float = 0.7, fallback: float = 5.0) -> DataFrame:
@@ -134,7 +155,8 @@ def merge_rows(df: DataFrame, key: list[str], joins: Column, separator: Column |
 
 def split_provision(text: str) -> Column:
     """array: ``§ 12a. rest`` as its label and its rest; other text as one."""
-    label, rest = F.regexp_extract(text, r"^(§\s*\d+\s*[a-z]?\s*\.)\s*(.*)$", 1), F.regexp_extract(text, r"^(§\s*\d+\s*[a-z]?\s*\.)\s*(.*)$", 2)
+    pattern, t = r"^(§ \d+[a-zA-Z]?\.)(.*)$", F.trim(F.col(text))
+    label, rest = F.regexp_extract(t, pattern, 1), F.trim(F.regexp_extract(t, pattern, 2))
     return F.when(label != "", F.filter(F.array(label, rest), lambda x: x != "")).otherwise(F.array(text))
 
 
@@ -158,6 +180,33 @@ def cell_columns(cells: DataFrame, headers: DataFrame, table: str) -> DataFrame:
     return cells.join(h, table).select(table, F.col("id").alias("cell_id"), (-best["first"]).alias("column_id"))
 
 
+def geometry_tables(cells: DataFrame, table: str, tolerance: float = 5.0) -> DataFrame:
+    """(table, html) of positioned cells: id, x0, x1, y0 and text.
+
+    Rows begin where a cell lies more than ``tolerance`` below the one before it, in
+    order of height; the first row is the header, and the others' cells go to the
+    header column that they overlap most.  Cells of one place are joined by spaces.
+    """
+    from codexlake.functions.scalar import xml_escape
+
+    down = Window.partitionBy(table).orderBy("y0", "x0", "id")
+    opens = F.when(F.col("y0") - F.lag("y0").over(down) <= tolerance, 0).otherwise(1)
+    rows = cells.withColumn("_o", opens).withColumn("_row", F.sum("_o").over(down.rowsBetween(Window.unboundedPreceding, 0))).drop("_o")
+    heads = rows.where("_row = 1")
+    columns = heads.withColumn("_column", F.row_number().over(Window.partitionBy(table).orderBy("x0", "id")))
+    placed = cell_columns(rows.where("_row > 1"), heads, table).withColumnRenamed("cell_id", "id")
+    body = rows.join(placed, [table, "id"]).join(columns.select(table, F.col("id").alias("column_id"), "_column"), [table, "column_id"])
+    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("y0", "x0", "id", "text"))), lambda x: x["text"]), " ")
+    filled = body.groupBy(table, "_row", "_column").agg(xml_escape(text).alias("_text"))
+    width = columns.groupBy(table).agg(F.max("_column").alias("_width"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_column", xml_escape("text").alias("t")))), lambda x: F.concat(F.lit("<th>"), x["t"], F.lit("</th>"))), "").alias("_head"))
+    lines = filled.groupBy(table, "_row").agg(F.map_from_entries(F.collect_list(F.struct("_column", "_text"))).alias("_cells")).join(width, table)
+    line = F.array_join(F.transform(F.sequence(F.lit(1), "_width"), lambda n: F.concat(F.lit("<td>"), F.coalesce(F.try_element_at("_cells", n), F.lit("")), F.lit("</td>"))), "")
+    bodies = lines.withColumn("_line", F.concat(F.lit("<tr>"), line, F.lit("</tr>"))).groupBy(table).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_row", "_line"))), lambda x: x["_line"]), "").alias("_body"))
+    whole = width.join(bodies, table, "left")
+    body_html = F.coalesce(F.concat(F.lit("<tbody>"), F.col("_body"), F.lit("</tbody>")), F.lit(""))
+    return whole.select(table, F.concat(F.lit("<table><thead><tr>"), F.col("_head"), F.lit("</tr></thead>"), body_html, F.lit("</table>")).alias("html"))
+
+
 def rows_by_height(df: DataFrame, table: str, tolerance: float = 5.0) -> DataFrame:
     """(table, y, row): for each distinct height, the texts within ``tolerance``, by x.
 
@@ -218,6 +267,7 @@ def flatten_kids(df: DataFrame, key: list[str], column: str) -> DataFrame:
             yield pd.DataFrame(out, columns=[*key, "pos", "path", "text"])
 
     kinds = ", ".join(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in key)
+    ship(df.sparkSession)
     return df.select(*key, column).mapInPandas(walk, f"{kinds}, pos int, path string, text string")
 
 
@@ -244,18 +294,28 @@ def grid_elements(df: DataFrame, key: list[str], grid: str) -> DataFrame:
     return cells.select(*key, F.concat(F.lit("/Table/TR["), F.col("_r") + 1, F.lit("]/"), kind, F.lit("["), F.col("_c") + 1, F.lit("]")).alias("path"), "text")
 
 
-#: Abbreviations before whose dot or bracket no enumeration begins.
-ABBREVIATIONS = ("Abs", "Art", "Bst", "bzw", "lit", "Lit", "Nr", "vgl", "Ziff", "usw", "ff")
+#: What may end with a dot before an enumerator that is none.
+ABBREVIATIONS = ("bzw", "ca", "Dr", "Fr", "Nr", "resp", "usw", "vgl", "z.B", "inkl", "exkl")
 
 
 def split_enumerators(text: str) -> Column:
-    """array: a text cut before each inline enumerator such as ``b.`` or ``2)``.
+    """array: before, mark and rest of the first letter or Roman enumerator in a text.
 
-    Single capitals, abbreviations and what stands in a bracket, up to 80 characters
-    after it opens, do not cut.
+    An open bracket, an abbreviation or a provision's number before it, and a single
+    capital, keep the text whole.
     """
-    marked = F.regexp_replace(F.col(text), rf"(?<=[,;:.]\s)(?<!\b(?:{'|'.join(ABBREVIATIONS)})\.\s)(?<!\([^()]{{0,80}})((?:[ivx]+|[a-z]|\d{{1,2}})[.)]\s)", "\u0000$1")
-    return F.filter(F.transform(F.split(marked, "\u0000"), lambda x: F.trim(x)), lambda x: x != "")
+    pattern = r"(?s)^(.+?)\s+([IVXLCDM]+|[a-zA-Z])([.)])\s+(.+)$"
+    before, mark, end, after = (F.regexp_extract(text, pattern, n) for n in range(1, 5))
+    named = "|".join(a.replace(".", r"\.") for a in ABBREVIATIONS)
+    kept = (mark == "") | (before.contains("(") & ~before.contains(")")) | before.rlike(rf"(?:{named})\s*$") | before.rlike(r"(?:§\s*|Art\.\s*|Artikel\s*)\d+[a-z]?\s*$") | mark.rlike("^[A-Z]$")
+    parts = F.array(F.rtrim(before), F.concat(mark, end), F.ltrim(after))
+    return F.when(F.coalesce(kept, F.lit(True)), F.array(text)).otherwise(F.filter(parts, lambda x: x != ""))
+
+
+def split_notes(text: str) -> Column:
+    """array: a note's text cut before each enumerator in it but one at its start."""
+    pattern = r"(?U)(?<=\S)(\s*)(?<!\w)((?:[IVXLCDM]+|[ivxlcdm]+|[a-zA-Z]|\d+)[.)]\s+)"
+    return F.transform(F.split(F.regexp_replace(F.col(text), pattern, "\u0000$2"), "\u0000"), lambda x: x)
 
 
 def enumerator_parts(text: str) -> Column:

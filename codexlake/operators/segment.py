@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 SECTION_LINK = r"\[⟨§\s*(\d+(?:\s*[a-z])*)\s*\.?⟩\]"
 ARTICLE_LINK = r"\[⟨Art\.\s*(\d+[a-z]*)⟩\]"
 REFERENCES = {
-    "article": r"\b(?:Art\.|Artikel)\s*(\d+(?:[a-zA-Z]+)?)\b",
-    "paragraph": r"(?:Abs\.|Absatz)\s*(\d+)",
-    "letter": r"(?:lit\.|Buchst\.|Bst\.)\s*([a-zA-Z])",
-    "number": r"(?:Ziff\.|Ziffer)\s*(\d+)",
+    "article": r"(?U)\b(?:Art\.|Artikel)\s*(\d+(?:[a-zA-Z]+)?)\b",
+    "paragraph": r"(?U)\b(?:Abs\.|Absatz)\s*(\d+)\b",
+    "letter": r"(?U)\b(?:lit\.|Buchst\.|Bst\.)\s*([a-zA-Z])\b",
+    "number": r"(?U)\b(?:Ziff\.|Ziffer)\s*(\d+)\b",
 }
 
 
@@ -104,8 +104,8 @@ def subprovisions(markers: Column) -> Column:
 
 
 def merge_continuations(df: DataFrame, key: list[str], order: str, number: Column, text: str) -> DataFrame:
-    """(key, number, text): rows without a number join the numbered row before them."""
+    """(key, position, number, n_lines, text): rows without a number join the numbered row before them."""
     w = Window.partitionBy(*key).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     grouped = df.withColumn("_n", number).withColumn("_g", F.count("_n").over(w)).where("_g > 0")
     out = grouped.groupBy(*key, "_g").agg(F.max("_n").alias("number"), F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(text).alias("t")))).alias("_rows"))
-    return out.select(*key, F.col("_g").cast("int").alias("position"), "number", F.array_join(F.transform("_rows", lambda r: r["t"]), " ").alias("text"))
+    return out.select(*key, F.col("_g").cast("int").alias("position"), "number", F.size("_rows").cast("long").alias("n_lines"), F.array_join(F.transform("_rows", lambda r: r["t"]), " ").alias("text"))

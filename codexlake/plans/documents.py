@@ -62,11 +62,10 @@ SELECT conv_id, g::INT AS position, min(turn) AS first_turn, count(*) AS n_lines
 """)
 def conversation_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Segments that a user's turn opens; what comes before the first is dropped."""
-    from pyspark.sql import Window
-
-    w = Window.partitionBy("conv_id").orderBy("turn", "role", "text").rowsBetween(Window.unboundedPreceding, 0)
-    grouped = table(spark, sf_dir, "conversations").withColumn("g", F.count_if(F.col("role") == "user").over(w)).where("g > 0")
-    return grouped.groupBy("conv_id", F.col("g").cast("int").alias("position")).agg(F.min("turn").alias("first_turn"), F.count("*").alias("n_lines"), F.sum(F.length("text")).alias("n_chars"))
+    lines = table(spark, sf_dir, "conversations").select("conv_id", F.struct("turn", "role", "text").alias("place"), F.when(F.col("role") == "user", F.col("turn")).alias("number"), "text")
+    merged = segment.merge_continuations(lines, ["conv_id"], "place", F.col("number"), "text")
+    # The texts are joined by single spaces, one fewer than there are lines.
+    return merged.select("conv_id", "position", F.col("number").alias("first_turn"), F.col("n_lines"), (F.length("text") - F.col("n_lines") + 1).cast("long").alias("n_chars"))
 
 
 QUERY_TERMS = ["the", "que", "und", "les"]

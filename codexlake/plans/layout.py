@@ -53,11 +53,14 @@ def heading_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-WITH e AS (SELECT user_id AS doc, event_id, (event_id * 37 % 842)::DOUBLE AS y, round(value, 2) AS x, event_type AS text FROM events WHERE event_id % 3 = 0)
-SELECT a.doc, a.y, string_agg(b.text, '|' ORDER BY b.x, b.event_id) AS row FROM (SELECT DISTINCT doc, y FROM e) a JOIN e b ON a.doc = b.doc AND abs(a.y - b.y) <= 5 GROUP BY a.doc, a.y
+WITH e AS (SELECT user_id || '/' || event_id % 3 AS doc, event_id, (event_id * 37 % 842)::DOUBLE AS y, round(value, 2) AS x, event_type AS text FROM events),
+c AS (SELECT *, unnest([floor(y / 5) - 1, floor(y / 5), floor(y / 5) + 1]) AS cell FROM (SELECT DISTINCT doc, y FROM e))
+SELECT c.doc, c.y, string_agg(b.text, '|' ORDER BY b.x, b.event_id) AS row FROM c JOIN e b ON c.doc = b.doc AND c.cell = floor(b.y / 5) AND abs(c.y - b.y) <= 5 GROUP BY c.doc, c.y
 """)
 def grid_by_height(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = layout.rows_by_height(_elements(spark, sf_dir).where("page = 0"), "doc")
+    """Rows of each page of each document."""
+    pages = _elements(spark, sf_dir).withColumn("doc", F.concat_ws("/", F.col("doc").cast("string"), F.col("page").cast("string")))
+    rows = layout.rows_by_height(pages, "doc")
     return rows.select("doc", "y", F.array_join("row", "|").alias("row"))
 
 
@@ -80,9 +83,8 @@ def reading_order(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-WITH e AS (SELECT user_id, event_id, 'p' AS tag, event_type FROM events WHERE event_id % 11 = 0)
-SELECT user_id AS doc, string_agg('<p>' || event_type || '</p>', chr(10) ORDER BY event_id) AS html FROM e GROUP BY user_id
+SELECT user_id AS doc, string_agg('<p>' || event_type || '</p>', chr(10) ORDER BY event_id) AS html FROM events GROUP BY user_id
 """)
 def elements_to_html(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tagged = layout.demote_after_final(_elements(spark, sf_dir).where("pos % 11 = 0").withColumn("level", F.lit(None).cast("int")), "doc")
+    tagged = layout.demote_after_final(_elements(spark, sf_dir).withColumn("level", F.lit(None).cast("int")), "doc")
     return layout.to_html(tagged.withColumn("tag", layout.tag_of("text", "level", "after_last_final")), "doc")

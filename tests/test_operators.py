@@ -75,7 +75,7 @@ def test_carry_and_continuations(spark):
     assert [r["head"] for r in out.orderBy("p").collect()] == [None, "H1", "H1", None, None]
     notes = spark.createDataFrame([(1, 1, "lost"), (1, 2, "1 one"), (1, 3, "more"), (1, 4, "2 two")], "d int, p int, t string")
     merged = segment.merge_continuations(notes, ["d"], "p", F.nullif(F.regexp_extract("t", r"^(\d+) ", 1), F.lit("")), "t")
-    assert [tuple(r) for r in merged.orderBy("position").collect()] == [(1, 1, "1", "1 one more"), (1, 2, "2", "2 two")]
+    assert [tuple(r) for r in merged.orderBy("position").collect()] == [(1, 1, "1", 2, "1 one more"), (1, 2, "2", 1, "2 two")]
 
 
 def test_grid_hash_and_changes(spark):
