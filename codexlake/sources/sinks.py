@@ -90,3 +90,26 @@ def flat_report(df: DataFrame) -> DataFrame:
 def numbered(df: DataFrame, key: list[str], order: list[Column]) -> DataFrame:
     """Adds ``position`` from 1 within a key."""
     return df.withColumn("position", F.row_number().over(Window.partitionBy(*key).orderBy(*order)))
+
+
+def dispatch_pages(affairs: DataFrame) -> DataFrame:
+    """(dispatch_date, html): each dispatch as a block of its affairs' tables, the newest opened.
+
+    ``affairs`` has dispatch_date (YYYYMMDD), priority, pos and html.
+    """
+    newest = affairs.agg(F.max("dispatch_date").alias("dispatch_date")).withColumn("_newest", F.lit(True))
+    parts = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("priority", "pos", "html"))), lambda x: x["html"]), "")
+    blocks = affairs.groupBy("dispatch_date").agg(parts.alias("body")).join(newest, "dispatch_date", "left")
+    opened = F.when(F.col("_newest"), "<details open>").otherwise("<details>")
+    return blocks.select("dispatch_date", F.concat(opened, F.lit("<summary>Versand vom "), scalar.swiss_date("dispatch_date"), F.lit("</summary>"), F.col("body"), F.lit("</details>")).alias("html"))
+
+
+def url_order(urls: DataFrame, collections: dict[str, str], loc: str = "loc", in_force: str = "in_force") -> DataFrame:
+    """Adds what a sitemap is sorted by: other pages first, then law by law, the version in force last."""
+    kind = F.lit(None).cast("string")
+    for part, name in collections.items():
+        kind = F.when(F.col(loc).contains(part), name).otherwise(kind)
+    name = F.replace(F.element_at(F.split(loc, "/"), -1), F.lit(".html"), F.lit(""))
+    law, number = F.regexp_extract(name, r"^(.+)-(\d+)$", 1), F.regexp_extract(name, r"^(.+)-(\d+)$", 2)
+    out = urls.withColumns({"is_law": kind.isNotNull(), "law_group": F.when(kind.isNotNull(), F.concat(kind, F.lit(":"), law)), "version_number": F.when(kind.isNotNull(), number.try_cast("int"))})
+    return out.where("not is_law or version_number is not null").withColumn("current", F.coalesce(F.col("is_law") & F.col(in_force), F.lit(False)))
