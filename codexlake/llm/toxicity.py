@@ -13,7 +13,8 @@ and the sum of the significant ones gives the text's score.
 Defined cases: a null text counts as empty; an empty text has no segment and gets
 the score of one; without labels of both kinds the score is 0 for every text;
 labels whose id or value is null are not learnt from; of labels for one id the
-greatest counts.
+greatest counts; very long texts are scanned whole; repeated rows score alike; an
+empty table gives none; other columns, whatever their names, are not read.
 """
 
 from __future__ import annotations
@@ -197,13 +198,21 @@ def train(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col
     if not model.lexicon:
         return model
     without = [_fit(counts, k, max_lexicon, prior, min_z) for k in range(FOLDS)]
-    rows = on_workers(texts).mapInArrow(_segment_scores(without), "label int, n long, scores array<double>").collect()  # at most max_train rows
-    clean = [model.lam * max(r["scores"], default=0.0) - math.log(max(r["n"], 1)) for r in rows if not r["label"]]
-    if clean:  # K from the mean of clean maxima: E[lam S] = ln(K n) + Euler's constant
-        model.log_k = float(np.mean(clean)) - 0.5772
-    y = np.array([float(r["label"]) for r in rows])
+    rows = cut(on_workers(texts).mapInArrow(_segment_scores(without), "label int, n long, scores array<double>"), "toxicity-segments")
+    best = F.coalesce(F.array_max("scores"), F.lit(0.0))
+    size = F.log(F.greatest("n", F.lit(1)).cast("double"))
+    mean = rows.where("label = 0").agg(F.avg(model.lam * best - size).alias("m")).first()["m"]
+    if mean is not None:  # K from the mean of clean maxima: E[lam S] = ln(K n) + Euler's constant
+        model.log_k = float(mean) - 0.5772
+    # The summary of each text, as ``summary`` has it: two numbers a text leave their tasks.
+    values = F.transform(F.when(F.size("scores") > 0, F.col("scores")).otherwise(F.array(F.lit(0.0))), lambda s: model.lam * s - F.lit(model.log_k) - size)
+    bound = -math.log(-math.log1p(-model.cutoff))
+    more = F.log1p(F.aggregate(values, F.lit(0.0), lambda total, v: total + F.when(v >= bound, v).otherwise(0.0)))
+    found = rows.select("label", F.least(F.greatest(F.array_max(values), F.lit(-12.0)), F.lit(12.0)).alias("best"), more.alias("more")).collect()
+    found.sort()
+    y = np.array([float(r["label"]) for r in found])
     if 0 < y.sum() < len(y):
-        model.weights = fit_logistic(np.array([model.summary(r["scores"], r["n"])[:2] for r in rows]), y, 1e-4).tolist()
+        model.weights = fit_logistic(np.array([[r["best"], r["more"]] for r in found]), y, 1e-4).tolist()
     return model
 
 
