@@ -11,7 +11,9 @@ they call bad, turned into a probability by a logistic curve.
 
 Defined cases: a null text counts as empty; an empty text is one empty line;
 without labels of both kinds every text scores 1; labels whose id or value is null
-are not learnt from; of labels for one id the greatest counts.
+are not learnt from; of labels for one id the greatest counts; very long texts are
+scored whole; repeated rows score alike; an empty table gives none; other columns,
+whatever their names, are not read.
 """
 
 from __future__ import annotations

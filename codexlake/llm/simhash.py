@@ -11,7 +11,8 @@ and a pair of blocks yields a spanning forest of its links, never all pairs.
 
 Defined cases: a null or empty text has fingerprint zero, linked like any other;
 repeated rows stay; an id counts once however often it occurs; a group whose ids
-are all null has a null component.
+are all null has a null component; a very long text is read in steps; an empty table
+gives none; other columns, whatever their names, are not read.
 """
 
 from __future__ import annotations

@@ -8,7 +8,9 @@ digest collision cannot decide.
 
 Defined cases: a null URL, or one without ``://``, has an empty host and path and
 meets no rule; of several rules that fit, the longest key wins, then the longer
-host; of equal rules the last stated verdict holds; no rule at all: ``allow``.
+host; of equal rules the last stated verdict holds; no rule at all: ``allow``;
+repeated rows are judged alike; an empty table gives none; other columns, whatever
+their names, are not read.
 """
 
 from __future__ import annotations
