@@ -6,9 +6,11 @@ independent, so a job is one scan with no shuffle.
 
 from __future__ import annotations
 
+import bisect
 import difflib
 import hashlib
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html import escape
 from html.parser import HTMLParser
@@ -206,20 +208,73 @@ def clean_html(html: str | None) -> str:
     return re.sub(r"[^\S\n]+", " ", out)
 
 
+def common_runs(a: list[str], b: list[str]) -> list[tuple[int, int, int]]:
+    """Runs of equal words (start in a, start in b, length), in order.
+
+    Equal beginnings and ends come first.  Between them the words that either text
+    holds once, in their longest common order, split the rest into small parts; only
+    parts without such a word are compared word by word.
+    """
+    out: list[tuple[int, int, int]] = []
+    todo = [(0, len(a), 0, len(b))]
+    while todo:
+        i, j, k, m = todo.pop()
+        head = 0
+        while i + head < j and k + head < m and a[i + head] == b[k + head]:
+            head += 1
+        tail = 0
+        while j - tail > i + head and m - tail > k + head and a[j - tail - 1] == b[m - tail - 1]:
+            tail += 1
+        out += [(i, k, head)] * bool(head) + [(j - tail, m - tail, tail)] * bool(tail)
+        i, j, k, m = i + head, j - tail, k + head, m - tail
+        if i == j or k == m:
+            continue
+        once_a, once_b = Counter(a[i:j]), Counter(b[k:m])
+        places = {w: n for n, w in enumerate(b[k:m], k) if once_b[w] == 1}
+        pairs = [(n, places[w]) for n, w in enumerate(a[i:j], i) if once_a[w] == 1 and w in places]
+        chain = _longest_rising(pairs)
+        if not chain:
+            out += [(i + x.a, k + x.b, x.size) for x in difflib.SequenceMatcher(None, a[i:j], b[k:m], autojunk=False).get_matching_blocks() if x.size]
+            continue
+        edges = [(i, k), *chain, (j, m)]
+        # Each part begins with the word that it is anchored at.
+        todo += [(low[0], high[0], low[1], high[1]) for low, high in zip(edges, edges[1:], strict=False)]
+    return sorted(out)
+
+
+def _longest_rising(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The longest subsequence whose second numbers rise."""
+    ends: list[int] = []
+    last: list[int] = []
+    back: list[int] = []
+    for n, (_, y) in enumerate(pairs):
+        at = bisect.bisect_left(ends, y)
+        back.append(last[at - 1] if at else -1)
+        if at == len(ends):
+            ends.append(y)
+            last.append(n)
+        else:
+            ends[at], last[at] = y, n
+    out, n = [], last[-1] if last else -1
+    while n >= 0:
+        out.append(pairs[n])
+        n = back[n]
+    return out[::-1]
+
+
 def diff_words(old: str | None, new: str | None) -> tuple[int, int, str]:
     """(words removed, words added, marked text) between two pages' texts."""
     a, b = text_of(old).split(), text_of(new).split()
-    gone = added = 0
+    gone = added = i = k = 0
     out: list[str] = []
-    for kind, i, j, k, m in difflib.SequenceMatcher(None, a, b, autojunk=False).get_opcodes():
-        if kind == "equal":
-            out += a[i:j]
-            continue
-        gone, added = gone + j - i, added + m - k
-        if j > i:
-            out.append(f"<del>{' '.join(a[i:j])}</del>")
-        if m > k:
-            out.append(f"<ins>{' '.join(b[k:m])}</ins>")
+    for x, y, n in [*common_runs(a, b), (len(a), len(b), 0)]:
+        gone, added = gone + x - i, added + y - k
+        if x > i:
+            out.append(f"<del>{' '.join(a[i:x])}</del>")
+        if y > k:
+            out.append(f"<ins>{' '.join(b[k:y])}</ins>")
+        out += a[x : x + n]
+        i, k = x + n, y + n
     return gone, added, " ".join(out)
 
 

@@ -20,10 +20,16 @@ def grid(df: DataFrame, key: list[str], row: Column, cell: Column, pos: str, tex
     cells = df.select(*key, row.alias("_r"), cell.alias("_c"), F.col(pos).alias("_p"), F.trim(F.col(text)).alias("_t")).where("_r is not null and _c is not null")
     parts = F.array_sort(F.collect_list(F.when(F.col("_t") != "", F.struct("_p", "_t"))))
     one = cells.groupBy(*key, "_r", "_c").agg(F.array_join(F.transform(parts, lambda x: x["_t"]), " ").alias("_t"))
-    whole = one.groupBy(*key).agg(F.max("_r").alias("_nr"), F.max("_c").alias("_nc"), F.map_from_entries(F.collect_list(F.struct(F.struct("_r", "_c"), "_t"))).alias("_m"))
-    cell_at = lambda r, c: F.coalesce(F.try_element_at("_m", F.struct(r.alias("_r"), c.alias("_c"))), F.lit(""))
-    made = F.transform(F.sequence(F.lit(1), "_nr"), lambda r: F.transform(F.sequence(F.lit(1), F.col("_nc")), lambda c: cell_at(r, c)))
-    return whole.select(*key, made.alias("grid"))
+    # A row's cells by column with the gaps filled, then a table's rows with the gaps filled: each is passed once.
+    blank = lambda n: F.array_repeat(F.lit(""), F.greatest(n, F.lit(0)).cast("int"))
+    before = lambda xs, i, c: F.coalesce(F.try_element_at(xs, F.when(i > 0, i).cast("int"))[c], F.lit(0))
+    row_cells = F.array_sort(F.collect_list(F.struct(F.col("_c").alias("c"), F.col("_t").alias("t"))))
+    rows = one.groupBy(*key, "_r").agg(row_cells.alias("_cells"), F.max("_c").alias("_w"))
+    rows = rows.withColumn("_row", F.flatten(F.transform("_cells", lambda x, i: F.concat(blank(x["c"] - before(F.col("_cells"), i, "c") - 1), F.array(x["t"])))))
+    whole = rows.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct(F.col("_r").alias("r"), F.col("_row").alias("t")))).alias("_rows"), F.max("_w").alias("_nc"))
+    full = lambda cells: F.concat(cells, blank(F.col("_nc") - F.size(cells)))
+    gap = lambda x, i: F.array_repeat(blank(F.col("_nc")), F.greatest(x["r"] - before(F.col("_rows"), i, "r") - 1, F.lit(0)).cast("int"))
+    return whole.select(*key, F.flatten(F.transform("_rows", lambda x, i: F.concat(gap(x, i), F.array(full(x["t"]))))).alias("grid"))
 
 
 def rectangular(grid_col: str) -> Column:

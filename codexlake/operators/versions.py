@@ -34,12 +34,22 @@ def ranks(df: DataFrame, key: str, version: str, tie: str) -> DataFrame:
 def links(df: DataFrame, key: str, version: str, item: Column, tie: str) -> DataFrame:
     """Arrays ``older`` and ``newer`` of ``item`` for every version, in order.
 
-    The result itself is quadratic in a key's versions; use ``ranks`` where one key
-    may have very many.
+    Cut from one sorted array a key.  The result itself is quadratic in a key's
+    versions; use ``ranks`` where one key may have very many.
     """
-    every = F.collect_list(F.when(F.col(version).isNotNull(), F.struct(F.col(version).alias("v"), F.col(tie).alias("t"), item.alias("i")))).over(Window.partitionBy(key))
-    pick = lambda test: F.transform(F.array_sort(F.filter("_all", test)), lambda x: x["i"])
-    return df.withColumn("_all", every).withColumn("older", pick(lambda x: x["v"] < F.col(version))).withColumn("newer", pick(lambda x: x["v"] > F.col(version))).drop("_all")
+    known = df.where(F.col(version).isNotNull())
+    every = known.groupBy(F.col(key).alias("_k")).agg(F.array_sort(F.collect_list(F.struct(F.col(version).alias("v"), F.col(tie).alias("t"), item.alias("i")))).alias("_all"))
+    up, down = Window.partitionBy(key).orderBy(F.asc_nulls_last(version)), Window.partitionBy(key).orderBy(F.desc_nulls_last(version))
+    places = df.withColumns({"_older": F.rank().over(up) - 1, "_newer": F.rank().over(down) - 1})
+    out = places.join(every, F.col(key).eqNullSafe(F.col("_k")), "left")
+    # In the sorted array of a key the older ones are the first, the newer ones the last.
+    items = lambda part: F.transform(part, lambda x: x["i"])
+    nothing = F.slice(items(F.col("_all")), 1, 0)
+    named = F.col(version).isNotNull()
+    older, newer = items(F.slice("_all", F.lit(1), F.col("_older"))), items(F.slice("_all", F.size("_all") - F.col("_newer") + 1, F.col("_newer")))
+    empty = F.transform(F.array(item), lambda x: x)
+    value = lambda part: F.coalesce(F.when(named, part).otherwise(nothing), F.slice(empty, 1, 0))
+    return out.withColumns({"older": value(older), "newer": value(newer)}).drop("_k", "_all", "_older", "_newer")
 
 
 def neighbours(df: DataFrame, key: str, order: list, item: str) -> DataFrame:

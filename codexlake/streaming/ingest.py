@@ -31,11 +31,14 @@ def upsert_batches(spark: SparkSession, path: str, keys: list[str], order: list[
 
     Each batch writes the merged state to a folder of its own number, from that of
     the batch before; a batch that is repeated after a failure writes the same rows
-    again, so the sink is idempotent.
+    again, so the sink is idempotent.  Older states than the two that this needs go.
     """
+    jvm = spark.sparkContext._jvm
 
     def write(batch: DataFrame, number: int) -> None:
         before = batch.limit(0) if number == 0 else spark.read.schema(batch.schema).parquet(f"{path}/batch={number - 1}")
         upsert(before.unionByName(batch), keys, order).select(batch.columns).write.mode("overwrite").parquet(f"{path}/batch={number}")
+        old = jvm.org.apache.hadoop.fs.Path(f"{path}/batch={number - 2}")
+        old.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(old, True)
 
     return write

@@ -1,6 +1,8 @@
 """Operators on miniature fixtures."""
 
 import datetime as dt
+import difflib
+import random
 
 import pytest
 from pyspark.sql import Window
@@ -43,6 +45,23 @@ def test_upsert_and_missing(spark):
     assert [tuple(r) for r in versions.missing(rows, have, ["k"], ["o"]).select("k", "o", "v").collect()] == [("a", 1, "x")]
 
 
+def test_word_diffs_restore_both_texts():
+    rng = random.Random(5)
+    for n in (0, 3, 40, 400):
+        for _ in range(20):
+            a = [rng.choice("abcdefgh") + str(rng.randrange(max(1, n // 3))) for _ in range(n)]
+            b = [w for w in a if rng.random() > 0.1]
+            for _ in range(n // 8):
+                b.insert(rng.randrange(len(b) + 1), "new" + str(rng.randrange(5)))
+            runs = html.common_runs(a, b)
+            assert all(a[x : x + k] == b[y : y + k] for x, y, k in runs)
+            assert all(u[0] + u[2] <= v[0] and u[1] + u[2] <= v[1] for u, v in zip(runs, runs[1:], strict=False))
+            best = sum(m.size for m in difflib.SequenceMatcher(None, a, b, autojunk=False).get_matching_blocks())
+            assert sum(k for *_, k in runs) >= 0.8 * best
+    long = [f"w{k}" for k in range(60_000)]
+    assert html.common_runs(long, long[:30_000] + ["x"] + long[30_001:]) == [(0, 0, 30_000), (30_001, 30_001, 29_999)]
+
+
 def test_hierarchy(spark):
     tree = '{"1":{"name":"State","sections":{"13":{"name":"Order","subsections":{"131":{"name":"Towns"}}},"14":{"name":" ","subsections":{}}}}}'
     codes = hierarchy.flatten(spark.createDataFrame([(tree,)], "t string").select(F.from_json("t", hierarchy.SCHEMA).alias("folders")))
