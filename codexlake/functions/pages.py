@@ -191,3 +191,63 @@ def without_dashes(kind, x: Column) -> Column:
     if isinstance(kind, T.MapType):
         return F.transform_values(x, lambda _, y: without_dashes(kind.valueType, y))
     return x
+
+
+def is_metadata(x: Col) -> Column:
+    """Whether a JSON text is a version's metadata: an object with both its parts as objects."""
+    part = lambda name: F.coalesce(F.get_json_object(_c(x), f"$.{name}").startswith("{"), F.lit(False))
+    return part("doc_info") & part("process_steps")
+
+
+#: The fields of a law's panel, in order, and those that are dates.
+PANEL = (
+    ("kurztitel", "Kurztitel"), ("abkuerzung", "Abkürzung"), ("ordnungsnummer", "Ordnungsnummer"), ("nachtragsnummer", "Nachtragsnummer"), ("erlassdatum", "Erlassdatum"),
+    ("inkraftsetzungsdatum", "Inkraftsetzungsdatum"), ("publikationsdatum", "Publikationsdatum"), ("aufhebungsdatum", "Aufhebungsdatum"),
+)
+_WEIGHTED, _META = ("abkuerzung",), ("ordnungsnummer", "nachtragsnummer")
+
+
+def panel(info: Col, in_force: Col, collection: Col) -> Column:
+    """struct<status, facet, html> of a version: what the page says of it, the search facet, and its panel.
+
+    ``info`` is a struct with the fields of ``PANEL`` and ``erlasstitel``; what is missing is N/A.
+    """
+    item = lambda label, value, more="", kind="row": F.concat(F.lit(f'<div class="metadata-item metadata-item-{kind}"><div class="metadata-label">{label}:</div><div class="metadata-value"{more}>'), value, F.lit("</div></div>"))
+    text = lambda name: F.coalesce(html_escape(blank_to_null(_c(info)[name])), F.lit("N/A"))
+    rows = []
+    for name, label in PANEL:
+        more = ' data-pagefind-weight="10"' if name in _WEIGHTED else f' data-pagefind-meta="{label}"' if name in _META else ""
+        rows.append(item(label, swiss_date(_c(info)[name]) if name.endswith("datum") else text(name), more))
+    named = blank_to_null(collection)
+    origin = F.when(named.isNull(), item("Gesetzessammlung", F.lit("N/A"))).otherwise(item("Gesetzessammlung", html_escape(named), ' data-pagefind-meta="Gesetzessammlung" data-pagefind-filter="Gesetzessammlung"'))
+    title = item("Erlasstitel", text("erlasstitel"), ' data-pagefind-weight="10"', "full")
+    html = F.concat(F.lit('<details id="doc-info"><summary>Basisinformationen</summary><div class="metadata-content">'), title, *rows, origin, F.lit("</div></details>"))
+    number = F.concat(F.lit("("), _c(info)["ordnungsnummer"], F.lit("-"), _c(info)["nachtragsnummer"], F.lit(")"))
+    status = F.concat(F.when(_c(in_force), "Text in Kraft ").otherwise("Text nicht in Kraft "), number)
+    return F.struct(status.alias("status"), F.concat(F.lit("Text in Kraft:"), F.when(_c(in_force), "Ja").otherwise("Nein")).alias("facet"), html.alias("html"))
+
+
+def law_container(base: str, collection: Col, law: Col, version: Col, newest: Col, title: Col, body: Col) -> Column:
+    """struct<canonical, html> of a version's page: its canonical address is the newest version's, and only that one is indexed."""
+    last = F.coalesce(_c(newest), _c(version))
+    canonical = F.concat(F.lit(base), F.lit("/col-"), _c(collection), F.lit("/"), _c(law), F.lit("-"), last, F.lit(".html"))
+    index = F.when(last == _c(version), " data-pagefind-body").otherwise("")
+    attributes = F.concat(F.lit(' data-ordnungsnummer="'), html_escape(law), F.lit('" data-nachtragsnummer="'), html_escape(version), F.lit('" data-title="'), html_escape(title), F.lit('"'))
+    head = F.concat(F.lit('<head><link rel="canonical" href="'), canonical, F.lit('"></head>'))
+    return F.struct(canonical.alias("canonical"), F.concat(F.lit("<html>"), head, F.lit('<body><div id="law"'), attributes, index, F.lit(">"), F.coalesce(_c(body), F.lit("")), F.lit("</div></body></html>")).alias("html"))
+
+
+def modern_page(x: Col) -> Column:
+    """An old page without scripts, fonts, italics, bold and body attributes, its content in the law's containers."""
+    out = F.regexp_replace(F.coalesce(_c(x), F.lit("")), r"(?is)<script\b.*?</script\s*>", "")
+    out = F.regexp_replace(out, r"(?is)<!doctype[^>]*>\s*", "")
+    # Large type is a heading of its text alone.
+    large = r"""(?is)<font\b[^>]*\bsize\s*=\s*["']?5["']?[^>]*>(.*?)</font\s*>"""
+    parts, heads = F.split(out, large), F.regexp_extract_all(out, F.lit(large), F.lit(1))
+    titled = F.transform(heads, lambda h: F.concat(F.lit("<h1>"), F.regexp_replace(h, r"<[^>]*>", ""), F.lit("</h1>")))
+    out = F.array_join(F.zip_with(parts, titled, lambda p, h: F.concat(p, F.coalesce(h, F.lit("")))), "")
+    out = F.regexp_replace(out, r"(?i)</?(?:font|i|b)\b[^>]*>", "")
+    body = F.trim(F.regexp_extract(out, r"(?is)<body\b[^>]*>(.*)</body\s*>", 1), F.lit(" \n\r\t"))
+    made = F.concat(F.lit('<body><div id="law"><div id="source-text" class="html-source">'), body, F.lit("</div></div></body>"))
+    before, after = F.regexp_extract(out, r"(?is)^(.*?)<body\b", 1), F.regexp_extract(out, r"(?is)</body\s*>(.*)$", 1)
+    return F.when(out.rlike(r"(?i)<body\b"), F.concat(before, made, after)).otherwise(out)

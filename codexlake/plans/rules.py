@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from codexlake.catalog import fixture, query, table, values
 from codexlake.functions import pages, scalar
-from codexlake.operators import crossref, hierarchy, layout, review, segment
+from codexlake.operators import crossref, hierarchy, layout, segment, versions
 from codexlake.sources import sinks
 
 # --- references and changes -----------------------------------------------------------
@@ -272,3 +272,48 @@ def category_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = fixture(spark, _LAWS, "fi string, fn string, si string, sn string, ui string, un string, number string, title string")
     level = lambda i, n: F.struct(F.col(i).alias("id"), F.col(n).alias("name"))
     return hierarchy.tree(rows.select(level("fi", "fn").alias("folder"), level("si", "sn").alias("section"), level("ui", "un").alias("subsection"), "number", "title"))
+
+
+@query(values("id::INT, is_metadata::BOOLEAN", [(1, True), (2, False), (3, False), (4, False)]))
+def metadata_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = [(1, '{"doc_info":{"a":1},"process_steps":{}}'), (2, '{"doc_info":[1],"process_steps":{}}'), (3, '{"doc_info":{}}'), (4, "no json")]
+    return fixture(spark, rows, "id int, body string").select("id", pages.is_metadata("body").alias("is_metadata"))
+
+
+def _row(label: str, value: str, more: str = "", kind: str = "row") -> str:
+    return f'<div class="metadata-item metadata-item-{kind}"><div class="metadata-label">{label}:</div><div class="metadata-value"{more}>{value}</div></div>'
+
+
+_PANEL = (
+    '<details id="doc-info"><summary>Basisinformationen</summary><div class="metadata-content">' + _row("Erlasstitel", "Gesetz &amp; Co", ' data-pagefind-weight="10"', "full") + _row("Kurztitel", "N/A") + _row("Abkürzung", "G", ' data-pagefind-weight="10"')
+    + _row("Ordnungsnummer", "131.1", ' data-pagefind-meta="Ordnungsnummer"') + _row("Nachtragsnummer", "066", ' data-pagefind-meta="Nachtragsnummer"') + _row("Erlassdatum", "01.02.2020") + _row("Inkraftsetzungsdatum", "N/A")
+    + _row("Publikationsdatum", "N/A") + _row("Aufhebungsdatum", "N/A") + _row("Gesetzessammlung", "Kanton", ' data-pagefind-meta="Gesetzessammlung" data-pagefind-filter="Gesetzessammlung"') + "</div></details>"
+)
+
+
+@query(values("status::VARCHAR, facet::VARCHAR, html::VARCHAR", [("Text in Kraft (131.1-066)", "Text in Kraft:Ja", _PANEL)]))
+def metadata_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fields = {"erlasstitel": "Gesetz & Co", "kurztitel": "", "abkuerzung": "G", "ordnungsnummer": "131.1", "nachtragsnummer": "066", "erlassdatum": "20200201", "inkraftsetzungsdatum": "", "publikationsdatum": None, "aufhebungsdatum": "x"}
+    rows = fixture(spark, [(tuple(fields.values()), True, "Kanton")], f"info struct<{','.join(f'{k}:string' for k in fields)}>, in_force boolean, collection string")
+    return rows.select(pages.panel("info", "in_force", "collection").alias("p")).select("p.*")
+
+
+@query("""
+WITH v AS (SELECT o_custkey, o_orderkey, o_orderpriority, max_by(o_orderkey, (o_orderdate, o_orderkey)) OVER (PARTITION BY o_custkey) AS newest FROM orders)
+SELECT o_orderkey, 'https://e.org/col-a/' || o_custkey || '-' || newest || '.html' AS canonical,
+  '<html><head><link rel="canonical" href="https://e.org/col-a/' || o_custkey || '-' || newest || '.html"></head><body><div id="law" data-ordnungsnummer="' || o_custkey || '" data-nachtragsnummer="' || o_orderkey || '" data-title="' || o_orderpriority || '"'
+  || CASE WHEN newest = o_orderkey THEN ' data-pagefind-body' ELSE '' END || '><p>x</p></div></body></html>' AS html FROM v
+""")
+def law_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each version's page: the newest is canonical, and it alone is indexed."""
+    o = table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_orderdate", "o_orderpriority")
+    newest = versions.latest(o, "o_custkey", [F.col("o_orderdate"), F.col("o_orderkey")], ["o_orderkey"]).select("o_custkey", F.col("o_orderkey").cast("string").alias("newest"))
+    page = pages.law_container("https://e.org", F.lit("a"), F.col("o_custkey").cast("string"), F.col("o_orderkey").cast("string"), "newest", "o_orderpriority", F.lit("<p>x</p>"))
+    return o.join(newest, "o_custkey").select("o_orderkey", page.alias("p")).select("o_orderkey", "p.canonical", "p.html")
+
+
+@query(values("id::INT, html::VARCHAR", [
+    (1, '<html><head></head><body><div id="law"><div id="source-text" class="html-source"><h1>Gesetz</h1><p>a b c</p></div></div></body></html>'), (2, "<p>ohne Rumpf</p>"), (3, "")]))
+def old_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    old = '<!DOCTYPE html>\n<html><head><script>x("</p>")</script></head><body bgcolor="#fff" text="x"> <font size="5"><b>Gesetz</b></font><p><font size="2">a</font> <i>b</i> <b>c</b></p>\n</body></html>'
+    return fixture(spark, [(1, old), (2, "<p>ohne <b>Rumpf</b></p>"), (3, None)], "id int, html string").select("id", pages.modern_page("html").alias("html"))
