@@ -67,7 +67,9 @@ def test_gradients(model):
     states, _, saved = model.forward(inputs, fresh, start, keep=True)
     gradients, value = model._backward(inputs, fresh, targets, mask, states, saved)
     assert np.isclose(value, loss(), atol=1e-5)
-    for k, g in gradients.items():
+    for k, (rows, part) in gradients.items():
+        g = np.zeros(model.p[k].shape)
+        g[rows] = part
         i = np.unravel_index(np.abs(g).argmax(), g.shape)
         model.p[k][i] += 1e-3
         above = loss()
@@ -88,6 +90,21 @@ def test_training_beats_counting():
     assert m.score(docs).sum() > 0.5 * unigram
 
 
+def test_classes_grow_with_rank_and_hold_every_symbol():
+    for size in (1, 2, 5, 300, 9000):
+        m = lm.GruModel.new([b"%d" % k for k in range(size)], 4, lm.classes_for(size), 1)
+        widths = np.diff(m.starts)
+        assert m.starts[0] == 0 and m.starts[-1] == size + 1 == len(m.classes) and (widths > 0).all()
+        assert size < 300 or widths[-1] > 4 * widths[0]
+
+
+def test_start_sample_is_bounded_and_fixed(spark):
+    rows = [(f"w{k} " * (1 + k % 50),) for k in range(400)]
+    one, two = (lm.start_texts(spark.createDataFrame(rows, "text string").repartition(n), "text", 100, 6000) for n in (2, 5))
+    assert one == two and 0 < len(one) <= 100 and sum(map(len, one)) <= 6000 and max(map(len, one)) <= 300
+    assert lm.start_texts(spark.createDataFrame([], "text string"), "text", 100, 6000) == []
+
+
 def test_head_threshold(spark):
     counts = spark.createDataFrame([(bytes([65 + i]), c) for i, c in enumerate([100, 50, 50, 20, 3, 3, 1])], "token binary, c long")
     for limit in range(9):
@@ -114,6 +131,27 @@ def test_base_against_brute_force(spark, tiny, head):
         assert (g["n_tokens"], g["n_known"], g["train_tokens"]) == want[:3] and math.isclose(g["base_score"], want[3], rel_tol=1e-9) and g["score"] < 0
 
 
+def test_query_scores_against_the_whole_distribution(spark, tiny, monkeypatch):
+    """The query's score of short texts, word by word, with the model that it has trained."""
+    models = []
+    train = lm.train_everywhere
+    monkeypatch.setattr(lm, "train_everywhere", lambda *a, **k: models.append(train(*a, **k)) or models[-1])
+    rows = queries.op8_gru_likelihood(spark, tiny).collect()
+    texts = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{tiny}/documents.parquet").collect()}
+    tok = lambda t: [*t.encode().lower().split(), lm.END]
+    c = Counter(w for i, t in texts.items() if zlib.crc32(str(i).encode()) % 10 for w in tok(t))
+    n, v = sum(c.values()), len(c)
+    share = lambda w: (c[w] + 0.1) / (n + 0.1 * (v + 1))
+    model = models[0]
+    rare = 1 - sum(map(share, model.words))
+    short = [r for r in rows if len(tok(texts[r["doc_id"]])) <= 60]
+    assert len(short) >= 10
+    for r in short:
+        words = tok(texts[r["doc_id"]])
+        want = slow_score(model, [model.words.get(w, 0) for w in words]) / math.log(10) + sum(math.log10(share(w) / rare) for w in words if w not in model.words)
+        assert math.isclose(r["score"], want, rel_tol=1e-4)
+
+
 def test_query_learns(spark, small):
     rows = queries.op8_gru_likelihood(spark, small).where("held_out").toPandas()
     assert rows.score.sum() > rows.base_score.sum()

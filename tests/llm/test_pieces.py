@@ -93,3 +93,32 @@ def test_long_runs_without_spaces(unit):
 def test_parts_of_a_chunk_join_to_the_whole(text):
     model = pieces.PieceModel(PATH)
     assert model._learn(pieces.SPACE + text) == model.first_two(pieces.SPACE + text)
+
+
+def best_scores(model, text, n):
+    """Scores of the n best segmentations of a whole text: n-best lists at every place, no cutting, no search."""
+    whole = pieces.SPACE + text.replace(" ", pieces.SPACE) if text else ""
+    into = model.lattice(whole)[1] if whole else []
+    lists = [[0]] + [[] for _ in whole]
+    for at in range(1, len(whole) + 1):
+        lists[at] = sorted((s + value for start, _, value in into[at] for s in lists[start]), reverse=True)[:n]
+    return lists[len(whole)]
+
+
+def test_query_rows_against_n_best_lists(spark, tiny):
+    model = pieces.model(PATH)
+    texts = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{tiny}/documents.parquet").collect()}
+    sp = SentencePieceProcessor(model_file=PATH)
+    checked = 0
+    for r in queries.op2_sentencepiece_nbest(spark, tiny).collect():
+        text = texts[r["doc_id"]]
+        if len(text) > 2500:
+            continue
+        paths = [tuple(map(int, p.split(":"))) for p in r["best"].split(",")]
+        assert [p[0] for p in paths] == best_scores(model, text, 3)
+        assert (r["score"], r["n_pieces"], r["ids_crc32"]) == paths[0] and r["n_best"] == len(paths)
+        # The library's own best path may be another of the same score.
+        own = sp.encode(text)
+        assert sum(int(sp.get_score(k)) if not sp.is_byte(k) else 0 for k in own) <= r["score"] + 10**7
+        checked += 1
+    assert checked > 100

@@ -83,3 +83,27 @@ def test_fewer_whole_texts_within_the_bound(spark):
     docs = spark.createDataFrame([(k, "a\n" * 9) for k in range(20)] + [(99, None)], "doc_id long, text string")
     few = docs.where("doc_id < 99").selectExpr("doc_id as id", "1 as label")
     assert [quality.whole_texts(docs, few, "doc_id", "text", most).count() for most in (1, 10, 11, 200, 1000)] == [1, 1, 2, 20, 20]
+
+
+def test_query_rows_against_a_chain_by_hand(spark, tiny):
+    """Every text's score from its lines, one after another, with the sums written out."""
+    model = quality.train(queries.documents(spark, tiny), queries.labels(spark, tiny, "quality", 5, 0))
+    texts = {r["doc_id"]: (r["text"] or "").encode() for r in spark.read.parquet(f"{tiny}/documents.parquet").collect()}
+    for r in queries.op6_quality_crf(spark, tiny).collect():
+        features, length, counts = quality.line_features([texts[r["doc_id"]]])
+        bins, n = model.bins(features), int(counts[0])
+        emit = [sum(model.emit[0][k, bins[t, k]] + (model.emit[1][k, bins[t - 1, k]] if t else 0) + (model.emit[2][k, bins[t + 1, k]] if t + 1 < n else 0) for k in range(quality.N_FEATURES)) for t in range(n)]
+        add = lambda *xs: max(xs) + np.log(sum(np.exp(x - max(xs)) for x in xs))
+        ahead = [(model.start[0], model.start[1] + emit[0])]
+        for t in range(1, n):
+            ahead.append(tuple(add(*(ahead[-1][a] + model.move[a, b] for a in (0, 1))) + b * emit[t] for b in (0, 1)))
+        behind = [(0.0, 0.0)]
+        for t in range(n - 1, 0, -1):
+            behind.insert(0, tuple(add(*(model.move[a, b] + b * emit[t] + behind[0][b] for b in (0, 1))) for a in (0, 1)))
+        z = add(*ahead[-1])
+        good = np.array([np.exp(min(f[1] + b[1] - z, 0)) for f, b in zip(ahead, behind, strict=True)])
+        weight = length + 1
+        mean = np.clip((weight * good).sum() / weight.sum(), 1e-4, 1 - 1e-4)
+        summary = np.array([np.log(mean / (1 - mean)), np.log1p(weight.sum()), np.log1p((weight * (1 - good)).sum())])
+        want = 1 / (1 + np.exp(-(summary @ model.curve[:-1] + model.curve[-1])))
+        assert np.isclose(r["score"], want, atol=1e-6) and r["n_lines"] == n

@@ -75,3 +75,24 @@ def test_passages_and_filter(spark):
     (passage,) = by[1]["passages"]
     assert docs.first()["text"].split()[passage["start"] : passage["end"]][-1] == "crook!"
     assert [r["doc_id"] for r in toxicity.drop_toxic(docs, model).collect()] == [2]
+
+
+def test_query_rows_against_the_definition(spark, tiny):
+    """Every text's score from its maximal segments by definition, and the calibration written out."""
+    docs = spark.read.parquet(f"{tiny}/documents.parquet")
+    model = toxicity.train(queries.documents(spark, tiny), queries.labels(spark, tiny, "toxic", 4, 2))
+    texts = {r["doc_id"]: r["text"] or "" for r in docs.collect()}
+    checked = 0
+    for r in queries.op5_toxic_segments(spark, tiny).collect():
+        tokens = texts[r["doc_id"]].split()
+        if len(tokens) > 300:
+            continue
+        values = [max((model.lexicon.get(f, 0.0) for f in toxicity.features(t)), default=0.0) or -model.drift for t in tokens]
+        found = maximal(values) if any(v > 0 for v in values) else []
+        x = [model.lam * s - model.log_k - np.log(max(len(tokens), 1)) for s in [s for *_, s in found] or [0.0]]
+        chance = [1 - np.exp(-np.exp(min(-v, 50.0))) for v in x]
+        best, more = min(max(*x, -12.0), 12.0), np.log1p(sum(v for v, p in zip(x, chance, strict=True) if p <= model.cutoff))
+        want = 1 / (1 + np.exp(-(best * model.weights[0] + more * model.weights[1] + model.weights[2])))
+        assert np.isclose(r["score"], want, atol=1e-9) and r["predicted"] == (want >= 0.3)
+        checked += 1
+    assert checked > 100
