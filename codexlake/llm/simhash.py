@@ -5,8 +5,8 @@ a point of a lattice whose Manhattan distance never exceeds the Hamming distance
 of the fingerprints.  Of two halves with 3 differing bits between them, one has a
 Manhattan distance of at most 1.  So each fingerprint is a member of the lattice
 cell of either half, and visits the cells one step up; every linked pair meets in
-a cell, and is verified there on all 64 bits.  Copies collapse to one fingerprint
-first.  A cell with many fingerprints is cut into blocks that meet pair by pair,
+a cell, at least one of them as its own member, and is verified there on all 64 bits;
+visitors are not compared with each other.  Copies collapse to one fingerprint first.  A cell with many fingerprints is cut into blocks that meet pair by pair,
 and a pair of blocks yields a spanning forest of its links, never all pairs.
 
 Defined cases: a null or empty text has fingerprint zero, linked like any other;
@@ -77,7 +77,7 @@ def segment_counts(fp: np.ndarray) -> np.ndarray:
 
 
 def _cells(distinct: DataFrame) -> DataFrame:
-    """(cell, fp, rep): the two own cells and the cells one step up."""
+    """(cell, fp, rep, visits): the two own cells, and the cells one step up as a visitor."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -91,19 +91,23 @@ def _cells(distinct: DataFrame) -> DataFrame:
                     else:
                         keep = np.flatnonzero(((own >> np.uint64(2 * step)) & np.uint64(3)) < 2)
                         cell = own[keep] + np.uint64(1 << (2 * step))
-                    yield pa.RecordBatch.from_arrays([pa.array(cell.view(np.int64)), pa.array(fp[keep]), pa.array(rep[keep])], ["cell", "fp", "rep"])
+                    visits = pa.array(np.full(len(cell), step >= 0))
+                    yield pa.RecordBatch.from_arrays([pa.array(cell.view(np.int64)), pa.array(fp[keep]), pa.array(rep[keep]), visits], ["cell", "fp", "rep", "visits"])
 
-    return on_workers(distinct).select("fp", "rep").mapInArrow(run, "cell long, fp long, rep long")
+    return on_workers(distinct).select("fp", "rep").mapInArrow(run, "cell long, fp long, rep long, visits boolean")
 
 
-def _forest(fp: np.ndarray, rep: np.ndarray, bits: int) -> list[tuple[int, int]]:
-    """A spanning forest of the links within one group, by breadth-first search."""
+def _forest(fp: np.ndarray, rep: np.ndarray, visits: np.ndarray, bits: int) -> list[tuple[int, int]]:
+    """A spanning forest of the links within one group, by breadth-first search.
+
+    Two visitors of a cell are not compared: if they are near, they meet elsewhere.
+    """
     edges, rest = [], np.arange(len(fp))
     while len(rest):
         front, rest = [rest[0]], rest[1:]
         while front and len(rest):
             i = front.pop()
-            near = np.bitwise_count(fp[rest] ^ fp[i]) <= bits
+            near = (np.bitwise_count(fp[rest] ^ fp[i]) <= bits) & ~(visits[rest] & visits[i])
             if near.any():
                 met = rest[near]
                 edges += [(rep[i], rep[j]) for j in met if rep[i] != rep[j]]
@@ -112,24 +116,35 @@ def _forest(fp: np.ndarray, rep: np.ndarray, bits: int) -> list[tuple[int, int]]
     return edges
 
 
-def _links(group: np.ndarray, fp: np.ndarray, rep: np.ndarray, bits: int, small: int = 24) -> list[tuple[int, int]]:
-    """Links within runs of equal ``group``; all lie sorted by it."""
+def _links(group: np.ndarray, fp: np.ndarray, rep: np.ndarray, visits: np.ndarray, bits: int, small: int = 24, step: int = 1 << 20) -> list[tuple[int, int]]:
+    """Links within runs of equal ``group``; all lie sorted by it, a run's own members before its visitors."""
     starts = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
     sizes = np.diff(np.r_[starts, len(group)])
+    own = np.add.reduceat(~visits, starts, dtype=np.int64)
     edges: list[tuple[int, int]] = []
-    for s, n in zip(starts[sizes > small], sizes[sizes > small], strict=True):
-        edges += _forest(fp[s : s + n], rep[s : s + n], bits)
-    chosen = np.repeat((sizes > 1) & (sizes <= small), sizes)
-    group, fp, rep = group[chosen], fp[chosen], rep[chosen]
-    for d in range(1, small):
-        same = group[d:] == group[:-d]
-        if not same.any():
-            break
-        hit = np.flatnonzero(same & (np.bitwise_count(fp[d:] ^ fp[:-d]) <= bits) & (rep[d:] != rep[:-d]))
-        edges += zip(rep[hit].tolist(), rep[hit + d].tolist(), strict=True)
+    large = (own > small) | (sizes > 4 * small)
+    for s, n in zip(starts[large & (own > 0)], sizes[large & (own > 0)], strict=True):
+        edges += _forest(fp[s : s + n], rep[s : s + n], visits[s : s + n], bits)
+    # In small runs each own member is compared with all that stand behind it.
+    chosen = np.flatnonzero(~large & (own > 0) & (sizes > 1))
+    first = np.repeat(starts[chosen], own[chosen]) + _within(own[chosen])
+    behind = np.repeat(starts[chosen] + sizes[chosen], own[chosen]) - first - 1
+    ends = np.cumsum(behind)
+    cuts = [0, *np.searchsorted(ends, np.arange(step, ends[-1] + step, step), "left").tolist(), len(first)] if len(ends) and ends[-1] else [0]
+    for low, high in zip(cuts, cuts[1:], strict=False):
+        if low < high:
+            i = np.repeat(first[low:high], behind[low:high])
+            j = i + 1 + _within(behind[low:high])
+            hit = np.flatnonzero((np.bitwise_count(fp[i] ^ fp[j]) <= bits) & (rep[i] != rep[j]))
+            edges += zip(rep[i[hit]].tolist(), rep[j[hit]].tolist(), strict=True)
     return edges
 
 
+def _within(counts: np.ndarray) -> np.ndarray:
+    """0, 1, 2 and so on within each of consecutive stretches."""
+    return np.arange(int(counts.sum())) - np.repeat(np.cumsum(counts) - counts, counts)
+
+
 def link_fingerprints(distinct: DataFrame, bits: int = 3, block: int = 4096) -> DataFrame:
     """Edges (a, b) between the ids ``rep`` of distinct fingerprints ``fp``.
 
@@ -142,27 +157,27 @@ def link_fingerprints(distinct: DataFrame, bits: int = 3, block: int = 4096) ->
     dealt = cells.join(hot, "cell", "left").withColumn("own", F.when(F.col("blocks") > 1, F.pmod(F.xxhash64("fp"), "blocks")).otherwise(0).cast("int"))
     meets = F.when(F.col("blocks").isNull(), F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.col("blocks") - 1))
     dealt = dealt.withColumn("other", F.explode(meets)).select(
-        F.when(F.col("blocks").isNull(), F.col("cell")).otherwise(F.xxhash64("cell", F.least("own", "other"), F.greatest("own", "other"))).alias("meet"), "fp", "rep"
+        F.when(F.col("blocks").isNull(), F.col("cell")).otherwise(F.xxhash64("cell", F.least("own", "other"), F.greatest("own", "other"))).alias("meet"), "fp", "rep", "visits"
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept: list[np.ndarray] = [np.empty(0, np.int64)] * 3
+        kept: list[np.ndarray] = [np.empty(0, np.int64)] * 3 + [np.empty(0, bool)]
         for batch in batches:
             if not batch.num_rows:
                 continue
-            columns = [np.concatenate([k, np.asarray(c)]) for k, c in zip(kept, batch.columns, strict=True)]
+            columns = [np.concatenate([k, c.to_numpy(zero_copy_only=False)]) for k, c in zip(kept, batch.columns, strict=True)]
             last = int(np.searchsorted(columns[0], columns[0][-1]))
             kept = [c[last:] for c in columns]
             yield out([c[:last] for c in columns])
         yield out(kept)
 
     def out(columns: list[np.ndarray]) -> pa.RecordBatch:
-        edges = _links(columns[0], columns[1].view(np.uint64), columns[2], bits) if len(columns[0]) else []
+        edges = _links(columns[0], columns[1].view(np.uint64), *columns[2:], bits) if len(columns[0]) else []
         a, b = zip(*edges, strict=True) if edges else ((), ())
         return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
     # A meeting's number may be shared by chance; that only adds verified comparisons.
-    return on_workers(dealt).repartition("meet").sortWithinPartitions("meet").mapInArrow(run, "a long, b long")
+    return on_workers(dealt).repartition("meet").sortWithinPartitions("meet", "visits").mapInArrow(run, "a long, b long")
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, bits: int = 3) -> DataFrame:
