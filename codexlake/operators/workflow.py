@@ -83,3 +83,20 @@ def hits_by_anchor(hits: DataFrame, anchors: DataFrame, doc: str) -> DataFrame:
 def page_of(df: DataFrame, order: list, number: int, size: int = 20) -> DataFrame:
     """One page of results."""
     return df.orderBy(*order).offset(number * size).limit(size)
+
+
+def positions(df: DataFrame, order: str, name: str = "position") -> DataFrame:
+    """Adds ``position``, from 1 in the order of one column, and ``next``, the value that follows.
+
+    Rows are dealt by range into a fixed number of partitions, numbered within each,
+    and moved on by the sizes of those before: no task holds more than its range.
+    """
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    within = Window.partitionBy("_p").orderBy(order)
+    # The number of partitions is stated, so that both uses see the same ones.
+    parts = df.repartitionByRange(n, order).withColumn("_p", F.spark_partition_id()).withColumn("_n", F.row_number().over(within))
+    sizes = parts.groupBy("_p").agg(F.count("*").alias("_size"), F.min(order).alias("_first"))
+    whole = Window.orderBy("_p")  # a row a partition
+    before = sizes.select("_p", F.coalesce(F.sum("_size").over(whole.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_base"), F.lead("_first").over(whole).alias("_then"))
+    out = parts.join(before, "_p").withColumn("next", F.coalesce(F.lead(order).over(within), F.col("_then")))
+    return out.withColumn(name, (F.col("_n") + F.col("_base")).cast("int")).drop("_p", "_n", "_base", "_then")

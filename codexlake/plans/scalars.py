@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from codexlake.catalog import query, table
 from codexlake.functions import scalar
+from codexlake.operators import workflow
 
 
 @query("""
@@ -56,12 +57,10 @@ WITH k AS (SELECT p_partkey, p_brand, regexp_replace(lower(p_brand), '[0-9]+$',
 SELECT p_partkey, p_brand, dense_rank() OVER (ORDER BY key)::INT AS natural_rank FROM k
 """)
 def natural_sort_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rank of each label; ranks are made over the labels alone, then joined back."""
-    from pyspark.sql import Window
-
-    part = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
-    labels = part.select("p_brand").distinct().withColumn("natural_rank", F.dense_rank().over(Window.orderBy(scalar.natural_key("p_brand"))).cast("int"))
-    return part.join(labels, "p_brand").select("p_partkey", "p_brand", "natural_rank")
+    """Rank of each label; ranks are made over the distinct keys alone, then joined back."""
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_brand", scalar.natural_key("p_brand").alias("key"))
+    ranks = workflow.positions(part.select("key").distinct(), "key", "natural_rank").select("key", "natural_rank")
+    return part.join(ranks, "key").select("p_partkey", "p_brand", "natural_rank")
 
 
 @query("""

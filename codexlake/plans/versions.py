@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from codexlake.catalog import query, table
-from codexlake.operators import hierarchy, versions
+from codexlake.operators import hierarchy, versions, workflow
 
 
 def _day(c: str):
@@ -160,13 +160,5 @@ SELECT o_custkey, o_orderkey, row_number() OVER (ORDER BY o_custkey)::INT AS pos
 """)
 def review_work_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Laws whose latest version needs review, in order, each with the next one."""
-    from pyspark.sql import Window
-
     latest = versions.latest(_versions(spark, sf_dir), "o_custkey", [F.col("o_orderdate"), F.col("o_orderkey")], ["o_orderkey", "o_orderstatus"]).where("o_orderstatus <> 'O'")
-    # Positions over range partitions: counts before each, then a number within.
-    parts = latest.repartitionByRange("o_custkey").withColumn("_p", F.spark_partition_id())
-    parts = parts.withColumn("_n", F.row_number().over(Window.partitionBy("_p").orderBy("o_custkey")))
-    sizes = parts.groupBy("_p").agg(F.count("*").alias("_size"), F.min("o_custkey").alias("_first"))
-    before = sizes.select("_p", F.coalesce(F.sum("_size").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_base"), F.lead("_first").over(Window.orderBy("_p")).alias("_then"))
-    out = parts.join(before, "_p").withColumn("next_law", F.coalesce(F.lead("o_custkey").over(Window.partitionBy("_p").orderBy("o_custkey")), F.col("_then")))
-    return out.select("o_custkey", "o_orderkey", (F.col("_n") + F.col("_base")).cast("int").alias("position"), F.col("next_law").cast("string"))
+    return workflow.positions(latest, "o_custkey").select("o_custkey", "o_orderkey", "position", F.col("next").cast("string").alias("next_law"))

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import zipfile
 
@@ -11,6 +13,13 @@ from pyspark.sql import SparkSession
 _SHIPPED: set[str] = set()
 
 
+def passing_folder() -> str:
+    """A folder of the driver's own for what Spark's file service sends out; it goes when the driver ends."""
+    path = tempfile.mkdtemp(prefix="codexlake-")
+    atexit.register(shutil.rmtree, path, ignore_errors=True)
+    return path
+
+
 def ship(spark: SparkSession) -> None:
     """Send the package to the executors, once a Spark application.
 
@@ -22,7 +31,7 @@ def ship(spark: SparkSession) -> None:
         return
     _SHIPPED.add(app)
     root = os.path.dirname(os.path.abspath(__file__))
-    path = os.path.join(tempfile.mkdtemp(prefix="codexlake-"), "codexlake.zip")
+    path = os.path.join(passing_folder(), "codexlake.zip")
     with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as out:
         for folder, _, names in os.walk(root):
             for name in sorted(n for n in names if n.endswith(".py")):
