@@ -172,7 +172,7 @@ def train(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col
     has to carry a word that no clean text holds, whose own count says nothing.
     The calibration scores each text by a lexicon made without that text's fold.
     """
-    texts = _training(docs, labelled, id_col, text_col, max_train)
+    texts = cut(_training(docs, labelled, id_col, text_col, max_train), "toxicity-texts")  # read by both passes below
     columns = [f"{side}{k}" for side in ("clean", "toxic") for k in range(FOLDS)]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

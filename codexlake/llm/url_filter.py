@@ -19,7 +19,6 @@ import hashlib
 import os
 import re
 import struct
-import tempfile
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -30,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from codexlake.llm.common import on_workers
+from codexlake.session import passing_folder
 
 _HOST, _PATH = re.compile(r"[^/?#]*"), re.compile(r"[^?#]*")
 _MAGIC = b"CXURLIX1"
@@ -140,7 +140,7 @@ def filter_urls(df: DataFrame, rules: Sequence[tuple[str, str, str]], id_col: st
     name = f"url-rules-{hashlib.sha256(data).hexdigest()[:24]}.idx"
     context = df.sparkSession.sparkContext
     if (context.applicationId, name) not in _SENT:
-        local = os.path.join(tempfile.mkdtemp(prefix="codexlake-"), name)
+        local = os.path.join(passing_folder(), name)
         with open(local, "wb") as out:
             out.write(data)
         context.addFile(local)

@@ -11,6 +11,7 @@ ODD = [
     (7, "plain words here, and more words"),
     (8, " \t\n "),
     (9, "emoji ☃ 漢字 é\n\n\nline"),
+    (10, "漢字กข😀é" * 8000 + " mixed Ärger\n" * 3000),
 ]
 
 

@@ -34,6 +34,8 @@ def test_stages_keep_columns_and_bear_odd_rows(spark, tiny):
     for _, stage in corpus_pipeline.STAGES[:-1]:
         out = stage(spark, docs, tiny)
         assert out.columns == docs.columns
+        assert stage(spark, docs.limit(0), tiny).count() == 0
+    assert corpus_pipeline.best_fit_packing(spark, docs.limit(0), tiny).count() == 0
     assert packing.pack(corpus_pipeline.secret_redaction(spark, docs, tiny), public_tokenizers.path(queries.BYTE_BPE)).count() >= docs.count()
 
 
