@@ -91,11 +91,11 @@ def dispatch_affairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("dispatch_date", "title", "affair_nr", F.size("steps").alias("n_steps"), F.concat_ws(" ", "latest_step.date", "latest_step.type").alias("latest"))
 
 
-@query(values("pos::INT, text::VARCHAR, page::INT, table_id::VARCHAR, weight::DOUBLE", [(0, "§ 1.", 0, None, 700.0), (1, "a", 1, "T1", None), (2, None, None, "T1", None)]))
+@query(values("pos::INT, text::VARCHAR, page::VARCHAR, table_id::VARCHAR, weight::VARCHAR", [(0, "§ 1.", "0", None, "700.0"), (1, "a", "1", "T1", None), (2, None, None, "T1", None)]))
 def layout_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = [{"Path": "/D/P", "Text": "§ 1.", "Page": 0, "Font": {"weight": 700}}, {"Path": "/D/T/TR/TD", "Text": "a", "Page": 1, "attributes": {"TableID": "T1"}}, {"attributes": {"TableID": "T1"}}]
     out = records.read_elements(spark, landed(spark, json.dumps({"elements": rows})))
-    return out.select("pos", F.col("Text").alias("text"), F.col("Page").alias("page"), F.try_element_at("attributes", F.lit("TableID")).alias("table_id"), F.col("Font.weight").alias("weight"))
+    return out.select("pos", F.col("Text").alias("text"), F.col("Page").cast("string").alias("page"), F.try_element_at("attributes", F.lit("TableID")).alias("table_id"), F.col("Font.weight").cast("string").alias("weight"))
 
 
 @query(values("id::INT, title::VARCHAR, n_keys::INT, body::VARCHAR", [(1, "Gesetz: neu", 2, "Text"), (2, None, 0, "ohne Kopf"), (3, "zwei", 1, "x---\ny")]))

@@ -146,11 +146,11 @@ def verified_export(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-SELECT event_id, ((row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1) // 10)::INT AS batch, try_cast(json_extract_string(props, '$.k') AS INT) * 2 AS result, CASE WHEN try_cast(json_extract_string(props, '$.k') AS INT) IS NULL THEN 'no k' END AS error FROM events
+SELECT event_id, ((row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1) // 10)::INT AS batch, (try_cast(json_extract_string(props, '$.k') AS INT) * 2)::VARCHAR AS result, CASE WHEN try_cast(json_extract_string(props, '$.k') AS INT) IS NULL THEN 'no k' END AS error FROM events
 """)
 def batches_with_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events").select("event_id", "user_id", "props")
-    return review.in_batches(e, ["user_id"], "event_id", 10, F.get_json_object("props", "$.k").try_cast("int") * 2, F.lit("no k")).select("event_id", "batch", "result", "error")
+    return review.in_batches(e, ["user_id"], "event_id", 10, F.get_json_object("props", "$.k").try_cast("int") * 2, F.lit("no k")).select("event_id", "batch", F.col("result").cast("string").alias("result"), "error")
 
 
 @query(values("hash::VARCHAR, status::VARCHAR", [("a", "confirmed"), ("c", "rejected")]))
@@ -161,15 +161,15 @@ def editor_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # --- tables and elements ----------------------------------------------------------------
-@query(values("t::VARCHAR, pos::INT, single::VARCHAR, cut::VARCHAR, headed::VARCHAR, r::INT", [
-    ("A", 0, "A", None, None, None), ("A", 1, "A", None, "A", 1), ("A", 2, "A", None, "A", 2), ("B", 3, None, "B", "B", 1), ("C", 4, "C", "C", "C", 1), ("C", 5, "C", None, "C", 2)]))
+@query(values("t::VARCHAR, pos::INT, single::VARCHAR, cut::VARCHAR, headed::VARCHAR, r::VARCHAR", [
+    ("A", 0, "A", None, None, None), ("A", 1, "A", None, "A", "1"), ("A", 2, "A", None, "A", "2"), ("B", 3, None, "B", "B", "1"), ("C", 4, "C", "C", "C", "1"), ("C", 5, "C", None, "C", "2")]))
 def rows_that_leave_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tables of one row, rows from a section sign on, and header rows with one."""
     rows = [("A", 1, 0, "§ 1"), ("A", 2, 1, "Head"), ("A", 3, 2, "x"), ("B", 1, 3, "y"), ("C", 1, 4, "h"), ("C", 2, 5, "§ 2")]
     f = fixture(spark, rows, "t string, r int, pos int, text string")
     single = tables.drop_single_rows(f, "t", F.col("r")).select("pos", F.col("t").alias("single"))
     cut = tables.clear_from_section(f, "t", "pos", "text").select("pos", F.col("t").alias("cut"))
-    headed = layout.headers_with_section(f, "t", "r").select("pos", F.col("t").alias("headed"), "r")
+    headed = layout.headers_with_section(f, "t", "r").select("pos", F.col("t").alias("headed"), F.col("r").cast("string").alias("r"))
     return f.select("t", "pos").join(single, "pos").join(cut, "pos").join(headed, "pos")
 
 
@@ -186,13 +186,13 @@ def tables_of_equal_header(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layout.merge_like_tables(like, "d", "head", "body").select("pos", "head", F.array_join(F.flatten("body"), ",").alias("body"))
 
 
-@query(values("path::VARCHAR, text::VARCHAR, r::INT, c::INT, new::VARCHAR", [("/Table/TR[1]/TH[1]", "a", None, None, None), ("/Table/TR[1]/TH[2]", "b", 1, 2, "B"), ("/Table/TR[2]/TD[1]", "c", None, None, None)]))
+@query(values("path::VARCHAR, text::VARCHAR, r::VARCHAR, c::VARCHAR, new::VARCHAR", [("/Table/TR[1]/TH[1]", "a", None, None, None), ("/Table/TR[1]/TH[2]", "b", "1", "2", "B"), ("/Table/TR[2]/TD[1]", "c", None, None, None)]))
 def grid_edits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A grid's cells as elements, and the cells that a correction changes."""
     f = fixture(spark, [("k", [["a", "b"], ["c"]], [["a", "B"], ["c"]])], "k string, g array<array<string>>, n array<array<string>>")
     cells = layout.grid_elements(f, ["k"], "g")
     changes = f.select(F.inline(tables.cell_changes("g", "n"))).withColumn("path", F.concat(F.lit("/Table/TR["), F.col("r"), F.lit("]/"), F.when(F.col("r") == 1, "TH").otherwise("TD"), F.lit("["), F.col("c"), F.lit("]")))
-    return cells.join(changes.select("path", F.col("r").cast("int").alias("r"), F.col("c").cast("int").alias("c"), "new"), "path", "left").drop("k")
+    return cells.join(changes.select("path", F.col("r").cast("string").alias("r"), F.col("c").cast("string").alias("c"), "new"), "path", "left").drop("k")
 
 
 @query(values("cell_id::INT, column_id::INT", [(7, 1), (8, 2), (9, 2), (10, 1)]))
@@ -234,11 +234,11 @@ def marks_and_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return f.select("id", "e.mark", "e.content", "a.label", "a.rest")
 
 
-@query(values("pos::INT, in_annex::BOOLEAN, level::INT", [(0, False, None), (1, True, None), (2, True, 1), (3, True, 2), (4, False, None), (5, False, None)]))
+@query(values("pos::INT, in_annex::BOOLEAN, level::VARCHAR", [(0, False, None), (1, True, None), (2, True, "1"), (3, True, "2"), (4, False, None), (5, False, None)]))
 def annex_and_enumerations(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = [(1, 0, "1 early note"), (1, 1, "Anhang 1"), (1, 2, "a. x"), (1, 3, "1. y"), (1, 4, "1 note"), (1, 5, "z")]
     f = layout.annex(fixture(spark, rows, "doc int, pos int, text string"), "doc", F.col("text").endswith("note")).withColumn("kind", layout.enumerator("text"))
-    return layout.enumeration_levels(f, ["doc"], ["pos"], "kind").select("pos", "in_annex", F.col("enum_level").alias("level"))
+    return layout.enumeration_levels(f, ["doc"], ["pos"], "kind").select("pos", "in_annex", F.col("enum_level").cast("string").alias("level"))
 
 
 @query(values("pos::INT, path::VARCHAR, text::VARCHAR", [(0, "/a", "A"), (1, "/a/b", "<B>"), (2, "/c", None)]))
