@@ -8,7 +8,7 @@ import uuid
 import numpy as np
 import pyarrow as pa
 from pyspark import SparkContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from codexlake.session import ship
@@ -113,17 +113,17 @@ def held_out(id_col: str, modulus: int, remainder: int):
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % modulus == remainder, F.lit(False))
 
 
-def hash_sample(df: DataFrame, key: list[str], limit: int) -> DataFrame:
-    """The ``limit`` rows of least hash, the same each time.
+def hash_sample(df: DataFrame, key: list[str], limit: int, place: Column | None = None) -> DataFrame:
+    """The ``limit`` rows of least hash of ``key`` (or of a number that is a hash), the same each time.
 
     A hash threshold from the number of rows comes first, so that no task gathers
     more than about the sample, whatever the number of partitions.
     """
     n = df.count()
-    h = F.xxhash64(*key)
+    place, full = (F.pmod(F.xxhash64(*key), F.lit(1 << 30)), 1 << 30) if place is None else (place, 1 << 62)
     if n > 2 * limit:
-        df = df.where(F.pmod(h, F.lit(1 << 30)) < int((1 << 30) * (1.3 * limit + 100) / n))
-    return df.orderBy(F.pmod(h, F.lit(1 << 30)), *key).limit(limit)
+        df = df.where(place < int(full * (1.3 * limit + 100) / n))
+    return df.orderBy(place, *key).limit(limit)
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:

@@ -17,8 +17,9 @@ document's rarer words are joined with the table of counts by word, which grows
 with the corpus and stays distributed.
 
 Defined cases: a null text counts as empty; an empty text is the end symbol alone;
-without training rows every count is 0 and the model is uniform; repeated rows are
-scored separately.
+without training rows every count is 0 and the model is uniform; very long texts are
+scored whole and learnt in pieces; repeated rows are scored separately, alike; an
+empty table gives none; other columns, whatever their names, are not read.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from codexlake.llm.common import bytes_of, cut, hash_sample, on_workers
@@ -66,7 +67,9 @@ class GruModel:
     def new(cls, words: list[bytes], hidden: int, n_classes: int, seed: int) -> GruModel:
         size = len(words) + 1
         n_classes = max(1, min(n_classes, size))
-        edges = np.linspace(0, size, n_classes + 1).round().astype(np.int64)
+        # Classes grow with rank: where counts fall as 1 / rank, a target's class is then smallest on average.
+        edges = np.unique(np.r_[0, np.maximum((size * (np.arange(1, n_classes + 1) / n_classes) ** 2).round(), np.arange(1, n_classes + 1))]).astype(np.int64)
+        n_classes = len(edges) - 1
         rng = np.random.default_rng(seed)
         draw = lambda *s: (rng.standard_normal(s) * 0.1).astype(np.float32)
         p = {"x": draw(size + 1, 3 * hidden), "u": draw(hidden, 3 * hidden), "c": draw(hidden, n_classes), "cb": np.zeros(n_classes, np.float32), "w": draw(hidden, size), "wb": np.zeros(size, np.float32)}
@@ -127,12 +130,13 @@ class GruModel:
                 state, step = state_after, step + 1
                 losses.append(loss)
                 lr = rate * (decay + (1 - decay) * (1 - step / (total + 1)))
-                for k, g in grads.items():
-                    norm = float(np.sqrt((g * g).sum()))
-                    g = g * min(1.0, 1.0 / (norm + 1e-9))
-                    first[k] += 0.1 * (g - first[k])
-                    second[k] += 0.01 * (g * g - second[k])
-                    p[k] -= (lr * (first[k] / (1 - 0.9**step)) / (np.sqrt(second[k] / (1 - 0.99**step)) + 1e-7)).astype(np.float32)
+                for k, (rows, g) in grads.items():
+                    g *= min(1.0, 1.0 / (float(np.sqrt(np.vdot(g, g))) + 1e-9))
+                    m, v = first[k][rows], second[k][rows]  # of inputs that did not occur nothing is touched
+                    m += 0.1 * (g - m)
+                    v += 0.01 * (g * g - v)
+                    p[k][rows] -= (lr / (1 - 0.9**step)) * m / (np.sqrt(v * (1 / (1 - 0.99**step))) + 1e-7)
+                    first[k][rows], second[k][rows] = m, v
         return float(np.mean(losses[-50:])) if losses else 0.0
 
     def _backward(self, inputs, fresh, targets, mask, states, saved):
@@ -140,15 +144,17 @@ class GruModel:
         live = np.flatnonzero(mask.ravel())
         flat, target = states.reshape(-1, h)[live], targets.ravel()[live]
         scale = 1.0 / max(1, len(live))
-        g = {k: np.zeros_like(v) for k, v in p.items()}
+        g = {k: np.zeros_like(v) for k, v in p.items() if k != "x"}
         group = self.classes[target]
         prob, norm = _exp_sum(flat @ p["c"] + p["cb"])
         loss = -np.log(prob[np.arange(len(live)), group] + 1e-30).sum()
         prob[np.arange(len(live)), group] -= 1
         g["c"], g["cb"] = flat.T @ prob * scale, prob.sum(0) * scale
         d_flat = prob @ p["c"].T
-        for k in np.unique(group).tolist():
-            rows = np.flatnonzero(group == k)
+        order = np.argsort(group, kind="stable")
+        bounds = np.searchsorted(group[order], np.arange(len(self.starts)))
+        for k in np.flatnonzero(np.diff(bounds)).tolist():
+            rows = order[bounds[k] : bounds[k + 1]]
             low, high = self.starts[k], self.starts[k + 1]
             prob, norm = _exp_sum(flat[rows] @ p["w"][:, low:high] + p["wb"][low:high])
             own = (np.arange(len(rows)), target[rows] - low)
@@ -176,8 +182,8 @@ class GruModel:
             back = (d * update + d_mixed * reset + gates @ u[:, : 2 * h].T) * ~fresh[t][:, None]
         order = np.argsort(inputs.ravel(), kind="stable")
         keys, at = np.unique(inputs.ravel()[order], return_index=True)
-        g["x"][keys] = np.add.reduceat(d_x.reshape(-1, 3 * h)[order], at, axis=0)
-        return g, loss * scale
+        rows = {k: (slice(None), v) for k, v in g.items()}
+        return rows | {"x": (keys, np.add.reduceat(d_x.reshape(-1, 3 * h)[order], at, axis=0))}, loss * scale
 
     def score(self, documents: list[np.ndarray], lanes: int = 512, window: int = 64) -> np.ndarray:
         """Natural log-likelihood of each document's symbols."""
@@ -264,7 +270,12 @@ def count_tokens(docs: DataFrame, text_col: str, limit: int = 300_000) -> DataFr
     return on_workers(docs).select(text_col).mapInArrow(run, "token binary, c long").groupBy("token").agg(F.sum("c").alias("c"))
 
 
-def train(sample: list[bytes], words: list[bytes], hidden: int = 24, n_classes: int = 45, seed: int = 42) -> GruModel:
+def classes_for(vocabulary: int) -> int:
+    """How many classes cost least: as many as an average target's class has words."""
+    return max(2, round(math.sqrt(0.44 * vocabulary)))
+
+
+def train(sample: list[bytes], words: list[bytes], hidden: int = 24, n_classes: int = 30, seed: int = 42) -> GruModel:
     model = GruModel.new(words, hidden, n_classes, seed)
     get = model.words.get
     documents = [np.array([get(t, 0) for t in tokens(x)], np.int32) for x in sample]
@@ -279,7 +290,7 @@ def pieces_of(symbols: list[np.ndarray], begin: int, most: int = 4096) -> tuple[
     return [p for p, _ in parts], [c for _, c in parts]
 
 
-def train_everywhere(model: GruModel, training: DataFrame, text_col: str, rate: float = 0.003, lanes: int = 128, block: int = 4 << 20, width: int = 1 << 16) -> GruModel:
+def train_everywhere(model: GruModel, training: DataFrame, text_col: str, rate: float = 0.004, lanes: int = 256, block: int = 4 << 20, width: int = 1 << 16) -> GruModel:
     """The model after all rows: each task trains on its own, and the weights are averaged.
 
     Tasks start from one model, so that their weights can be averaged at all.  The
@@ -296,7 +307,7 @@ def train_everywhere(model: GruModel, training: DataFrame, text_col: str, rate:
         def learn() -> int:
             pieces, context = pieces_of([np.array([get(t, 0) for t in tokens(x)], np.int32) for x in held], len(own.classes))
             n = sum(map(len, pieces))
-            own.train(pieces, lanes=max(8, min(lanes, n // 8192)), rate=rate, context=context)  # few symbols still make many steps
+            own.train(pieces, lanes=max(8, min(lanes, n // 4096)), rate=rate, context=context)  # few symbols still make many steps
             return n
 
         for batch in batches:
@@ -347,6 +358,23 @@ def head_threshold(counts: DataFrame, limit: int) -> int:
     return least if least is not None else 1 << 62
 
 
+def start_texts(training: DataFrame, text_col: str, most: int, most_chars: int) -> list[bytes]:
+    """The texts of least hash, ``most`` and ``most_chars`` at most, none over a twentieth of the latter.
+
+    They are chosen by hash and length alone; only the chosen ones leave their tasks.
+    """
+    sizes = training.select(F.xxhash64(text_col).alias("h"), F.coalesce(F.length(text_col), F.lit(0)).alias("n"), F.col(text_col).alias("t")).where(F.col("n") <= most_chars // 20)
+    place = F.pmod("h", F.lit(1 << 62))
+    cutoff, chars = -1, 0
+    for r in hash_sample(sizes.select("n", place.alias("place")), ["place", "n"], most, F.col("place")).collect():  # ``most`` pairs of numbers
+        chars += r["n"]
+        if chars > most_chars:
+            break
+        cutoff = r["place"]
+    found = sizes.where(place <= cutoff).select(place.alias("place"), "t").collect()
+    return [(r["t"] or "").encode() for r in sorted(found, key=lambda r: (r["place"], r["t"] or ""))][:most]
+
+
 def score_documents(
     docs: DataFrame,
     training: DataFrame,
@@ -372,9 +400,7 @@ def score_documents(
     top = sorted(((-r["c"], bytes(r["token"])) for r in counts.where(F.col("c") >= least).collect()))  # at most max_head rows
     head = {w: math.log10(0.1 - c) - log_norm for c, w in top}
     words = [w for _, w in top[: max(vocabulary, math.isqrt(n))]]
-    few = hash_sample(training.select(F.col(text_col).alias("t")).where(F.length("t") <= max_train_chars // 20), ["t"], max_train).withColumn("h", F.xxhash64("t"))
-    so_far = F.sum(F.length("t")).over(Window.orderBy("h", "t").rowsBetween(Window.unboundedPreceding, 0))
-    model = train([r["t"].encode() for r in few.withColumn("s", so_far).where(F.col("s") <= max_train_chars).select("t").collect()], words, n_classes=max(45, math.isqrt(len(words))))
+    model = train(start_texts(training, text_col, max_train, max_train_chars), words, n_classes=classes_for(len(words)))
     model = train_everywhere(model, training, text_col)
     shared = docs.sparkSession.sparkContext.broadcast((head, model))
     log_rare = math.log10(max(1e-12, 1.0 - sum(10 ** head[w] for w in words)))
