@@ -101,17 +101,41 @@ def unique_tables_across_versions(spark: SparkSession, sf_dir: str) -> DataFrame
     return tables.unique_tables(docs, ["one"], "hash", "doc_id").drop("one")
 
 
-@query()
+_BARE = r"""regexp_replace(regexp_replace(regexp_replace(regexp_replace(coalesce(html, ''), '(?is)<script.*?</script>', '', 'g'), '(?is)<style.*?</style>', '', 'g'), '(?is)<title.*?</title>', '', 'g'), '(?s)<!--.*?-->|<![^>]*>', '', 'g')"""
+_BLOCKS = "</?(?:p|div|li|ul|ol|table|tr|h[1-6]|article|section|nav|footer|header|br|hr|body|main|blockquote|dl|dt|dd)(?:\\s[^>]*)?/?>"
+
+
+def _plain(x: str) -> str:
+    """SQL for text with the entities of the pages resolved and white space squeezed."""
+    for entity, character in (("copy", "©"), ("middot", "·"), ("quot", '"'), ("lt", "<"), ("gt", ">")):
+        x = f"replace({x}, '&{entity};', '{character}')"
+    return f"trim(regexp_replace(regexp_replace({x}, '&amp;?', '&', 'g'), '\\s+', ' ', 'g'))"
+
+
+@query(rf"""
+WITH a AS (SELECT page_id, regexp_replace(regexp_replace({_BARE}, '(?is)<nav.*?</nav>|<footer.*?</footer>', chr(1), 'g'), '(?i)<(h[1-6])(?:\s[^>]*)?>', chr(1) || '\1' || chr(2), 'g') AS h FROM pages),
+b AS (SELECT page_id, string_split(regexp_replace(regexp_replace(regexp_replace(h, '(?i)<li(?:\s[^>]*)?>', chr(1) || '- ', 'g'), '(?i){_BLOCKS}', chr(1), 'g'), '<[^>]*>', '', 'g'), chr(1)) AS parts FROM a),
+c AS (SELECT page_id, list_transform(parts, lambda x: CASE WHEN contains(x, chr(2)) THEN repeat('#', least(substr(x, 2, 1)::INT, 5)) || ' ' || {_plain("split_part(x, chr(2), 2)")} ELSE {_plain("x")} END) AS lines FROM b)
+SELECT page_id, array_to_string(list_filter(lines, lambda x: trim(x, '# -') <> ''), chr(10) || chr(10)) AS markdown FROM c
+""")
 def html_to_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.to_markdown(table(spark, sf_dir, "pages").select("page_id", "html"), "page_id", "html")
 
 
-@query()
+@query(rf"""
+SELECT page_id, {_plain(f"regexp_replace(regexp_replace({_BARE}, '(?i){_BLOCKS}', ' ', 'g'), '<[^>]*>', '', 'g')")} AS text FROM pages
+""")
 def html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.visible_text(table(spark, sf_dir, "pages").select("page_id", "html"), "page_id", "html")
 
 
-@query()
+@query(rf"""
+WITH a AS (SELECT page_id, url, regexp_extract_all(coalesce(html, ''), '<a href="([^"]+)">([^<]*)</a>', 1) AS refs, regexp_extract_all(coalesce(html, ''), '<a href="([^"]+)">([^<]*)</a>', 2) AS texts FROM pages),
+b AS (SELECT page_id, url, unnest(range(len(refs))) AS n, refs, texts FROM a),
+c AS (SELECT page_id, n::INT AS position, {_plain("refs[n + 1]")} AS href, {_plain("texts[n + 1]")} AS text, regexp_extract(url, '^(https?://[^/?#]*)', 1) AS root, regexp_extract(url, '^([^#]*)', 1) AS page FROM b),
+d AS (SELECT *, CASE WHEN regexp_matches(href, '^[a-zA-Z][a-zA-Z0-9+.-]*:') THEN href WHEN starts_with(href, '/') THEN root || href WHEN starts_with(href, '#') THEN page || href ELSE root || '/' || href END AS absolute FROM c)
+SELECT page_id, position, href, text, absolute, NOT starts_with(absolute, root) AS external FROM d
+""")
 def html_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.links(table(spark, sf_dir, "pages").select("page_id", "url", "html"), "page_id", "html", "url")
 
