@@ -185,7 +185,7 @@ class GruModel:
         rows = {k: (slice(None), v) for k, v in g.items()}
         return rows | {"x": (keys, np.add.reduceat(d_x.reshape(-1, 3 * h)[order], at, axis=0))}, loss * scale
 
-    def score(self, documents: list[np.ndarray], lanes: int = 512, window: int = 64) -> np.ndarray:
+    def score(self, documents: list[np.ndarray], lanes: int = 256, window: int = 64) -> np.ndarray:
         """Natural log-likelihood of each document's symbols."""
         out = np.zeros(len(documents))
         plan = lane_plan([len(d) for d in documents], lanes)
@@ -290,7 +290,7 @@ def pieces_of(symbols: list[np.ndarray], begin: int, most: int = 4096) -> tuple[
     return [p for p, _ in parts], [c for _, c in parts]
 
 
-def train_everywhere(model: GruModel, training: DataFrame, text_col: str, rate: float = 0.004, lanes: int = 256, block: int = 4 << 20, width: int = 1 << 16) -> GruModel:
+def train_everywhere(model: GruModel, training: DataFrame, text_col: str, rate: float = 0.006, lanes: int = 512, block: int = 16 << 20, width: int = 1 << 16) -> GruModel:
     """The model after all rows: each task trains on its own, and the weights are averaged.
 
     Tasks start from one model, so that their weights can be averaged at all.  The
