@@ -76,9 +76,22 @@ def enumeration_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("conv_id", "turn", "role", F.md5("text").alias("text_md5"), F.coalesce("enum_level", F.lit(0)).alias("enum_level"))
 
 
-@query()
+@query("""
+WITH RECURSIVE e AS (
+  SELECT user_id AS doc, (event_id % 3)::INT AS page, event_id AS pos, (event_id * 37 % 842)::DOUBLE AS y, row_number() OVER (PARTITION BY user_id, event_id % 3 ORDER BY event_id) AS k FROM events),
+f(doc, page, k, pos, spans, place) AS (
+  SELECT DISTINCT doc, page, 0::BIGINT, NULL::BIGINT, []::STRUCT(t DOUBLE, b DOUBLE)[], 0::BIGINT FROM e
+  UNION ALL
+  SELECT doc, page, k, pos, CASE WHEN place > len(spans) THEN list_append(spans, {'t': y, 'b': y + 10}) ELSE list_concat(list_slice(spans, 1, place - 1), [{'t': least(spans[place].t, y), 'b': greatest(spans[place].b, y + 10)}], list_slice(spans, place + 1, len(spans))) END, place
+  FROM (SELECT e.doc, e.page, e.k, e.pos, e.y, f.spans, coalesce(list_position(list_transform(f.spans, lambda s: abs((s.t + s.b) / 2 - (e.y + 5)) <= 0.005 * 842), true), len(f.spans) + 1)::BIGINT AS place
+        FROM f JOIN e ON e.doc = f.doc AND e.page = f.page AND e.k = f.k + 1)),
+l AS (SELECT doc, page, arg_max(spans, k) AS spans FROM f GROUP BY doc, page),
+n AS (SELECT doc, page, unnest(range(1, len(spans) + 1)) AS place, spans FROM l),
+r AS (SELECT doc, page, place, row_number() OVER (PARTITION BY doc, page ORDER BY spans[place].t + spans[place].b, place)::INT AS line FROM n)
+SELECT f.doc, f.pos, f.page, r.line FROM f JOIN r ON r.doc = f.doc AND r.page = f.page AND r.place = f.place WHERE f.k > 0
+""")
 def reading_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Elements in lines; greedy clustering has no SQL."""
+    """Elements in lines, by greedy clustering; the SQL steps through each page."""
     return layout.sort_lines(_elements(spark, sf_dir), "doc", "height").select("doc", "pos", "page", "line")
 
 
