@@ -503,3 +503,19 @@ def apply_table_decisions(html: str | None, outcomes: dict[str, tuple[str, list[
         return "" if outcome == "merged" else m[0]
 
     return re.sub(r"(?is)<table\b.*?</table\s*>", one, html or "")
+
+
+def federal_pages(df: DataFrame, html: str, name: str = "page") -> DataFrame:
+    """A federal text's raw HTML as the paragraphs of its page.
+
+    Head, comments, scripts and styles go first; then headings become notes and
+    provisions, numbers sub-provisions with anchors, headings move down, footnotes
+    to the end, references in notes are linked, and each provision is one container.
+    """
+    from codexlake.operators import crossref, passes
+
+    bare = F.regexp_replace(F.regexp_replace(F.coalesce(html, F.lit("")), r"(?is)<head\b.*?</head\s*>|<!--.*?-->|<\?.*?\?>|<!doctype[^>]*>|<(script|style)\b.*?</\1\s*>", ""), r"""(?i)\s+(?:style|align|valign)\s*=\s*"[^"]*\"""", "")
+    items = passes.read_paragraphs(df.withColumn("_bare", bare), "_bare", "_items")
+    *text, group = passes.FEDERAL_PAGE
+    done = passes.rewrite(items, "_items", *text, crossref.link_references(*crossref.SCOPES), group)
+    return done.withColumn(name, passes.markup("_items")).drop("_bare", "_items")

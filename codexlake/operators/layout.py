@@ -339,3 +339,34 @@ def article_label(text: str) -> Column:
     pattern = r"(?s)^\s*(Art\.\s*\d+[a-z]*(?:\s*(?:bis|ter|quater)\b)?)\s*(.*)$"
     label = F.nullif(F.regexp_extract(text, pattern, 1), F.lit(""))
     return F.struct(label.alias("label"), F.when(label.isNotNull(), F.regexp_extract(text, pattern, 2)).otherwise(F.col(text)).alias("rest"))
+
+
+def prepared(elements: DataFrame, tables: DataFrame, heights: DataFrame, doc: str) -> DataFrame:
+    """Raw elements as those that a page is made of, by all the rules of layout in order.
+
+    ``elements`` has doc, pos, page, path, row, text, x0, y0, x1, y1 (upwards), size,
+    weight and position; ``tables`` doc, pos, path and table_id; ``heights`` doc, page
+    and height.  Tables are mapped and their headers with section signs taken out,
+    empty text dropped, boxes turned downwards, lines put in reading order, margins
+    removed, and units, raised text and small text marked.
+    """
+    placed = table_of_path(elements, tables, doc)
+    placed = headers_with_section(placed, "table_id", "row").where("text is not null and text <> ''")
+    placed = placed.join(heights.select(doc, "page", "height"), [doc, "page"], "left")
+    box = flip(F.col("y0"), F.col("y1"), F.col("height"))
+    placed = placed.withColumn("_box", box).withColumns({"y0": F.col("_box.y0"), "y1": F.col("_box.y1"), "height": F.coalesce("height", F.lit(595.0))}).drop("_box")
+    lines = sort_lines(placed, doc, "height")
+    order = Window.partitionBy(doc).orderBy("page", "line", "x0", "pos")
+    read = body_only(lines.withColumn("pos", F.row_number().over(order) - 1), "height")
+    marked = fractions(square_metres(demote_after_final(read, doc), [doc]), doc)
+    # After the closing provisions bold text is plain.
+    return marked.withColumns({"weight": F.when(F.col("after_final") & (F.col("weight") > 400) & (F.col("size") <= 9.2), F.lit(400.0)).otherwise(F.col("weight")), "is_raised": keeps_superscript("position")})
+
+
+def as_paragraphs(elements: DataFrame, doc: str) -> DataFrame:
+    """(doc, items): a document's elements in order as the paragraphs that passes take, weights as sizes."""
+    from codexlake.operators.passes import PARAGRAPHS
+
+    one = F.struct(F.lit("p").alias("tag"), F.array().cast("array<string>").alias("cls"), F.col("pos").cast("string").alias("id"), F.col("text").alias("html"), F.col("weight").cast("double").alias("size"))
+    rows = F.array_sort(F.collect_list(F.struct("pos", one.alias("e"))))
+    return elements.groupBy(doc).agg(F.transform(rows, lambda x: x["e"]).cast(PARAGRAPHS).alias("items"))

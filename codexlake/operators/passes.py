@@ -663,8 +663,65 @@ def mark_subprovisions(items: list[Paragraph]) -> list[Paragraph]:
     return items
 
 
+def lower_headings(items: list[Paragraph]) -> list[Paragraph]:
+    """Headings one level down, six at most."""
+    for p in items:
+        if p.tag in _HEADINGS:
+            p.tag = f"h{min(int(p.tag[1]) + 1, 6)}"
+    return items
+
+
+#: The classes that a published page keeps.
+CLASSES = (
+    "provision", "subprovision", "marginalia", "marginalia-container", "provision-container", "subprovision-container", "footnote", "enum-lit", "enum-ziff", "enum-dash",
+    "first-level", "second-level", "heading", "law-data-table",
+)
+
+
+def keep_classes(items: list[Paragraph]) -> list[Paragraph]:
+    """Without classes that a published page does not have."""
+    for p in items:
+        p.cls = [c for c in p.cls if c in CLASSES]
+    return items
+
+
+def footnotes_last(items: list[Paragraph]) -> list[Paragraph]:
+    """Footnotes behind everything else, in their order, below a line."""
+    notes = [p for p in items if p.has("footnote")]
+    return footnote_line([*(p for p in items if not p.has("footnote")), *notes])
+
+
+_ELEMENT = re.compile(r"""<(p|h[1-6]|div|table|ul|ol|dl)((?:\s+[\w-]+(?:="[^"]*")?)*)\s*>(.*?)</\1>""", re.DOTALL)
+
+
+def paragraphs_in(text: str | None) -> list[Paragraph]:
+    """The elements of flat HTML as paragraphs; a container is one, whatever it holds but another of its kind."""
+    out = []
+    for tag, own, inner in _ELEMENT.findall(text or ""):
+        a = dict(re.findall(r'([\w-]+)="([^"]*)"', own))
+        size = a.get("data-font-size", "")
+        out.append(Paragraph(tag, a.get("class", "").split(), a.get("id"), inner, float(size) if re.fullmatch(r"\d+(\.\d+)?", size) else None))
+    return out
+
+
+def read_paragraphs(df: DataFrame, html_column: str, name: str = "items") -> DataFrame:
+    """``df`` with the paragraphs of an HTML column."""
+    ship(df.sparkSession)
+    at, wide = df.columns.index(html_column), df.withColumn(name, F.lit(None).cast(PARAGRAPHS)).schema
+    kind = to_arrow_schema(wide).field(len(df.columns)).type
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            new = pa.array([[vars(p) for p in paragraphs_in(x)] for x in batch.column(at).to_pylist()], kind)
+            yield pa.RecordBatch.from_arrays([*batch.columns, new], [*batch.schema.names, name])
+
+    return df.mapInArrow(run, wide)
+
+
 #: Sub-provisions, enumerations and anchors of a federal text, in order.
 FEDERAL = (split_headings, relate_notes, mark_subprovisions, self_anchors)
+#: A federal page from its raw paragraphs: text first, then containers, then what a page shows.
+FEDERAL_PAGE = (drop_empty, split_headings, mark_subprovisions, self_anchors, lower_headings, footnotes_last, keep_classes, group_provisions)
 #: The passes that make a page of a document's paragraphs, in order.
 PAGE = (
     drop_empty, join_dashes, join_hyphenated, join_brackets, unmark_after_superscript, join_punctuation, join_enumerators, join_fractions,

@@ -270,3 +270,41 @@ def definitions_in_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Definition lists with their levels, and where a page redirects to."""
     to = html.redirect_of(_PAGE, "https://e.org")
     return fixture(spark, [(d["level"], d["term"], d["text"], to) for d in html.definitions_of(_PAGE)], "level int, term string, text string, target string")
+
+
+_FEDERAL = """<?xml version="1.0"?><html><head><title>x</title></head><!-- c --><body><h1 style="a">Gesetz</h1><p> </p><h6 class="heading odd"><a href="#a1"><b>Art. 1</b> Zweck</a></h6><p class="footnote">1 siehe Art. 2</p><p class="absatz">Text</p><h2>Teil</h2><p class="provision" id="seq-0-prov-2">Art. 2</p><p>1</p><p>Absatz</p></body></html>"""
+
+
+@query(values("id::INT, page::VARCHAR", [(1, '<h2>Gesetz</h2><div class="provision-container"><div class="marginalia-container"><h6 class="heading">Zweck</h6></div><p class="provision">Art. 1</p><p>Text</p></div><h3>Teil</h3><div class="provision-container"><p class="provision" id="seq-0-prov-2"><a href="#seq-0-prov-2">Art. 2</a></p><p class="subprovision" id="seq-0-prov-2-sub-1"><a href="#seq-0-prov-2-sub-1">1</a></p><p>Absatz</p><hr id="footnote-line"><p class="footnote">1 siehe <a class="cross-reference" href="#seq-0-prov-2">Art. 2</a></p></div>'), (2, "")]))
+def federal_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A federal text from its raw page to containers, anchors, footnotes and linked references."""
+    return html.federal_pages(fixture(spark, [(1, _FEDERAL), (2, None)], "id int, html string"), "html").select("id", "page")
+
+
+_RAW = [
+    (1, 0, 0, "/D/P", None, "Kopf", 0.0, 800.0, 50.0, 830.0, 9.0, 400.0, None), (1, 1, 0, "/D/P2", None, "§ 1. Wer", 60.0, 500.0, 90.0, 510.0, 9.0, 700.0, None), (1, 2, 0, "/D/P3", None, "links", 10.0, 501.0, 50.0, 511.0, 9.0, 400.0, None),
+    (1, 3, 0, "/D/T/TR/TH", 1, "§ 2", 10.0, 400.0, 50.0, 410.0, 9.0, 400.0, None), (1, 4, 0, "/D/T/TR[2]/TD", 2, "Zelle m", 10.0, 380.0, 50.0, 390.0, 9.0, 400.0, None), (1, 5, 0, "/D/P4", None, "2", 60.0, 380.0, 70.0, 390.0, 4.0, 400.0, "Sup"),
+    (1, 6, 0, "/D/P5", None, "", 0.0, 300.0, 1.0, 310.0, 9.0, 400.0, None), (1, 7, 0, "/D/P6", None, "Schlussbestimmungen", 10.0, 200.0, 50.0, 210.0, 9.0, 700.0, None), (1, 8, 0, "/D/P7", None, "fett", 10.0, 150.0, 50.0, 160.0, 9.0, 700.0, None),
+]
+
+
+@query(values("text::VARCHAR, line::INT, table_id::VARCHAR, unit::BOOLEAN, raised::BOOLEAN, small::BOOLEAN, weight::DOUBLE", [
+    ("links", 2, None, False, False, False, 400.0), ("§ 1. Wer", 2, None, False, False, False, 700.0), ("§ 2", 3, None, False, False, False, 400.0), ("Zelle m", 4, "t", False, False, False, 400.0), ("2", 4, None, True, True, True, 400.0),
+    ("Schlussbestimmungen", 5, None, False, False, False, 700.0), ("fett", 6, None, False, False, False, 400.0)]))
+def prepared_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All the rules of layout in order, from raw elements."""
+    e = fixture(spark, _RAW, "doc int, pos int, page int, path string, row int, text string, x0 double, y0 double, x1 double, y1 double, size double, weight double, position string")
+    maps = fixture(spark, [(1, 0, "/D/T", "t")], "doc int, pos int, path string, table_id string")
+    out = layout.prepared(e, maps, fixture(spark, [(1, 0, 842.0)], "doc int, page int, height double"), "doc")
+    return out.select("text", "line", "table_id", F.col("is_unit").alias("unit"), F.coalesce("is_raised", F.lit(False)).alias("raised"), F.col("is_small").alias("small"), "weight")
+
+
+@query(values("doc::INT, html::VARCHAR", [(1, "links|§ 1.|Wer|§ 2|Zelle m|2|Schlussbestimmungen|fett")]))
+def prepared_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The prepared elements, merged and split."""
+    from codexlake.operators import passes
+
+    e = fixture(spark, _RAW, "doc int, pos int, page int, path string, row int, text string, x0 double, y0 double, x1 double, y1 double, size double, weight double, position string")
+    maps = fixture(spark, [(1, 0, "/D/T", "t")], "doc int, pos int, path string, table_id string")
+    out = layout.as_paragraphs(layout.prepared(e, maps, fixture(spark, [(1, 0, 842.0)], "doc int, page int, height double"), "doc"), "doc")
+    return passes.rewrite(out, "items", *passes.LAYOUT).select("doc", F.array_join(F.transform("items", lambda p: p["html"]), "|").alias("html"))
