@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
+import re
 import uuid
 
 import numpy as np
@@ -48,11 +50,14 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share.
 
     ``spark.checkpoint.dir`` names it on a cluster.  Where that is unset (tests,
-    one machine) a folder under the warehouse is used, which is shared as well.
+    one machine) a folder under the warehouse is used; on a cluster only if the
+    warehouse lies in a store.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
         base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_codexlake_checkpoints"
+        if not spark.sparkContext.master.startswith("local") and re.match(r"/|file:", base):
+            raise ValueError("set spark.checkpoint.dir: the warehouse is a folder of one machine")
     return f"{base.rstrip('/')}/codexlake-{spark.sparkContext.applicationId}"
 
 
@@ -98,6 +103,15 @@ def release(spark: SparkSession) -> None:
     _delete(spark, shared_dir(spark))
 
 
+def tidy() -> None:
+    """Hand back to the machine what a task has freed: workers live on, and the next stage needs room."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass  # another C library: it keeps what it keeps
+
+
 def bytes_of(column: pa.ChunkedArray | pa.Array) -> list[bytes]:
     """UTF-8 bytes of a string column; null counts as empty."""
     return [b"" if x is None else x for x in column.cast(pa.binary()).to_pylist()]

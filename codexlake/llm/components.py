@@ -30,10 +30,10 @@ def _small_star(edges: DataFrame) -> DataFrame:
 def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(node, component) of every node that is not itself its component's least.
 
-    ``edges`` has columns a and b of one kind that can be ordered.  Large-star and small-star steps alternate
-    until they change nothing; every step is written to the shared folder.  Hubs
-    are safe: minima combine before the shuffle, joins may split a hub's edges, and
-    the number of edges never grows.
+    ``edges`` has columns a and b of one kind that can be ordered.  Large-star and
+    small-star steps alternate until they change nothing; every step is written to the
+    shared folder.  Hubs are safe: minima combine before the shuffle, joins may split a
+    hub's edges, and the number of edges never grows.
     """
     now = cut(edges.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
     seen = _checksum(now)

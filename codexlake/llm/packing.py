@@ -39,7 +39,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from codexlake.llm.common import cut, on_workers
+from codexlake.llm.common import cut, on_workers, tidy
 
 #: How a byte-level tokenizer file of this kind splits text before its merges.
 _SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -237,6 +237,7 @@ def pack(
                 [batch.column(0).take(pa.array(owner, pa.int64())), *(pa.array(c, t) for c, t in zip(columns, kinds, strict=True)), pa.array([part] * len(rows), pa.int32())],
                 ["id", "piece", "start", "length", "ids_crc32", "_rank", "_part"],
             )
+        tidy()
 
     kind = df.schema[id_col].dataType.simpleString()
     pieces = cut(

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from codexlake.llm.common import cut, fit_logistic, hash_sample, on_workers, sigmoid, texts_of
+from codexlake.llm.common import cut, fit_logistic, hash_sample, on_workers, sigmoid, texts_of, tidy
 
 _STRIP = string.punctuation + "«»„“”‘’¿¡…–—"
 PREFIXES = (4, 5, 6)
@@ -262,5 +262,7 @@ def drop_toxic(docs: DataFrame, model: ToxicityModel, text_col: str = "text", th
         known = _Scores(model.lexicon)
         for texts in parts:
             yield pd.Series([model.rate(t or "", known)[0] for t in texts], dtype=float)
+        known.clear()
+        tidy()
 
     return docs.where(score(F.col(text_col)) < threshold)
