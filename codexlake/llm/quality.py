@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from codexlake.llm.common import bytes_of, fit_logistic, hash_sample, on_workers, sigmoid
+from codexlake.llm.common import bytes_of, fit_logistic, hash_sample, on_workers, sigmoid, tidy
 
 _UPPER, _LETTER, _DIGIT, _SYMBOL, _PIPE, _WIDE, _SPACE, _STOP = (1 << k for k in range(8))
 _CLASS = np.zeros(256, np.uint8)
@@ -179,11 +179,11 @@ def whole_texts(docs: DataFrame, few: DataFrame, id_col: str, text_col: str, mos
     return few.join(sizes.select("id", F.coalesce(F.sum("lines").over(before), F.lit(0)).alias("before")), "id").where(F.col("before") < most).drop("before")
 
 
-def train(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_train: int = 10_000, max_lines: int = 300, rounds: int = 200, l2: float = 1e-5) -> QualityModel | None:
+def train(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_train: int = 10_000, max_lines: int = 300, window: int = 64, rounds: int = 200, l2: float = 1e-5) -> QualityModel | None:
     """Fit on ``labelled`` (id, label); a sample of whole texts, ``max_train`` at most.
 
     There are fewer of them where they have over ``max_train`` times ``max_lines`` lines
-    in all.  The chain learns from windows of ``max_lines`` lines, which cover a text;
+    in all.  The chain learns from windows of ``window`` lines, which cover a text;
     the curve is fitted to whole texts.  The sample is the same each time.  None
     without labels of both kinds.
     """
@@ -207,7 +207,7 @@ def train(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col
     features = np.concatenate([np.frombuffer(r["features"], np.float32).reshape(-1, N_FEATURES) for r in rows])
     length = np.concatenate([np.frombuffer(r["length"], np.float32) for r in rows])
     texts = np.array([len(r["length"]) // 4 for r in rows])
-    counts = np.array([min(max_lines, n - low) for n in texts.tolist() for low in range(0, n, max_lines)])
+    counts = np.array([min(window, n - low) for n in texts.tolist() for low in range(0, n, window)])
     edges = [np.unique(np.quantile(features[:, k], np.arange(1, BINS) / BINS)) for k in range(N_FEATURES)]
     model = QualityModel(edges, np.zeros((3, N_FEATURES, BINS)), np.zeros((2, 2)), np.zeros(2), np.array([1.0, 0.0, 0.0, 0.0]))
     bins = model.bins(features)
@@ -229,7 +229,10 @@ def train(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col
         for step in range(1, rounds + 2):
             model.emit = parameters[: 3 * cells].reshape(3, N_FEATURES, BINS)
             model.move, model.start = parameters[3 * cells : 3 * cells + 4].reshape(2, 2), parameters[-2:]
-            good, expected, begun, _ = marginals(model.emissions(bins, counts), counts, model.move, model.start)
+            if chained:
+                good, expected, begun, _ = marginals(model.emissions(bins, counts), counts, model.move, model.start)
+            else:  # without neighbours and moves each line stands alone
+                good, expected, begun = sigmoid(model.emit[0].ravel()[flat].sum(1)), 0.0, 0.0
             if step > rounds:
                 return good
             error = truth - good
@@ -273,5 +276,6 @@ def keep_good(docs: DataFrame, model: QualityModel | None, text_col: str = "text
     def score(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in parts:
             yield pd.Series(model.rate([(t or "").encode("utf-8") for t in texts])[0])
+        tidy()
 
     return docs.where(score(F.col(text_col)) >= threshold)
