@@ -465,6 +465,10 @@ def tag_counts(df: DataFrame, key: str, html: str) -> DataFrame:
 
 
 def diff(df: DataFrame, keys: list[str], old: str, new: str) -> DataFrame:
+    # A pair costs far more than its bytes say, so pairs are dealt over all cores by a stated number.
+    session = df.sparkSession
+    n = max(session.sparkContext.defaultParallelism, int(session.conf.get("spark.sql.shuffle.partitions")))
+    df = df.repartition(n, *keys)
     out = _mapped(df, "_d", "array<struct<removed:int,added:int,marked:string>>", lambda a, b: [dict(zip(("removed", "added", "marked"), diff_words(a, b), strict=True))], old, new)
     return out.select(*keys, F.inline("_d"))
 
