@@ -18,6 +18,7 @@ def path_index(path: str, pattern: str) -> Column:
 def grid(df: DataFrame, key: list[str], row: Column, cell: Column, pos: str, text: str) -> DataFrame:
     """(key, grid): a dense rectangle; texts of one cell joined by spaces, gaps ''."""
     cells = df.select(*key, row.alias("_r"), cell.alias("_c"), F.col(pos).alias("_p"), F.trim(F.col(text)).alias("_t")).where("_r is not null and _c is not null")
+    cells = cells.repartition(*key)  # one shuffle serves the three groupings below
     parts = F.array_sort(F.collect_list(F.when(F.col("_t") != "", F.struct("_p", "_t"))))
     one = cells.groupBy(*key, "_r", "_c").agg(F.array_join(F.transform(parts, lambda x: x["_t"]), " ").alias("_t"))
     # A row's cells by column with the gaps filled, then a table's rows with the gaps filled: each is passed once.
