@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -88,15 +90,33 @@ def page_of(df: DataFrame, order: list, number: int, size: int = 20) -> DataFram
 def positions(df: DataFrame, order: str, name: str = "position") -> DataFrame:
     """Adds ``position``, from 1 in the order of one column, and ``next``, the value that follows.
 
-    Rows are dealt by range into a fixed number of partitions, numbered within each,
-    and moved on by the sizes of those before: no task holds more than its range.
+    Rows are dealt by range, numbered within each range, and moved on by the sizes of
+    those before: no task holds more than its range.  Nulls come last.
     """
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    within = Window.partitionBy("_p").orderBy(order)
-    # The number of partitions is stated, so that both uses see the same ones.
-    parts = df.repartitionByRange(n, order).withColumn("_p", F.spark_partition_id()).withColumn("_n", F.row_number().over(within))
+    within = Window.partitionBy("_p").orderBy(F.asc_nulls_last(order))
+    # The range is a function of the value alone: both uses see the same ones, whatever a shuffle samples.
+    parts = df.withColumn("_p", _range_of(order, _bounds(df, order, n))).withColumns({"_n": F.row_number().over(within), "next": F.lead(order).over(within)})
     sizes = parts.groupBy("_p").agg(F.count("*").alias("_size"), F.min(order).alias("_first"))
-    whole = Window.orderBy("_p")  # a row a partition
-    before = sizes.select("_p", F.coalesce(F.sum("_size").over(whole.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_base"), F.lead("_first").over(whole).alias("_then"))
-    out = parts.join(before, "_p").withColumn("next", F.coalesce(F.lead(order).over(within), F.col("_then")))
-    return out.withColumn(name, (F.col("_n") + F.col("_base")).cast("int")).drop("_p", "_n", "_base", "_then")
+    whole = Window.orderBy("_p")  # a row a range
+    before = sizes.select("_p", "_size", F.coalesce(F.sum("_size").over(whole.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_base"), F.lead("_first").over(whole).alias("_then"))
+    out = parts.join(before, "_p").withColumn("next", F.when(F.col("_n") == F.col("_size"), F.col("_then")).otherwise(F.col("next")))
+    return out.withColumn(name, (F.col("_n") + F.col("_base")).cast("int")).drop("_p", "_n", "_size", "_base", "_then")
+
+
+def _bounds(df: DataFrame, order: str, n: int, each: int = 32) -> list:
+    """Values that cut a column into about ``n`` like ranges, from the ``each * n`` of least hash; every row gets a range."""
+    chosen = df.where(F.col(order).isNotNull()).select(order).orderBy(F.xxhash64(order), order).limit(each * n)
+    values = [r[0] for r in chosen.orderBy(order).collect()]
+    return values[:: max(1, -(-len(values) // n))][1:]
+
+
+def _range_of(order: str, bounds: list) -> Column:
+    """How many of the bounds are not above the value, found in two steps; nulls are beyond all."""
+    if not bounds:
+        return F.col(order).isNull().cast("int")
+    step = math.isqrt(len(bounds)) + 1
+    up_to = lambda some: F.size(F.filter(some, lambda b: b <= F.col(order)))
+    coarse = up_to(F.lit(bounds[step - 1 :: step])) if len(bounds) >= step else F.lit(0)
+    fine = up_to(F.slice(F.lit(bounds), coarse * step + 1, F.lit(step - 1)))
+    return F.when(F.col(order).isNull(), len(bounds) + 1).otherwise(coarse * step + fine)

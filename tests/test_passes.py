@@ -61,6 +61,15 @@ def test_positions_are_those_of_the_order(spark):
     assert [r["position"] for r in rows] == list(range(1, 1001)) and [r["next"] for r in rows] == [*range(1, 1000), None]
 
 
+def test_positions_of_more_rows_than_a_shuffle_samples(spark):
+    df = spark.range(200_000).selectExpr("(id * 7919) % 200000 AS k", "nullif(id, -1) AS id").repartition(7)
+    out = workflow.positions(df, "k").selectExpr("count_if(position = k + 1 AND next <=> if(k < 199999, k + 1, null)) AS right", "count(id) AS n").first()
+    assert (out["right"], out["n"]) == (200_000, 200_000)
+    assert workflow.positions(df.limit(0), "k").count() == 0
+    few = spark.createDataFrame([("b",), (None,), ("a",), (None,), ("a",)], "k string")
+    assert sorted((r["position"], r["k"], r["next"]) for r in workflow.positions(few, "k").collect()) == [(1, "a", "a"), (2, "a", "b"), (3, "b", None), (4, None, None), (5, None, None)]
+
+
 def test_pages_of_nothing(spark):
     one = spark.createDataFrame([(None, None)], "x string, n double")
     out = one.select(pages.html_escape("x").alias("a"), pages.numbered_name("x").alias("b"), pages.modern_page("x").alias("c"), pages.is_metadata("x").alias("d"), pages.link_text("x").alias("e"), pages.size_saving("n", F.lit(1.0)).alias("f")).first()
