@@ -1,18 +1,19 @@
-"""Near-duplicate texts by shingle similarity, on top of SimHash fingerprints.
+"""Near-duplicate texts by shingle similarity: SimHash fingerprints, cells of segment popcounts.
 
 Texts are linked whose sets of word shingles (five words) have a Jaccard similarity
-of 0.8 or more.  Such a pair may differ in a quarter of a fingerprint's bits, where
-popcount cells no longer tell texts apart.  So candidates share one of ``BANDS``
-digests of ``ROWS`` least shingle hashes, which a linked pair misses with a
-probability below 0.002; fingerprints of 256 bits, at most 56 of them different, rule
-out most others; and the shingles of what is left are compared.
-
-No group is written out as pairs.  Texts of the same words are one class first.
-Then each class is compared with one leader of each band that it shares, which joins
-a group of copies through a few leaders.  Only where a band still holds classes of
-different components are those outside its largest component compared with all of the
-band, block by block within tasks, and a block returns at most a forest of links.  So
-no link between different components is lost, however large the group.
+of 0.8 or more.  Such a pair differs in some 15 % of a fingerprint's bits, so no
+radius around one cell of a whole fingerprint holds it and tells texts apart.  So a
+fingerprint of 256 bits lies in one cell of each of many tables: a table's cell is the
+counts of set bits in its own few 2-bit segments, which a linked pair shares with a
+probability of 0.73 for each segment.  Within a cell all fingerprints are compared by
+popcount; pairs near enough are candidates, and their shingles decide.
+
+No group is written out as pairs.  Texts of the same words are one class first.  A
+cell with many near pairs gives each class one leader, which joins a group of copies
+through a few of them.  Only where such a cell still holds near classes of different
+components are those outside its largest component compared with all of its near
+classes, block by block within tasks, and a block returns at most a forest of links.
+So no candidate link between different components is lost, however large the group.
 
 Defined cases: a null or empty text is a class of its own words, none; a text of
 fewer words than a shingle has is one shingle; repeated rows are copies; rows without
@@ -22,6 +23,7 @@ an id are kept; an empty table gives an empty one; other columns may have any na
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,12 +33,15 @@ from pyspark.sql import functions as F
 
 from codexlake.llm.common import bytes_of, cut, discard, on_workers, tidy
 from codexlake.llm.components import connected_components
-from codexlake.llm.simhash import bit_counts, shingle_hashes
+from codexlake.llm.simhash import bit_counts, segment_counts, shingle_hashes
 
-BANDS, ROWS = 16, 5
 #: 64-bit words of a fingerprint, and how many of its bits may differ.
-WORDS, BITS = 4, 56
-_ODD = np.random.default_rng(42).integers(0, 1 << 63, (2, max(BANDS * ROWS, BANDS + ROWS)), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+WORDS, BITS = 4, 70
+#: How many of the first two words' bits may differ within a cell.
+FIRST_BITS = 40
+#: Segments of a cell, and tables of cells: a pair of similarity 0.8 shares none with a probability of about 0.0003.
+SEGMENTS, TABLES = 7, 128
+_ODD = np.random.default_rng(42).integers(0, 1 << 63, (2, WORDS), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _PRINTS = [f"f{k}" for k in range(WORDS)]
 
 
@@ -52,40 +57,48 @@ def wide_fingerprint(hashes: np.ndarray) -> np.ndarray:
     return out
 
 
-def bands(hashes: np.ndarray, step: int = 4096) -> np.ndarray:
-    """A digest of ``ROWS`` least hashes for each band; none for no shingles."""
-    if not len(hashes):
-        return np.empty(0, np.uint64)
-    least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, np.uint64)
-    factors = _ODD[0, : BANDS * ROWS, None]
-    for low in range(0, len(hashes), step):
-        np.minimum(least, (hashes[low : low + step] * factors).min(1), out=least)
-    mixed = least.reshape(BANDS, ROWS)
-    mixed = (mixed ^ (mixed >> np.uint64(31))) * _ODD[1, :ROWS]
-    return (mixed.sum(1, dtype=np.uint64) + _ODD[0, :BANDS]) * _ODD[1, :BANDS]
+def tables_of(segments: int) -> int:
+    """How many tables find a linked pair as surely as ``TABLES`` of ``SEGMENTS``."""
+    return math.ceil(TABLES * 0.7307 ** (SEGMENTS - segments))
+
+
+def cells(prints: np.ndarray, segments: int = SEGMENTS) -> np.ndarray:
+    """A cell of each table for every fingerprint (a row of words): counts of some of its 2-bit segments."""
+    tables = tables_of(segments)
+    chosen = np.random.default_rng(7).random((tables, 32 * WORDS)).argsort(1)[:, :segments]
+    counts = (segment_counts(prints)[:, :, None] >> (2 * np.arange(32, dtype=np.uint64))) & np.uint64(3)
+    digits = counts.reshape(len(prints), -1).astype(np.int64)
+    out = np.arange(tables) * 3**segments + np.zeros((len(prints), 1), np.int64)
+    for k in range(segments):
+        out += digits[:, chosen[:, k]] * 3**k
+    return out
+
+
+def bands(hashes: np.ndarray) -> np.ndarray:
+    """The cells of one set of shingles; none for no shingles."""
+    return cells(wide_fingerprint(hashes)[None])[0] if len(hashes) else np.empty(0, np.int64)
 
 
 def sketches(rows: DataFrame, words: int) -> DataFrame:
-    """(id, h, class, n, f0.., bands) of (id, h, text): a class is the words alone, n its shingles."""
+    """(id, h, class, n, f0..) of (id, h, text): a class is the words alone, n its shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            classes, sizes, prints, keys = [], [], [], []
+            classes, sizes, prints = [], [], []
             for text in bytes_of(batch.column(2)):
                 classes.append(hashlib.md5(b" ".join(text.lower().split())).digest())
                 hashes = np.unique(shingle_hashes(text, words))
                 sizes.append(len(hashes))
                 prints.append(wide_fingerprint(hashes))
-                keys.append(bands(hashes).view(np.int64))
             wide = np.array(prints, np.uint64).reshape(-1, WORDS).view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(classes, pa.binary()), pa.array(sizes, pa.int32()), *(pa.array(wide[:, k]) for k in range(WORDS)), pa.array(keys, pa.list_(pa.int64()))],
-                ["id", "h", "class", "n", *_PRINTS, "bands"],
+                [batch.column(0), batch.column(1), pa.array(classes, pa.binary()), pa.array(sizes, pa.int32()), *(pa.array(wide[:, k]) for k in range(WORDS))],
+                ["id", "h", "class", "n", *_PRINTS],
             )
         tidy()
 
     kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"id {kind}, h long, class binary, n int, {', '.join(f'{c} long' for c in _PRINTS)}, bands array<long>")
+    return rows.mapInArrow(run, f"id {kind}, h long, class binary, n int, {', '.join(f'{c} long' for c in _PRINTS)}")
 
 
 def _near(similarity: float) -> Column:
@@ -94,8 +107,82 @@ def _near(similarity: float) -> Column:
     return (F.least("a.n", "b.n") >= F.lit(similarity) * F.greatest("a.n", "b.n")) & (apart <= BITS)
 
 
-def _pairs(joined: DataFrame) -> DataFrame:
-    return joined.select(F.least("a.class", "b.class").alias("a"), F.greatest("a.class", "b.class").alias("b")).distinct()
+def _members(classes: DataFrame, segments: int) -> DataFrame:
+    """(cell, node, f0, f1) of each class with shingles, a row a table; ``node`` is a hash of the class."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for low in range(0, batch.num_rows, 1000):
+                node, *prints = (np.asarray(c) for c in batch.slice(low, 1000).columns)
+                found = cells(np.stack(prints, 1).view(np.uint64), segments)
+                each = found.shape[1]
+                yield pa.RecordBatch.from_arrays([pa.array(found.ravel()), *(pa.array(np.repeat(c, each)) for c in (node, *prints[:2]))], ["cell", "node", "f0", "f1"])
+
+    rows = classes.where("n > 0").select(F.xxhash64("class").alias("node"), *_PRINTS)
+    return on_workers(rows).mapInArrow(run, "cell long, node long, f0 long, f1 long")
+
+
+def near_in_cell(node: np.ndarray, prints: np.ndarray, most: int = 4, step: int = 1 << 19) -> tuple[list[tuple[int, int]], np.ndarray]:
+    """Near pairs of a cell's rows, and none else; or, where they are many, a leader for each row and all rows that are near another."""
+    n, pairs, total, met = len(node), [], 0, np.zeros(len(node), bool)
+    for low in range(0, n, max(1, step // n)):
+        high = min(n, low + max(1, step // n))
+        apart = np.bitwise_count(prints[low:high, None, 0] ^ prints[None, low:, 0]) + np.bitwise_count(prints[low:high, None, 1] ^ prints[None, low:, 1])
+        i, j = np.nonzero(apart <= FIRST_BITS)
+        later = j > i
+        i, j = i[later] + low, j[later] + low
+        met[i] = met[j] = True
+        total += len(i)
+        if total <= most * n + 64:
+            pairs.append((i, j))
+    if total <= most * n + 64:
+        return [(a, b) for i, j in pairs for a, b in zip(node[i].tolist(), node[j].tolist(), strict=True)], np.empty(0, np.int64)
+    led, rest = [], np.flatnonzero(met)
+    while len(rest):
+        lead, rest = rest[0], rest[1:]
+        near = np.bitwise_count(prints[rest, :2] ^ prints[lead, :2]).sum(1) <= FIRST_BITS
+        led += [(int(node[lead]), b) for b in node[rest[near]].tolist()]
+        rest = rest[~near]
+    return led, node[met]
+
+
+def _near_nodes(members: DataFrame, block: int = 4096) -> DataFrame:
+    """(meet, a, b) of the nodes of a cell: candidate pairs, and (meet, a, null) where a cell holds too many to list.
+
+    A cell of more than ``block`` rows is cut into blocks, which meet pair by pair.
+    """
+    hot = cut(members.groupBy("cell").count().where(F.col("count") > block).select("cell", F.ceil(F.col("count") / block).cast("int").alias("blocks")), "crowded-cells")
+    dealt = members.join(hot, "cell", "left").withColumn("own", F.when(F.col("blocks") > 1, F.pmod("node", "blocks")).otherwise(0).cast("int"))
+    meets = F.when(F.col("blocks").isNull(), F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.col("blocks") - 1))
+    meet = F.when(F.col("blocks").isNull(), F.col("cell")).otherwise(F.xxhash64("cell", F.least("own", "other"), F.greatest("own", "other")))
+    dealt = dealt.withColumn("other", F.explode(meets)).select(meet.alias("meet"), "node", "f0", "f1")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept = [np.empty(0, np.int64)] * 4
+        for batch in batches:
+            if batch.num_rows:
+                columns = [np.concatenate([k, np.asarray(c)]) for k, c in zip(kept, batch.columns, strict=True)]
+                last = int(np.searchsorted(columns[0], columns[0][-1]))
+                kept = [c[last:] for c in columns]
+                yield out([c[:last] for c in columns])
+        yield out(kept)
+        tidy()
+
+    def out(columns: list[np.ndarray]) -> pa.RecordBatch:
+        meet, node = columns[:2]
+        prints = np.stack(columns[2:], 1).view(np.uint64)
+        starts = np.flatnonzero(np.r_[True, meet[1:] != meet[:-1]]) if len(meet) else np.empty(0, np.int64)
+        sizes = np.diff(np.r_[starts, len(meet)])
+        rows: list[tuple] = []
+        for low, n in zip(starts[sizes > 1].tolist(), sizes[sizes > 1].tolist(), strict=True):
+            pairs, many = near_in_cell(node[low : low + n], prints[low : low + n])
+            key = int(meet[low])
+            rows += [(key, a, b) for a, b in pairs]
+            rows += [(key, a, None) for a in many.tolist()]
+        rows = list(dict.fromkeys(rows))
+        return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.int64()) for k in range(3)], ["meet", "a", "b"])
+
+    return on_workers(dealt).repartition("meet").sortWithinPartitions("meet").mapInArrow(run, "meet long, a long, b long")
 
 
 def similar(a: np.ndarray, b: np.ndarray, similarity: float) -> bool:
@@ -153,7 +240,7 @@ def _across(similarity: float):
 
 
 class Block:
-    """Some classes of a band; links found in it merge their components for what follows."""
+    """Some classes of a cell; links found in it merge their components for what follows."""
 
     def __init__(self, similarity: float):
         self.similarity, self.rows, self.number, self.root = similarity, [], {}, np.empty(0, np.int64)
@@ -182,22 +269,27 @@ class Block:
         return links
 
 
+def segments_for(n: int) -> int:
+    """Segments of a cell for so many classes: a cell holds some 2,000 of them on average at most."""
+    return max(SEGMENTS, math.ceil(math.log(max(n, 1) / 2000, 8 / 3)))
+
+
 def components_of(classes: DataFrame, texts: DataFrame, words: int, similarity: float, block: int = 1024) -> DataFrame:
     """(node, component) of classes that are linked with another one."""
-    spread = classes.select("class", F.explode("bands").alias("key")).withColumn("rank", F.xxhash64("key", "class"))
-    shared = spread.groupBy("key").agg(F.count("*").alias("members"), F.min("rank").alias("lead")).where("members > 1")
-    members = spread.join(shared.drop("members"), "key").join(classes.drop("bands", "id", "h"), "class")
-    members = cut(members.withColumn("leads", F.col("rank") == F.col("lead")).drop("rank", "lead"), "band-members")
-    first = _pairs(members.where("not leads").alias("a").join(members.where("leads").alias("b"), F.col("a.key") == F.col("b.key")).where(_near(similarity)))
-    first = cut(first, "leader-pairs")
+    near = cut(_near_nodes(_members(classes, segments_for(classes.count()))), "near-nodes")
+    known = classes.select(F.xxhash64("class").alias("node"), "class", "n", *_PRINTS)
+    pairs = near.where("b is not null").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().alias("p")
+    joined = pairs.join(known.alias("a"), F.col("p.a") == F.col("a.node")).join(known.alias("b"), F.col("p.b") == F.col("b.node")).where(_near(similarity))
+    first = cut(joined.select(F.least("a.class", "b.class").alias("a"), F.greatest("a.class", "b.class").alias("b")).where("a < b").distinct(), "leader-pairs")
     links = _verified(first, classes, texts, words, similarity)
     found = connected_components(links)
-    # Bands of several components: all members in blocks, and those outside the largest ask every block.
-    placed = members.join(found, F.col("class") == F.col("node"), "left").withColumn("component", F.coalesce("component", "class")).drop("node", "leads")
+    members = near.where("b is null").select(F.col("meet").alias("key"), F.col("a").alias("node")).distinct().join(known, "node").drop("node")
+    # Crowded cells of several components: all near members in blocks, and those outside the largest ask every block.
+    placed = members.join(found, F.col("class") == F.col("node"), "left").withColumn("component", F.coalesce("component", "class")).drop("node")
     sizes = placed.groupBy("key", "component").count()
     mixed = sizes.groupBy("key").agg(F.count("*").alias("several"), F.max_by("component", "count").alias("largest"), F.ceil(F.sum("count") / block).cast("int").alias("blocks")).where("several > 1")
-    apart = cut(placed.join(mixed.drop("several"), "key"), "mixed-bands")
-    discard(members, first)
+    apart = cut(placed.join(mixed.drop("several"), "key"), "mixed-cells")
+    discard(near, first)
     if not apart.head(1):
         discard(links, apart)
         return found
@@ -236,7 +328,7 @@ def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", word
     digest, mark = F.xxhash64(*(F.col(f"`{c}`") for c in plain)), "_" * max(map(len, df.columns))  # no column is called mark + anything
     texts = named.select(F.col(id_col).alias("id"), digest.alias("h"), F.col(text_col).alias("text"))
     rows = cut(sketches(texts, words), "sketches")
-    columns = ["n", *_PRINTS, "bands"]
+    columns = ["n", *_PRINTS]
     classes = rows.groupBy("class").agg(F.min(F.struct("id", "h")).alias("row"), *(F.first(c).alias(c) for c in columns))
     classes = cut(classes.select("class", "row.id", "row.h", *columns), "classes")
     found = components_of(classes, texts, words, similarity)

@@ -126,3 +126,25 @@ def test_one_id_with_different_texts_loses_none(spark):
     rows = [(7, "one two three four five six"), (7, "quite another text of some words"), (7, "one two three four five six"), (8, "One two three four five six")]
     kept = near_texts.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted((r["doc_id"], r["text"]) for r in kept) == [(7, "one two three four five six"), (7, "quite another text of some words")]
+
+
+def test_cells_are_segment_counts_of_the_simhash():
+    """Candidates hang on the fingerprint's popcounts alone: where a set bit lies in its segment changes no cell."""
+    rng = np.random.default_rng(5)
+    prints = rng.integers(0, 1 << 63, (20, near_texts.WORDS), dtype=np.uint64)
+    low = np.uint64(0x5555555555555555)
+    swapped = ((prints & low) << np.uint64(1)) | ((prints >> np.uint64(1)) & low)
+    assert (near_texts.cells(prints) == near_texts.cells(swapped)).all()
+    other = prints ^ np.uint64(1)
+    changed = (near_texts.cells(prints) != near_texts.cells(other)).mean()
+    assert 0 < changed < 0.5 and near_texts.cells(prints, 9).shape == (20, near_texts.tables_of(9))
+
+
+def test_a_crowded_cell_gives_leaders_and_its_near_rows():
+    rng = np.random.default_rng(6)
+    prints = np.r_[np.repeat(rng.integers(0, 1 << 63, (1, 4), dtype=np.uint64), 300, 0), rng.integers(0, 1 << 63, (50, 4), dtype=np.uint64)]
+    node = np.arange(350)
+    pairs, many = near_texts.near_in_cell(node, prints)
+    assert pairs == [(0, k) for k in range(1, 300)] and many.tolist() == list(range(300))
+    pairs, many = near_texts.near_in_cell(node[298:], prints[298:])
+    assert pairs == [(298, 299)] and not len(many)
