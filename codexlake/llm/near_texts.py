@@ -39,7 +39,7 @@ from codexlake.llm.simhash import bit_counts, segment_counts, shingle_hashes
 WORDS, BITS = 4, 70
 #: How many of the first two words' bits may differ within a cell.
 FIRST_BITS = 40
-#: Segments of a cell, and tables of cells: a pair of similarity 0.8 shares none with a probability of about 0.0003.
+#: Segments of a cell, and tables of cells: of 4,000 random pairs of similarity 0.8 none shared none, of those of 4 and 5 shingles 42.
 SEGMENTS, TABLES = 7, 128
 _ODD = np.random.default_rng(42).integers(0, 1 << 63, (2, WORDS), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _PRINTS = [f"f{k}" for k in range(WORDS)]
