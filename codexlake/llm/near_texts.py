@@ -9,11 +9,13 @@ probability of 0.73 for each segment.  Within a cell all fingerprints are compar
 popcount; pairs near enough are candidates, and their shingles decide.
 
 No group is written out as pairs.  Texts of the same words are one class first.  A
-cell with many near pairs gives each class one leader, which joins a group of copies
-through a few of them.  Only where such a cell still holds near classes of different
-components are those outside its largest component compared with all of its near
-classes, block by block within tasks, and a block returns at most a forest of links.
-So no candidate link between different components is lost, however large the group.
+class that is near another one in some cell keeps the list of such cells.  These cells
+are read again with a bitmap of each class's shingles, which bounds what two share, and
+give a spanning forest of what may be linked.  Only where such a link fails, so that
+a cell holds possible links between different components, are those outside its
+largest component compared by shingles with all that are possible, block by block within
+tasks, and a block returns at most a forest of links.  So no candidate link between
+different components is lost, however large the group.
 
 Defined cases: a null or empty text is a class of its own words, none; a text of
 fewer words than a shingle has is one shingle; repeated rows are copies; rows without
@@ -28,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from codexlake.llm.common import bytes_of, cut, discard, on_workers, tidy
@@ -41,6 +43,8 @@ WORDS, BITS = 4, 70
 FIRST_BITS = 40
 #: Segments of a cell, and tables of cells: of 4,000 random pairs of similarity 0.8 none shared none, of those of 4 and 5 shingles 42.
 SEGMENTS, TABLES = 7, 128
+#: Bits of the bitmap of a set of shingles; it bounds what two sets share.
+BITMAP = 1024
 _ODD = np.random.default_rng(42).integers(0, 1 << 63, (2, WORDS), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _PRINTS = [f"f{k}" for k in range(WORDS)]
 
@@ -80,31 +84,42 @@ def bands(hashes: np.ndarray) -> np.ndarray:
 
 
 def sketches(rows: DataFrame, words: int) -> DataFrame:
-    """(id, h, class, n, f0..) of (id, h, text): a class is the words alone, n its shingles."""
+    """(id, h, class, n, f0.., bits) of (id, h, text): a class is the words alone, n its shingles, bits a bitmap of them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            classes, sizes, prints = [], [], []
+            classes, sizes, prints, bits = [], [], [], []
             for text in bytes_of(batch.column(2)):
                 classes.append(hashlib.md5(b" ".join(text.lower().split())).digest())
                 hashes = np.unique(shingle_hashes(text, words))
                 sizes.append(len(hashes))
                 prints.append(wide_fingerprint(hashes))
+                bits.append(bitmap_of(hashes))
             wide = np.array(prints, np.uint64).reshape(-1, WORDS).view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(classes, pa.binary()), pa.array(sizes, pa.int32()), *(pa.array(wide[:, k]) for k in range(WORDS))],
-                ["id", "h", "class", "n", *_PRINTS],
+                [batch.column(0), batch.column(1), pa.array(classes, pa.binary()), pa.array(sizes, pa.int32()), *(pa.array(wide[:, k]) for k in range(WORDS)), pa.array(bits, pa.binary())],
+                ["id", "h", "class", "n", *_PRINTS, "bits"],
             )
         tidy()
 
     kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"id {kind}, h long, class binary, n int, {', '.join(f'{c} long' for c in _PRINTS)}")
+    return rows.mapInArrow(run, f"id {kind}, h long, class binary, n int, {', '.join(f'{c} long' for c in _PRINTS)}, bits binary")
 
 
-def _near(similarity: float) -> Column:
-    """What the sketches of ``a`` and ``b`` allow."""
-    apart = sum((F.bit_count(F.col(f"a.{c}").bitwiseXOR(F.col(f"b.{c}"))) for c in _PRINTS[1:]), F.bit_count(F.col(f"a.{_PRINTS[0]}").bitwiseXOR(F.col(f"b.{_PRINTS[0]}"))))
-    return (F.least("a.n", "b.n") >= F.lit(similarity) * F.greatest("a.n", "b.n")) & (apart <= BITS)
+def bitmap_of(hashes: np.ndarray) -> bytes:
+    """A bitmap of ``BITMAP`` bits: each hash sets the one its first bits name."""
+    out = np.zeros(BITMAP, np.uint8)
+    out[hashes >> np.uint64(64 - BITMAP.bit_length() + 1)] = 1
+    return np.packbits(out).tobytes()
+
+
+def maybe_similar(n: int, bitmap: np.ndarray, sizes: np.ndarray, bitmaps: np.ndarray, similarity: float) -> np.ndarray:
+    """Whether a set of shingles may be as similar as asked to each of others; never false for one that is.
+
+    A bit that only one bitmap has stands for a shingle at least that only its set has.
+    """
+    common = np.minimum(n - np.bitwise_count(bitmap & ~bitmaps).sum(1, dtype=np.int64), sizes - np.bitwise_count(bitmaps & ~bitmap).sum(1, dtype=np.int64))
+    return common * (1 + similarity) >= similarity * (n + sizes) - 1e-6
 
 
 def _members(classes: DataFrame, segments: int) -> DataFrame:
@@ -147,7 +162,7 @@ def near_in_cell(node: np.ndarray, prints: np.ndarray, most: int = 4, step: int
 
 
 def _near_nodes(members: DataFrame, block: int = 4096) -> DataFrame:
-    """(meet, a, b) of the nodes of a cell: candidate pairs, and (meet, a, null) where a cell holds too many to list.
+    """(meet, node) of the nodes of a cell that are near another one there by the first words.
 
     A cell of more than ``block`` rows is cut into blocks, which meet pair by pair.
     """
@@ -158,31 +173,119 @@ def _near_nodes(members: DataFrame, block: int = 4096) -> DataFrame:
     dealt = dealt.withColumn("other", F.explode(meets)).select(meet.alias("meet"), "node", "f0", "f1")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept = [np.empty(0, np.int64)] * 4
-        for batch in batches:
-            if batch.num_rows:
-                columns = [np.concatenate([k, np.asarray(c)]) for k, c in zip(kept, batch.columns, strict=True)]
-                last = int(np.searchsorted(columns[0], columns[0][-1]))
-                kept = [c[last:] for c in columns]
-                yield out([c[:last] for c in columns])
-        yield out(kept)
+        for whole in whole_keys(batches):
+            meet, node = (np.asarray(c) for c in whole.columns[:2])
+            prints = np.stack([np.asarray(c) for c in whole.columns[2:]], 1).view(np.uint64)
+            meets, nodes = [], []
+            for low, high in runs(meet):
+                if high - low > 1:
+                    pairs, many = near_in_cell(node[low:high], prints[low:high])
+                    own = many if len(many) else np.unique(np.array(pairs, np.int64))
+                    meets.append(np.full(len(own), meet[low]))
+                    nodes.append(own)
+            none = np.empty(0, np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([none, *x])) for x in (meets, nodes)], ["meet", "node"])
         tidy()
 
-    def out(columns: list[np.ndarray]) -> pa.RecordBatch:
-        meet, node = columns[:2]
-        prints = np.stack(columns[2:], 1).view(np.uint64)
-        starts = np.flatnonzero(np.r_[True, meet[1:] != meet[:-1]]) if len(meet) else np.empty(0, np.int64)
-        sizes = np.diff(np.r_[starts, len(meet)])
-        rows: list[tuple] = []
-        for low, n in zip(starts[sizes > 1].tolist(), sizes[sizes > 1].tolist(), strict=True):
-            pairs, many = near_in_cell(node[low : low + n], prints[low : low + n])
-            key = int(meet[low])
-            rows += [(key, a, b) for a, b in pairs]
-            rows += [(key, a, None) for a in many.tolist()]
-        rows = list(dict.fromkeys(rows))
-        return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.int64()) for k in range(3)], ["meet", "a", "b"])
+    return on_workers(dealt).repartition("meet").sortWithinPartitions("meet").mapInArrow(run, "meet long, node long")
+
+
+def whole_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of rows sorted by their first column, a number, cut where it changes."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if batch.num_rows:
+            key = np.asarray(batch.column(0))
+            last = int(np.searchsorted(key, key[-1]))
+            if held and (last or held[0].column(0)[0].as_py() != key[-1]):
+                yield pa.concat_batches([*held, batch.slice(0, last)])
+                held = []
+            elif last:
+                yield batch.slice(0, last)
+            held.append(batch.slice(last))
+    if held:
+        yield pa.concat_batches(held)
+
+
+def runs(key: np.ndarray) -> list[tuple[int, int]]:
+    """Where each run of one key starts and ends."""
+    edges = np.r_[0, np.flatnonzero(key[1:] != key[:-1]) + 1, len(key)]
+    return list(zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)) if len(key) else []
+
+
+class Cell:
+    """The classes of a cell that have a near one there, with all that is known of them but their shingles."""
+
+    def __init__(self, sizes: np.ndarray, prints: np.ndarray, bitmaps: np.ndarray, similarity: float):
+        self.sizes, self.prints, self.bitmaps, self.similarity = sizes, prints, bitmaps, similarity
+
+    def near(self, one: int, others: np.ndarray) -> np.ndarray:
+        """Which of ``others`` may be as similar to ``one`` as asked."""
+        sizes = self.sizes[others]
+        fits = np.minimum(sizes, self.sizes[one]) >= self.similarity * np.maximum(sizes, self.sizes[one])
+        fits[fits] = np.bitwise_count(self.prints[others[fits]] ^ self.prints[one]).sum(1) <= BITS
+        fits[fits] = maybe_similar(self.sizes[one], self.bitmaps[one], self.sizes[others[fits]], self.bitmaps[others[fits]], self.similarity)
+        return fits
+
+    def forest(self) -> list[tuple[int, int]]:
+        """A spanning forest of what may be linked."""
+        rest, links = np.arange(len(self.sizes)), []
+        while len(rest):
+            reached, rest = [int(rest[0])], rest[1:]
+            while reached and len(rest):
+                one = reached.pop()
+                fits = self.near(one, rest)
+                links += [(one, k) for k in rest[fits].tolist()]
+                reached += rest[fits].tolist()
+                rest = rest[~fits]
+        return links
+
+    def rivals(self, component: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rows that may be linked with one of another component, and which of them lie outside the largest component."""
+        names, label, count = np.unique(component, return_inverse=True, return_counts=True)
+        outside = label != count.argmax()
+        found = np.zeros(len(label), bool)
+        for one in np.flatnonzero(outside).tolist():
+            others = np.flatnonzero(label != label[one])
+            fits = self.near(one, others)
+            found[others[fits]] = True
+            found[one] |= fits.any()
+        return np.flatnonzero(found), outside[found]
+
 
-    return on_workers(dealt).repartition("meet").sortWithinPartitions("meet").mapInArrow(run, "meet long, a long, b long")
+def _in_cells(rows: DataFrame, similarity: float, work, kinds: str) -> DataFrame:
+    """What ``work`` makes of each ``Cell`` of rows (key, class, component, n, f0.., bits)."""
+    names = [x.split()[0] for x in kinds.split(", ")]
+    types = [pa.binary() if x.endswith("binary") else pa.int64() for x in kinds.split(", ")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in whole_keys(batches):
+            key, sizes = np.asarray(whole.column("key")), np.asarray(whole.column("n")).astype(np.int64)
+            prints = np.stack([np.asarray(whole.column(c)) for c in _PRINTS], 1).view(np.uint64)
+            bitmaps = np.frombuffer(b"".join(whole.column("bits").to_pylist()), np.uint64).reshape(len(key), -1)
+            classes, components = (np.array(whole.column(c).to_pylist(), object) for c in ("class", "component"))
+            out = [x for low, high in runs(key) for x in work(int(key[low]), Cell(sizes[low:high], prints[low:high], bitmaps[low:high], similarity), classes[low:high], components[low:high])]
+            out = list(dict.fromkeys(out))
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], t) for k, t in enumerate(types)], names)
+        tidy()
+
+    dealt = rows.select("key", "class", "component", "n", *_PRINTS, "bits").repartition("key").sortWithinPartitions("key", "class")
+    return dealt.mapInArrow(run, kinds)
+
+
+def _forest(key: int, cell: Cell, classes: np.ndarray, components: np.ndarray) -> list[tuple]:
+    return [(classes[a], classes[b]) if classes[a] < classes[b] else (classes[b], classes[a]) for a, b in cell.forest()]
+
+
+def _rivals(block: int):
+    def work(key: int, cell: Cell, classes: np.ndarray, components: np.ndarray) -> list[tuple]:
+        if (components == components[0]).all():
+            return []
+        found, outside = cell.rivals(components)
+        blocks = math.ceil(len(found) / block)
+        return [(key, c, blocks, int(o)) for c, o in zip(classes[found], outside, strict=True)]
+
+    return work
 
 
 def similar(a: np.ndarray, b: np.ndarray, similarity: float) -> bool:
@@ -191,28 +294,17 @@ def similar(a: np.ndarray, b: np.ndarray, similarity: float) -> bool:
     return bool(common) and common >= similarity * (len(a) + len(b) - common)
 
 
-def _verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame, words: int, similarity: float) -> DataFrame:
+def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     """Of pairs (a, b) of classes, those whose shingles are as similar as asked."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
-    chosen = classes.join(wanted, "class", "left_semi").select("class", "id", "h")
-    found = cut(texts.join(chosen, ["id", "h"]).groupBy("class").agg(F.first("text").alias("text")), "near-texts")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last: tuple[bytes | None, np.ndarray] = (None, np.empty(0, np.uint64))
         for batch in batches:
-            keep = []
-            for n, (a, left, right) in enumerate(zip(batch.column(0).to_pylist(), bytes_of(batch.column(2)), bytes_of(batch.column(3)), strict=True)):
-                if a != last[0]:
-                    last = (a, np.unique(shingle_hashes(left, words)))
-                if similar(last[1], np.unique(shingle_hashes(right, words)), similarity):
-                    keep.append(n)
-            at = pa.array(keep, pa.int64())
+            left, right = ([np.frombuffer(x, np.uint64) for x in batch.column(c).to_pylist()] for c in (2, 3))
+            at = pa.array([n for n, (a, b) in enumerate(zip(left, right, strict=True)) if similar(a, b, similarity)], pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at)], ["a", "b"])
 
-    left, right = (found.select(F.col("class").alias(c), F.col("text").alias(f"text_{c}")) for c in "ab")
-    links = cut(pairs.join(right, "b").join(left, "a").select("a", "b", "text_a", "text_b").mapInArrow(run, "a binary, b binary"), "leader-links")
-    discard(found)
-    return links
+    left, right = (sets.select(F.col("class").alias(c), F.col("shingles").alias(f"shingles_{c}")) for c in "ab")
+    return cut(pairs.join(right, "b").join(left, "a").select("a", "b", "shingles_a", "shingles_b").mapInArrow(run, "a binary, b binary"), "links")
 
 
 def _across(similarity: float):
@@ -276,34 +368,35 @@ def segments_for(n: int) -> int:
 
 def components_of(classes: DataFrame, texts: DataFrame, words: int, similarity: float, block: int = 1024) -> DataFrame:
     """(node, component) of classes that are linked with another one."""
-    near = cut(_near_nodes(_members(classes, segments_for(classes.count()))), "near-nodes")
-    known = classes.select(F.xxhash64("class").alias("node"), "class", "n", *_PRINTS)
-    pairs = near.where("b is not null").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().alias("p")
-    joined = pairs.join(known.alias("a"), F.col("p.a") == F.col("a.node")).join(known.alias("b"), F.col("p.b") == F.col("b.node")).where(_near(similarity))
-    first = cut(joined.select(F.least("a.class", "b.class").alias("a"), F.greatest("a.class", "b.class").alias("b")).where("a < b").distinct(), "leader-pairs")
-    links = _verified(first, classes, texts, words, similarity)
-    found = connected_components(links)
-    members = near.where("b is null").select(F.col("meet").alias("key"), F.col("a").alias("node")).distinct().join(known, "node").drop("node")
-    # Crowded cells of several components: all near members in blocks, and those outside the largest ask every block.
-    placed = members.join(found, F.col("class") == F.col("node"), "left").withColumn("component", F.coalesce("component", "class")).drop("node")
-    sizes = placed.groupBy("key", "component").count()
-    mixed = sizes.groupBy("key").agg(F.count("*").alias("several"), F.max_by("component", "count").alias("largest"), F.ceil(F.sum("count") / block).cast("int").alias("blocks")).where("several > 1")
-    apart = cut(placed.join(mixed.drop("several"), "key"), "mixed-cells")
-    discard(near, first)
-    if not apart.head(1):
-        discard(links, apart)
-        return found
-    wanted = classes.join(apart.select("class").distinct(), "class", "left_semi").select("class", "id", "h")
+    near = _near_nodes(_members(classes, segments_for(classes.count())))
+    known = classes.select(F.xxhash64("class").alias("node"), "class", "n", *_PRINTS, "bits")
+    # A row a class, with its cells: what is known of it joins once.
+    placed = cut(near.groupBy("node").agg(F.collect_list("meet").alias("keys")).join(known, "node").drop("node"), "near-classes")
+    rows = placed.withColumn("component", F.col("class")).withColumn("key", F.explode("keys"))
+    first = cut(_in_cells(rows, similarity, _forest, "a binary, b binary").distinct(), "forest")
+    wanted = classes.join(first.select(F.explode(F.array("a", "b")).alias("class")).distinct(), "class", "left_semi").select("class", "id", "h")
     sets = cut(_shingles(texts.join(wanted, ["id", "h"]).groupBy("class").agg(F.first("text").alias("text")), words), "shingles")
-    held = apart.withColumn("asks", F.lit(0)).withColumn("block", F.pmod(F.xxhash64("class"), "blocks").cast("int"))
-    asking = apart.where("component <> largest").withColumn("asks", F.lit(1)).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = held.unionByName(asking).select("key", "block", "asks", "class", "component", "n", *_PRINTS).join(sets, "class")
-    more = rows.repartition("key", "block").sortWithinPartitions("key", "block", "asks").select("key", "block", "asks", "class", "component", "n", *_PRINTS, "shingles").mapInArrow(_across(similarity), "a binary, b binary")
-    links_too = cut(links.unionByName(more), "all-links")
-    discard(links, apart, sets)
-    last = connected_components(links_too)
-    discard(links_too)
-    return last
+    links = _verified(first, sets, similarity)
+    found = connected_components(links)
+    # Cells where classes of different components may still be linked: those outside the largest ask every block.
+    # A class without a link in the forests has no possible one.
+    labelled = placed.join(sets.select("class"), "class", "left_semi").join(found, F.col("class") == F.col("node"), "left").withColumn("component", F.coalesce("component", "class")).drop("node")
+    apart = cut(_in_cells(labelled.withColumn("key", F.explode("keys")), similarity, _rivals(block), "key long, class binary, blocks long, outside long"), "mixed-cells")
+    if apart.head(1):
+        by_class = apart.groupBy("class").agg(F.collect_list(F.struct("key", "blocks", "outside")).alias("cell"))
+        held = by_class.join(labelled.drop("keys", "bits"), "class").join(sets, "class").withColumn("cell", F.explode("cell"))
+        # A class lies in its own block; one outside asks all blocks besides.
+        own = F.struct(F.pmod(F.xxhash64("class"), "cell.blocks").cast("int").alias("block"), F.lit(0).alias("asks"))
+        every = F.transform(F.sequence(F.lit(0), (F.col("cell.blocks") - 1).cast("int")), lambda k: F.struct(k.alias("block"), F.lit(1).alias("asks")))
+        each = held.withColumn("at", F.explode(F.when(F.col("cell.outside") == 1, F.concat(F.array(own), every)).otherwise(F.array(own))))
+        rows = each.select("cell.key", "at.block", "at.asks", "class", "component", "n", *_PRINTS, "shingles")
+        more = rows.repartition("key", "block").sortWithinPartitions("key", "block", "asks").mapInArrow(_across(similarity), "a binary, b binary")
+        links_too = cut(links.unionByName(more), "all-links")
+        discard(found)
+        found = connected_components(links_too)
+        discard(links_too)
+    discard(placed, first, sets, links, apart)
+    return found
 
 
 def _shingles(texts: DataFrame, words: int) -> DataFrame:
@@ -328,7 +421,7 @@ def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", word
     digest, mark = F.xxhash64(*(F.col(f"`{c}`") for c in plain)), "_" * max(map(len, df.columns))  # no column is called mark + anything
     texts = named.select(F.col(id_col).alias("id"), digest.alias("h"), F.col(text_col).alias("text"))
     rows = cut(sketches(texts, words), "sketches")
-    columns = ["n", *_PRINTS]
+    columns = ["n", *_PRINTS, "bits"]
     classes = rows.groupBy("class").agg(F.min(F.struct("id", "h")).alias("row"), *(F.first(c).alias(c) for c in columns))
     classes = cut(classes.select("class", "row.id", "row.h", *columns), "classes")
     found = components_of(classes, texts, words, similarity)

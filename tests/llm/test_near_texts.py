@@ -148,3 +148,36 @@ def test_a_crowded_cell_gives_leaders_and_its_near_rows():
     assert pairs == [(0, k) for k in range(1, 300)] and many.tolist() == list(range(300))
     pairs, many = near_texts.near_in_cell(node[298:], prints[298:])
     assert pairs == [(298, 299)] and not len(many)
+
+
+def test_bitmaps_rule_out_no_similar_pair():
+    rng = np.random.default_rng(8)
+    ruled_out = 0
+    for n in (1, 4, 5, 40, 150, 900, 5000):
+        for share in (0.5, 0.8, 0.889, 0.9, 1.0):
+            common = rng.integers(0, 1 << 64, int(n * share), dtype=np.uint64)
+            a, b = (np.unique(np.r_[common, rng.integers(0, 1 << 64, n - len(common), dtype=np.uint64)]) for _ in range(2))
+            maps = [np.frombuffer(near_texts.bitmap_of(x), np.uint64) for x in (a, b)]
+            maybe = near_texts.maybe_similar(len(a), maps[0], np.array([len(b)]), maps[1][None], 0.8)[0]
+            assert maybe or not near_texts.similar(a, b, 0.8)
+            ruled_out += not maybe
+    assert ruled_out >= 5
+
+
+def test_a_large_group_is_not_written_once_a_table(spark, monkeypatch):
+    """Near copies, and texts around one passage, share many cells; what is kept of them stays by class."""
+    rng = random.Random(11)
+    vocabulary = [f"w{k}" for k in range(3000)]
+    base, passage = ([rng.choice(vocabulary) for _ in range(n)] for n in (120, 100))
+    texts = [edited(rng, base, 1, vocabulary) for _ in range(250)] + [passage + [rng.choice(vocabulary) for _ in range(25)] for _ in range(250)]
+    counts, cut = {}, near_texts.cut
+
+    def counted(df, label):
+        out = cut(df, label)
+        counts[label] = out.count()
+        return out
+
+    monkeypatch.setattr(near_texts, "cut", counted)
+    rows = [(k, " ".join(x)) for k, x in enumerate(texts)]
+    assert {r["doc_id"] for r in near_texts.keep_one(frame(spark, rows)).collect()} == survivors(rows)
+    assert max(counts.values()) <= 20 * len(rows), counts
