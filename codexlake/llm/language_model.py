@@ -42,12 +42,23 @@ END = b"\n"  # no word holds a line end
 _LN10 = math.log(10.0)
 
 
-def _exp_sum(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """exp(x - max) and the log of its sum, along the last axis."""
-    top = x.max(-1, keepdims=True)
-    e = np.exp(x - top)
-    total = e.sum(-1, keepdims=True)
-    return e / total, (top + np.log(total))[..., 0]
+def _bounded(w: np.ndarray, b: np.ndarray) -> bool:
+    """Whether no logit of a state, whose entries are within -1 and 1, can overflow an exponential."""
+    return float((np.abs(w).sum(0) + np.abs(b)).max()) < 60
+
+
+def _softmax(x: np.ndarray, bounded: bool) -> np.ndarray:
+    """Softmax along the last axis, in place."""
+    if not bounded:
+        x -= x.max(1, keepdims=True)
+    np.exp(x, out=x)
+    x /= x.sum(1, keepdims=True)
+    return x
+
+
+def _order(keys: np.ndarray) -> np.ndarray:
+    """A stable order of small numbers; short ones are sorted by radix."""
+    return np.argsort(keys.astype(np.uint16) if len(keys) and keys.max() < 1 << 16 else keys, kind="stable")
 
 
 @dataclass
@@ -83,35 +94,56 @@ class GruModel:
         h, n = self.hidden, inputs.shape[0]
         x, u = self.p["x"][inputs], self.p["u"]
         states = np.empty((n, inputs.shape[1], h), np.float32)
-        saved = []
+        saved = (np.empty_like(states), np.empty((n, inputs.shape[1], 2 * h), np.float32), np.empty_like(states)) if keep else None
+        ug, uc = np.ascontiguousarray(u[:, : 2 * h]), np.ascontiguousarray(u[:, 2 * h :])
         for t in range(n):
             if fresh[t].any():
                 state = state * ~fresh[t][:, None]
-            gates = x[t, :, : 2 * h] + state @ u[:, : 2 * h]
-            gates = 0.5 + 0.5 * np.tanh(0.5 * gates)
-            reset, update = gates[:, :h], gates[:, h:]
-            candidate = np.tanh(x[t, :, 2 * h :] + (reset * state) @ u[:, 2 * h :])
+            gates = state @ ug
+            gates += x[t, :, : 2 * h]
+            gates *= 0.5
+            np.tanh(gates, out=gates)
+            gates *= 0.5
+            gates += 0.5
+            candidate = (gates[:, :h] * state) @ uc
+            candidate += x[t, :, 2 * h :]
+            np.tanh(candidate, out=candidate)
             if keep:
-                saved.append((state, reset, update, candidate))
-            state = candidate + update * (state - candidate)
+                saved[0][t], saved[1][t], saved[2][t] = state, gates, candidate
+            state = state - candidate
+            state *= gates[:, h:]
+            state += candidate
             states[t] = state
         return states, state, saved
 
-    def log_probabilities(self, states: np.ndarray, targets: np.ndarray) -> np.ndarray:
+    def log_probabilities(self, states: np.ndarray, targets: np.ndarray, step: int = 4096) -> np.ndarray:
         """Natural log of P(target | state), for flat states and targets."""
         p = self.p
-        logits = states @ p["c"] + p["cb"]
-        group = self.classes[targets]
-        top = logits.max(1)
-        out = logits[np.arange(len(targets)), group] - top - np.log(np.exp(logits - top[:, None]).sum(1))
-        order = np.argsort(group, kind="stable")
-        bounds = np.searchsorted(group[order], np.arange(len(self.starts)))
+        order = _order(self.classes[targets])
+        states, targets = states[order], targets[order]
+        group, found = self.classes[targets], np.empty(len(targets), np.result_type(states, p["c"]))
+
+        def add(low: int, high: int, w: np.ndarray, b: np.ndarray, own: np.ndarray, bounded: bool) -> np.ndarray:
+            logits = states[low:high] @ w
+            logits += b
+            if not bounded:
+                logits -= logits.max(1, keepdims=True)
+            out = logits[np.arange(high - low), own]
+            np.exp(logits, out=logits)
+            return out - np.log(logits.sum(1))
+
+        bounded = _bounded(p["c"], p["cb"])
+        for low in range(0, len(targets), step):
+            high = min(len(targets), low + step)
+            found[low:high] = add(low, high, p["c"], p["cb"], group[low:high], bounded)
+        bounded, bounds = _bounded(p["w"], p["wb"]), np.searchsorted(group, np.arange(len(self.starts)))
         for k in np.flatnonzero(np.diff(bounds)).tolist():
-            rows = order[bounds[k] : bounds[k + 1]]
-            low, high = self.starts[k], self.starts[k + 1]
-            inner = states[rows] @ p["w"][:, low:high] + p["wb"][low:high]
-            top = inner.max(1)
-            out[rows] += inner[np.arange(len(rows)), targets[rows] - low] - top - np.log(np.exp(inner - top[:, None]).sum(1))
+            start, end = self.starts[k], self.starts[k + 1]
+            for low in range(bounds[k], bounds[k + 1], step):
+                high = min(bounds[k + 1], low + step)
+                found[low:high] += add(low, high, p["w"][:, start:end], p["wb"][start:end], targets[low:high] - start, bounded)
+        out = np.empty_like(found)
+        out[order] = found
         return out
 
     def train(self, documents: list[np.ndarray], lanes: int = 64, window: int = 32, epochs: int = 1, rate: float = 0.01, decay: float = 0.2, context: list[int] | None = None) -> float:
@@ -140,50 +172,72 @@ class GruModel:
         return float(np.mean(losses[-50:])) if losses else 0.0
 
     def _backward(self, inputs, fresh, targets, mask, states, saved):
-        p, h = self.p, self.hidden
+        p, h, step = self.p, self.hidden, 4096
         live = np.flatnonzero(mask.ravel())
+        live = live[_order(self.classes[targets.ravel()[live]])]  # by class from here on
         flat, target = states.reshape(-1, h)[live], targets.ravel()[live]
         scale = 1.0 / max(1, len(live))
         g = {k: np.zeros_like(v) for k, v in p.items() if k != "x"}
-        group = self.classes[target]
-        prob, norm = _exp_sum(flat @ p["c"] + p["cb"])
-        loss = -np.log(prob[np.arange(len(live)), group] + 1e-30).sum()
-        prob[np.arange(len(live)), group] -= 1
-        g["c"], g["cb"] = flat.T @ prob * scale, prob.sum(0) * scale
-        d_flat = prob @ p["c"].T
-        order = np.argsort(group, kind="stable")
-        bounds = np.searchsorted(group[order], np.arange(len(self.starts)))
+        group, d_flat, loss = self.classes[target], np.zeros((len(live), h), np.float32), 0.0
+
+        def softmax_layer(low: int, high: int, w: np.ndarray, b: np.ndarray, own: np.ndarray, bounded: bool, g_w: np.ndarray, g_b: np.ndarray) -> float:
+            prob = flat[low:high] @ w
+            prob += b
+            _softmax(prob, bounded)
+            at = np.arange(high - low), own
+            lost = -np.log(prob[at] + 1e-30).sum()
+            prob[at] -= 1
+            g_w += flat[low:high].T @ prob
+            g_b += prob.sum(0)
+            d_flat[low:high] += prob @ w.T
+            return lost
+
+        bounded = _bounded(p["c"], p["cb"])
+        for low in range(0, len(live), step):
+            high = min(len(live), low + step)
+            loss += softmax_layer(low, high, p["c"], p["cb"], group[low:high], bounded, g["c"], g["cb"])
+        bounded, bounds = _bounded(p["w"], p["wb"]), np.searchsorted(group, np.arange(len(self.starts)))
         for k in np.flatnonzero(np.diff(bounds)).tolist():
-            rows = order[bounds[k] : bounds[k + 1]]
-            low, high = self.starts[k], self.starts[k + 1]
-            prob, norm = _exp_sum(flat[rows] @ p["w"][:, low:high] + p["wb"][low:high])
-            own = (np.arange(len(rows)), target[rows] - low)
-            loss -= np.log(prob[own] + 1e-30).sum()
-            prob[own] -= 1
-            g["w"][:, low:high], g["wb"][low:high] = flat[rows].T @ prob * scale, prob.sum(0) * scale
-            d_flat[rows] += prob @ p["w"][:, low:high].T
+            start, end = self.starts[k], self.starts[k + 1]
+            for low in range(bounds[k], bounds[k + 1], step):
+                high = min(bounds[k + 1], low + step)
+                loss += softmax_layer(low, high, p["w"][:, start:end], p["wb"][start:end], target[low:high] - start, bounded, g["w"][:, start:end], g["wb"][start:end])
+        for k in ("c", "cb", "w", "wb"):
+            g[k] *= scale
         d_states = np.zeros((states.shape[0] * states.shape[1], h), np.float32)
-        d_states[live] = d_flat * scale
+        d_flat *= scale
+        d_states[live] = d_flat
         d_states = d_states.reshape(states.shape)
         back = np.zeros(states.shape[1:], np.float32)
-        d_x = np.zeros((*inputs.shape, 3 * h), np.float32)
-        u = p["u"]
-        for t in range(len(saved) - 1, -1, -1):
-            state, reset, update, candidate = saved[t]
-            d = d_states[t] + back
-            d_candidate = d * (1 - update) * (1 - candidate**2)
-            d_update = d * (state - candidate) * update * (1 - update)
-            d_mixed = d_candidate @ u[:, 2 * h :].T
-            d_reset = d_mixed * state * reset * (1 - reset)
-            gates = np.concatenate([d_reset, d_update], 1)
-            d_x[t] = np.concatenate([gates, d_candidate], 1)
-            g["u"][:, : 2 * h] += state.T @ gates
-            g["u"][:, 2 * h :] += (reset * state).T @ d_candidate
-            back = (d * update + d_mixed * reset + gates @ u[:, : 2 * h].T) * ~fresh[t][:, None]
-        order = np.argsort(inputs.ravel(), kind="stable")
+        d_x = np.empty((*inputs.shape, 3 * h), np.float32)
+        before, gates, candidate = saved
+        reset, update, u = gates[:, :, :h], gates[:, :, h:], p["u"]
+        of_candidate = (1 - update) * (1 - candidate * candidate)
+        of_update = (before - candidate) * update * (1 - update)
+        mixed = before * reset
+        of_reset = mixed * (1 - reset)
+        ug, uc = np.ascontiguousarray(u[:, : 2 * h].T), np.ascontiguousarray(u[:, 2 * h :].T)
+        for t in range(len(inputs) - 1, -1, -1):
+            d, out = d_states[t] + back, d_x[t]
+            d_candidate = d * of_candidate[t]
+            d_mixed = d_candidate @ uc
+            np.multiply(d_mixed, of_reset[t], out=out[:, :h])
+            np.multiply(d, of_update[t], out=out[:, h : 2 * h])
+            out[:, 2 * h :] = d_candidate
+            back = out[:, : 2 * h] @ ug
+            d *= update[t]
+            back += d
+            d_mixed *= reset[t]
+            back += d_mixed
+            if fresh[t].any():
+                back *= ~fresh[t][:, None]
+        d_x = d_x.reshape(-1, 3 * h)
+        g["u"][:, : 2 * h] = before.reshape(-1, h).T @ d_x[:, : 2 * h]
+        g["u"][:, 2 * h :] = mixed.reshape(-1, h).T @ d_x[:, 2 * h :]
+        order = _order(inputs.ravel())
         keys, at = np.unique(inputs.ravel()[order], return_index=True)
         rows = {k: (slice(None), v) for k, v in g.items()}
-        return rows | {"x": (keys, np.add.reduceat(d_x.reshape(-1, 3 * h)[order], at, axis=0))}, loss * scale
+        return rows | {"x": (keys, np.add.reduceat(d_x[order], at, axis=0))}, loss * scale
 
     def score(self, documents: list[np.ndarray], lanes: int = 256, window: int = 64) -> np.ndarray:
         """Natural log-likelihood of each document's symbols."""
@@ -398,17 +452,17 @@ def score_documents(
     log_norm = math.log10(n + 0.1 * (v + 1))
     least = head_threshold(counts, max_head)
     top = sorted(((-r["c"], bytes(r["token"])) for r in counts.where(F.col("c") >= least).collect()))  # at most max_head rows
-    head = {w: math.log10(0.1 - c) - log_norm for c, w in top}
+    ranks, values = {w: k for k, (_, w) in enumerate(top)}, np.array([math.log10(0.1 - c) - log_norm for c, _ in top] + [0.0])  # the last one: not in the head
     words = [w for _, w in top[: max(vocabulary, math.isqrt(n))]]
     model = train(start_texts(training, text_col, max_train, max_train_chars), words, n_classes=classes_for(len(words)))
     model = train_everywhere(model, training, text_col)
-    shared = docs.sparkSession.sparkContext.broadcast((head, model))
-    log_rare = math.log10(max(1e-12, 1.0 - sum(10 ** head[w] for w in words)))
+    shared = docs.sparkSession.sparkContext.broadcast((ranks, values, model))
+    log_rare = math.log10(max(1e-12, 1.0 - sum(10**x for x in values[: len(words)].tolist())))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, gru = shared.value
+        known, base_of, gru = shared.value
+        rank_of, n_symbols = known.get, len(gru.words)  # the GRU's words are the first of the head
         row = TaskContext.get().partitionId() << 33
-        base_of, symbol_of = known.get, gru.words.get
         for batch in batches:
             ids, texts = batch.column(0), bytes_of(batch.column(1))
             low = 0
@@ -421,13 +475,12 @@ def score_documents(
                 symbols = []
                 for text in texts[low:high]:
                     words_ = tokens(text)
-                    base = list(map(base_of, words_))
-                    tail = [t for t, b in zip(words_, base, strict=True) if b is None] if None in base else []
-                    own = np.array([symbol_of(t, 0) for t in words_], np.int32)
-                    symbols.append(own)
-                    value = math.fsum(b for b in base if b is not None) if tail else math.fsum(base)
+                    rank = np.array([rank_of(t, -1) for t in words_], np.int64)
+                    tail = [words_[k] for k in np.flatnonzero(rank < 0).tolist()]
+                    symbols.append(np.where(rank < n_symbols, rank + 1, 0).astype(np.int32))
+                    value = float(base_of[rank].sum())
                     # Of the head's words, those the GRU calls "other" keep their unigram share.
-                    other = math.fsum(b for b, s in zip(base, own.tolist(), strict=True) if not s and b is not None)
+                    other = float(base_of[rank[rank >= n_symbols]].sum())
                     for c, x in zip(cols, (row, len(words_), len(words_) - len(tail), value, other, tail), strict=True):
                         c.append(x)
                     row += 1

@@ -196,3 +196,38 @@ def test_pieces_of_long_documents():
     assert [p.tolist() for p in parts] == [[0, 1, 2, 3], [4, 5, 6, 7], [8, 9], [0, 1, 2]] and context == [99, 3, 7, 99]
     first = [next(lm.windows(parts, [[k]], 8, 99, context))[0][0, 0] for k in range(4)]
     assert first == context
+
+
+def backward_of(size, rows, lanes, classes):
+    m = lm.GruModel.new([b"%d" % k for k in range(size)], 24, classes, 5)
+    rng = np.random.default_rng(5)
+    inputs, targets = rng.integers(0, size, (2, rows, lanes))
+    fresh, mask = rng.random((rows, lanes)) < 0.02, np.ones((rows, lanes), bool)
+    states, _, saved = m.forward(inputs, fresh, np.zeros((lanes, 24), np.float32), keep=True)
+    return m, (inputs, fresh, targets, mask, states, saved)
+
+
+def test_a_training_step_takes_its_softmax_in_blocks():
+    """No array holds all classes for all symbols of a step, which falls out of a core's cache."""
+    import tracemalloc
+
+    m, step = backward_of(400, 32, 512, 300)
+    tracemalloc.start()
+    m._backward(*step)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 30e6, peak
+
+
+def test_large_weights_do_not_overflow(monkeypatch):
+    """Logits are shifted by their largest only where they can overflow; that changes nothing else."""
+    m, step = backward_of(50, 4, 16, 6)
+    flat, targets = step[4].reshape(-1, 24), step[2].ravel()
+    small = m._backward(*step)[1], m.log_probabilities(flat, targets)
+    with monkeypatch.context() as patch:
+        patch.setattr(lm, "_bounded", lambda w, b: False)
+        assert m._backward(*step)[1] == pytest.approx(small[0], rel=1e-5)
+        assert np.allclose(m.log_probabilities(flat, targets), small[1], atol=1e-4)
+    m.p["c"] *= 10_000
+    m.p["w"] *= 10_000
+    assert np.isfinite(m._backward(*step)[1]) and np.isfinite(m.log_probabilities(flat, targets)).all()
