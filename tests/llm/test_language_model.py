@@ -3,6 +3,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from codexlake.llm import language_model as lm
@@ -231,3 +232,69 @@ def test_large_weights_do_not_overflow(monkeypatch):
     m.p["c"] *= 10_000
     m.p["w"] *= 10_000
     assert np.isfinite(m._backward(*step)[1]) and np.isfinite(m.log_probabilities(flat, targets)).all()
+
+
+def test_words_are_those_of_splitting_bytes():
+    texts = ["", None, " \t", "A b\x0bÄÖ \x85   x\x1cy\x00 ", "\n\na\r\n", "Ab ab AB", "é"]
+    words, counts = lm.words_of(pa.array(texts))
+    want = [lm.tokens((t or "").encode())[:-1] for t in texts]
+    assert words.to_pylist() == [w for own in want for w in own] and counts.tolist() == list(map(len, want))
+    for known in ([b"ab", lm.END, b"a"], [b"ab"], []):
+        places, ends, tail = lm.places_of(pa.array(texts), pa.array(known, pa.binary()))
+        tokens = [w for own in want for w in [*own, lm.END]]
+        assert places.tolist() == [known.index(w) if w in known else -1 for w in tokens]
+        assert ends.tolist() == np.cumsum([len(own) + 1 for own in want]).tolist() and tail.to_pylist() == [w for w in tokens if w not in known]
+
+
+def test_slices_hold_every_text_once():
+    texts = pa.array(["ab", None, "c" * 50, "", "de", "f"])
+    for most in (1, 4, 5, 60, 100):
+        parts = list(lm.slices_of(texts, most))
+        assert pa.concat_arrays(parts).equals(texts) and all(len(p) == 1 or sum(len(t or "") for t in p.to_pylist()) <= most for p in parts)
+    assert list(lm.slices_of(texts[:0])) == []
+
+
+def test_counts_in_bounded_tables(spark):
+    texts = [None, "", *(f"w{k % 40} W{k % 7} the" for k in range(500))]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").repartition(3)
+    want = Counter(w for t in texts for w in lm.tokens((t or "").encode()))
+    for limit in (1, 20, 300_000):
+        assert {bytes(r["token"]): r["c"] for r in lm.count_tokens(docs, "text", limit).collect()} == want
+
+
+def test_sums_by_key():
+    rng = np.random.default_rng(4)
+    keys = np.minimum(rng.geometric(0.02, 3000), 200)
+    rows = rng.standard_normal((3, 3000, 5))
+    found, sums = lm._sum_by(rows, keys)
+    assert sorted(found.tolist()) == np.unique(keys).tolist()
+    for k, own in zip(found, sums.transpose(1, 0, 2), strict=True):
+        assert np.allclose(own, rows[:, keys == k].sum(1))
+
+
+def calls_of(work):
+    """How many functions in C are called from Python."""
+    import sys
+
+    calls = [0]
+
+    def count(frame, event, arg):
+        calls[0] += event == "c_call"
+
+    sys.setprofile(count)
+    try:
+        work()
+    finally:
+        sys.setprofile(None)
+    return calls[0]
+
+
+def test_windows_and_words_take_no_call_each():
+    docs = [np.arange(64, dtype=np.int32)] * 512
+    plan = lm.lane_plan([64] * 512, 512)
+    first = lm.windows(docs, plan, 32, 99)
+    next(first)
+    assert calls_of(lambda: next(first)) < 50
+    texts, known = pa.array(["a b c d e " * 1000] * 3), pa.array([b"a", lm.END], pa.binary())
+    lm.places_of(texts, known)  # imports what it needs
+    assert calls_of(lambda: lm.places_of(texts, known)) < 100
