@@ -95,10 +95,11 @@ def _adam(p: np.ndarray, m: np.ndarray, v: np.ndarray, g: np.ndarray, step: int,
         p[low : low + block] -= t
 
 
-def _clip(g: np.ndarray) -> None:
-    norm = float(np.sqrt(np.vdot(g, g)))
-    if norm > 1:
-        g *= 1 / norm
+def _clip(g: np.ndarray, square: float | None = None) -> None:
+    """A gradient made no longer than 1; ``square`` is its squared length, where that is known."""
+    square = float(np.vdot(g, g)) if square is None else square
+    if square > 1:
+        g *= 1 / math.sqrt(square)
 
 
 @dataclass
@@ -242,8 +243,9 @@ class GruModel:
                 losses.append(loss)
                 lr = rate * (decay + (1 - decay) * (1 - step / (total + 1)))
                 for k in ("c", "w"):
-                    _clip(g[k][:, :h])
-                    _clip(g[k][:, h])
+                    both, bias = float(np.vdot(g[k], g[k])), float(np.vdot(g[k][:, h], g[k][:, h]))
+                    _clip(g[k][:, :h], both - bias)
+                    _clip(g[k][:, h], bias)
                 for k in ("c", "w", "u"):
                     if k == "u":
                         _clip(g[k])
@@ -319,10 +321,9 @@ class GruModel:
             back += pair[1]
             if len(clear[t]):
                 back[clear[t]] = 0
-        d_x = d_x.reshape(3, -1, h)
-        of_u = before.reshape(-1, h).T @ d_x[0], before.reshape(-1, h).T @ d_x[1], mixed.reshape(-1, h).T @ d_x[2]
+        of_u = [(a.transpose(0, 2, 1) @ d).sum(0) for a, d in zip((before, before, mixed), d_x, strict=True)]  # step by step, as caches hold
         g["u"] = np.concatenate(of_u, axis=1)
-        keys, by_key = _sum_by(d_x, inputs.ravel())
+        keys, by_key = _sum_by(d_x.reshape(3, -1, h), inputs.ravel())
         g["x"] = np.concatenate(list(by_key), axis=1)
         return keys, g, loss * scale
 
@@ -348,7 +349,8 @@ class GruModel:
 def _by_step(fresh: np.ndarray) -> list[np.ndarray]:
     """The lanes that begin a document, of each step."""
     step, lane = np.nonzero(fresh)
-    return np.split(lane, np.searchsorted(step, np.arange(1, len(fresh))))
+    at = np.searchsorted(step, np.arange(len(fresh) + 1)).tolist()
+    return [lane[low:high] for low, high in zip(at, at[1:], strict=False)]
 
 
 def _with_one(a: np.ndarray, kind: np.dtype, order: np.ndarray) -> np.ndarray:
